@@ -28,9 +28,13 @@ LOOKUP_VALUE = "_lookup_value"
 
 @dataclass(frozen=True)
 class Lookup:
-    """A reference table reduced to one row per key: ``_lookup_key`` and ``_lookup_value``."""
+    """A reference table reduced to one row per key: ``_lookup_key`` and ``_lookup_value``.
+
+    ``source`` holds the same columns before the reduction; its size bounds the lookup's.
+    """
 
     frame: DataFrame
+    source: DataFrame
     max_rows: int = MAX_BROADCAST_ROWS
     max_bytes: int = MAX_BROADCAST_BYTES
 
@@ -38,21 +42,29 @@ class Lookup:
     def keys(cls, table: DataFrame, key: str, **limits: int) -> Lookup:
         """Return the set of keys of a reference table, each with the value true."""
         keys = key_set(table, key).select(F.col(key).alias(_KEY), F.lit(True).alias(LOOKUP_VALUE))
-        return cls(keys, **limits)
+        return cls(keys, table.select(key), **limits)
 
     @classmethod
     def values(cls, table: DataFrame, key: str, value: str, **limits: int) -> Lookup:
         """Return the key to value map of a reference table."""
-        pairs = key_values(table, key, value)
-        return cls(pairs.select(F.col(key).alias(_KEY), F.col(value).alias(LOOKUP_VALUE)), **limits)
+        pairs = key_values(table, key, value).select(F.col(key).alias(_KEY), F.col(value).alias(LOOKUP_VALUE))
+        return cls(pairs, table.select(key, value), **limits)
+
+    def stored(self, path: str) -> Lookup:
+        """Write the reduced table once and read it from there.
+
+        A stream joins one fixed copy: every micro-batch and every retry sees the same entries.
+        """
+        self.frame.write.mode("overwrite").parquet(path)
+        fixed = self.frame.sparkSession.read.parquet(path)
+        return Lookup(fixed, fixed, self.max_rows, self.max_bytes)
 
     @cached_property
     def is_small(self) -> bool:
-        """Count the table once, reading no more rows than a broadcast may hold."""
-        widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in self.frame.columns]
-        row_bytes = sum(widths, F.lit(16))
-        seen = self.frame.limit(self.max_rows + 1).agg(F.count("*").alias("n"), F.sum(row_bytes).alias("b")).first()
-        return seen["n"] <= self.max_rows and (seen["b"] or 0) <= self.max_bytes
+        """Measure the table once, in one parallel pass that brings back two numbers."""
+        widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in self.source.columns]
+        size = self.source.agg(F.count("*").alias("n"), F.sum(sum(widths, F.lit(16))).alias("b")).first()
+        return size["n"] <= self.max_rows and (size["b"] or 0) <= self.max_bytes
 
 
 def key_set(table: DataFrame, key: str) -> DataFrame:

@@ -28,7 +28,7 @@ from weir.operators.validate import IS_VALID
 PARTITION, OFFSET = "_kafka_partition", "_kafka_offset"
 WIDTH = 1 << 16
 
-_BUCKET, _GROUP = "_bucket", "_group"
+_PART, _BUCKET, _GROUP, _KEY = "_part", "_bucket", "_group", "_key"
 
 
 @dataclass(frozen=True)
@@ -68,77 +68,67 @@ def running(
     It needs keys; a run over one global order can use a constant key.
     """
     require_fields(df, [*keys, partition, offset])
-    names = list(measures)
-    slots = [*keys, partition, _BUCKET]
-    # A missing key is a key like any other, so all joins on keys are null-safe.
-    bucketed = df.withColumn(_BUCKET, F.floor(F.col(offset) / F.lit(width)).cast("long"))
-
+    # No slot column is NULL: a missing key is a key like any other, plain equality lets the joins
+    # reuse the partitioning of the windows, and both readers of the totals share one shuffle.
+    slotted = df.withColumns(
+        {
+            _PART: F.coalesce(F.col(partition).cast("long"), F.lit(-1)),
+            _BUCKET: _slice(offset, width),
+            _KEY: F.struct(*keys) if keys else F.lit(0),
+        }
+    )
+    slots = [_PART, _BUCKET, _KEY]
     so_far = Window.partitionBy(*slots).orderBy(offset).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = bucketed.withColumns({f"_in_{n}": m.of_rows().over(so_far) for n, m in measures.items()})
+    scanned = slotted.withColumns({f"_in_{n}": m.of_rows().over(so_far) for n, m in measures.items()})
 
-    totals = bucketed.groupBy(*slots).agg(*(m.of_rows().alias(n) for n, m in measures.items()))
-    carry = _carry(totals, measures, list(keys), partition, width, initial)
+    totals = slotted.groupBy(*slots).agg(*(m.of_rows().alias(n) for n, m in measures.items()))
+    carry = _carry(totals, measures, width, _state(initial, keys, measures))
 
-    renamed = carry.select(
-        *(F.col(c).alias(f"_at_{c}") for c in slots), *(F.col(n).alias(f"_before_{n}") for n in names)
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) if c in keys else F.col(c) == F.col(f"_at_{c}") for c in slots]
-    joined = scanned.join(renamed, same, "left")
+    joined = scanned.join(carry, slots, "left")
     values = {n: m.combine(F.col(f"_before_{n}"), F.col(f"_in_{n}")) for n, m in measures.items()}
-    spare = [_BUCKET, *(f"_at_{c}" for c in slots), *(f"_before_{n}" for n in names), *(f"_in_{n}" for n in names)]
+    spare = [*slots, *(f"_before_{n}" for n in measures), *(f"_in_{n}" for n in measures)]
     return joined.withColumns(values).drop(*spare)
 
 
-def _carry(
-    totals: DataFrame,
-    measures: Mapping[str, Measure],
-    keys: list[str],
-    partition: str,
-    width: int,
-    initial: DataFrame | None,
-) -> DataFrame:
+def _carry(totals: DataFrame, measures: Mapping[str, Measure], width: int, state: DataFrame | None) -> DataFrame:
     """Return, for each bucket, the totals of all earlier buckets."""
-    grouped = totals.withColumn(_GROUP, F.floor(F.col(_BUCKET) / F.lit(width)).cast("long"))
-    groups = grouped.groupBy(*keys, partition, _GROUP).agg(*(m.of_totals(n).alias(n) for n, m in measures.items()))
-
-    across = Window.partitionBy(*keys).orderBy(partition, _GROUP).rowsBetween(Window.unboundedPreceding, -1)
-    before_group = groups.select(
-        *(F.col(c).alias(f"_g_{c}") for c in (*keys, partition, _GROUP)),
-        *(m.of_totals(n).over(across).alias(f"_far_{n}") for n, m in measures.items()),
-    )
-    if initial is not None:
-        if not keys:
-            raise ValueError("carried-in values need keys")
-        state = initial.select(*(F.col(k).alias(f"_s_{k}") for k in keys), *measures)
-        same_key = [F.col(f"_g_{k}").eqNullSafe(F.col(f"_s_{k}")) for k in keys]
-        with_state = before_group.join(state, same_key, "left")
-        before_group = with_state.withColumns(
-            {f"_far_{n}": m.combine(F.col(n), F.col(f"_far_{n}")) for n, m in measures.items()}
-        ).drop(*measures, *(f"_s_{k}" for k in keys))
-
-    within = (
-        Window.partitionBy(*keys, partition, _GROUP).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    grouped = totals.withColumn(_GROUP, _slice(_BUCKET, width))
+    group = [_PART, _GROUP, _KEY]
+    groups = grouped.groupBy(*group).agg(*(m.of_totals(n).alias(n) for n, m in measures.items()))
+
+    earlier = Window.partitionBy(_KEY).orderBy(_PART, _GROUP).rowsBetween(Window.unboundedPreceding, -1)
+    far = groups.select(*group, *(m.of_totals(n).over(earlier).alias(f"_far_{n}") for n, m in measures.items()))
+    if state is not None:
+        far = far.join(state, _KEY, "left").withColumns(
+            {f"_far_{n}": m.combine(F.col(f"_state_{n}"), F.col(f"_far_{n}")) for n, m in measures.items()}
+        )
+
+    beside = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     near = grouped.select(
-        *keys,
-        partition,
-        _BUCKET,
-        _GROUP,
-        *(m.of_totals(n).over(within).alias(f"_near_{n}") for n, m in measures.items()),
+        *group, _BUCKET, *(m.of_totals(n).over(beside).alias(f"_near_{n}") for n, m in measures.items())
     )
-    same = [
-        F.col(c).eqNullSafe(F.col(f"_g_{c}")) if c in keys else F.col(c) == F.col(f"_g_{c}")
-        for c in (*keys, partition, _GROUP)
-    ]
-    both = near.join(before_group, same, "left")
-    return both.select(
-        *keys,
-        partition,
+    return near.join(far, group, "left").select(
+        _PART,
         _BUCKET,
-        *(m.combine(F.col(f"_far_{n}"), F.col(f"_near_{n}")).alias(n) for n, m in measures.items()),
+        _KEY,
+        *(m.combine(F.col(f"_far_{n}"), F.col(f"_near_{n}")).alias(f"_before_{n}") for n, m in measures.items()),
     )
 
 
+def _slice(column: str, width: int) -> Column:
+    """Number the slices of ``width`` consecutive values."""
+    return F.coalesce(F.expr(f"`{column}` div {width}"), F.lit(-1).cast("long"))
+
+
+def _state(initial: DataFrame | None, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame | None:
+    """Return carried-in values by packed key."""
+    if initial is None:
+        return None
+    if not keys:
+        raise ValueError("carried-in values need keys")
+    return initial.select(F.struct(*keys).alias(_KEY), *(F.col(n).alias(f"_state_{n}") for n in measures))
+
+
 def stats_measures(column: str = "total") -> dict[str, Measure]:
     """The statistics a consumer keeps while messages arrive."""
     amount = F.col(column)

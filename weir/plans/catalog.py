@@ -123,6 +123,14 @@ class Given:
     def accepted_lines(self) -> DataFrame:
         return validate.valid_rows(self.consume_coffee(self.lines))
 
+    def consume_sales_stream(self) -> DataFrame:
+        rates = self.region_rates.stored(self.folder("rates"))
+        return consume(self.stream_sales(), SALES, rates, enrich.enrich_sales)
+
+    def consume_orders_stream(self) -> DataFrame:
+        rates = self.store_rates.stored(self.folder("rates"))
+        return consume(self.stream_orders(), COFFEE, rates, enrich.enrich_coffee)
+
     def stream_sales(self) -> DataFrame:
         return tables.sales_messages(self.stream("events"))
 
@@ -629,9 +637,8 @@ def field_default(g: Given) -> DataFrame:
 
 @query
 def enrich_sales(g: Given) -> DataFrame:
-    return enrich.enrich_sales(validate.valid_rows(g.checked_sales()), g.region_rates).drop(
-        validate.ERRORS, validate.IS_VALID
-    )
+    enriched = g.consume_sales(validate.valid_rows(g.checked_sales()))
+    return validate.valid_rows(enriched).drop(validate.ERRORS, validate.IS_VALID)
 
 
 @query
@@ -790,7 +797,7 @@ def stream_validate_route(g: Given) -> DataFrame:
 @query
 def stream_enrich(g: Given) -> DataFrame:
     path = g.folder("enrich")
-    enriched = validate.valid_rows(g.consume_sales(g.stream_sales()))
+    enriched = validate.valid_rows(g.consume_sales_stream())
     runs.run_append(project.consumed_shape(enriched, SALES), f"{path}/rows", f"{path}/checkpoint")
     return g.spark.read.parquet(f"{path}/rows")
 
@@ -798,7 +805,7 @@ def stream_enrich(g: Given) -> DataFrame:
 @query
 def stream_running_stats(g: Given) -> DataFrame:
     path = g.folder("stats")
-    stats = aggregate.run_stats(validate.valid_rows(g.consume_sales(g.stream_sales())))
+    stats = aggregate.run_stats(validate.valid_rows(g.consume_sales_stream()))
     runs.run_latest(stats, f"{path}/rows", f"{path}/checkpoint")
     return runs.read_latest(g.spark, f"{path}/rows")
 
@@ -806,7 +813,7 @@ def stream_running_stats(g: Given) -> DataFrame:
 @query
 def stream_running_rows(g: Given) -> DataFrame:
     path = g.folder("running")
-    accepted = validate.valid_rows(g.consume_sales(g.stream_sales()))
+    accepted = validate.valid_rows(g.consume_sales_stream())
     measures = running.stats_measures()
     runs.run_running(
         accepted.select(PARTITION, OFFSET, "total"), measures, [PARTITION], f"{path}/rows", f"{path}/state",
@@ -818,7 +825,7 @@ def stream_running_rows(g: Given) -> DataFrame:
 @query
 def stream_cumulative_by_key(g: Given) -> DataFrame:
     path = g.folder("cumulative")
-    accepted = validate.valid_rows(g.consume_coffee(g.stream_orders()))
+    accepted = validate.valid_rows(g.consume_orders_stream())
     runs.run_latest(aggregate.cumulative_by(accepted, "store_id"), f"{path}/rows", f"{path}/checkpoint")
     return runs.read_latest(g.spark, f"{path}/rows")
 
