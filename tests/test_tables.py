@@ -183,11 +183,31 @@ def test_csv_keeps_quotes_blanks_and_empty_fields(spark, frame, tmp_path):
     assert records.read_records(spark, path, SALES.fields).count() == 1
 
 
-def test_csv_header_must_match(spark, tmp_path):
+def test_csv_fields_are_found_by_name(spark, tmp_path):
     path = tmp_path / "x.csv"
-    path.write_text("a,c\n1,2\n")
+    path.write_text("b,extra,a\n2,9,1\n")
+    table = records.read_records(spark, str(path), ["a", "b"])
+    assert table.first().asDict() == {"a": "1", "b": "2", "extra": "9"}
+    with pytest.raises(SchemaError, match="lacks c; available fields: b, extra, a"):
+        records.read_records(spark, str(path), ["a", "c"])
+
+
+def test_csv_files_that_differ_fail_the_read(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n1,2\n")
     with pytest.raises(Exception, match="(?i)header"):
-        records.read_records(spark, str(path), ["a", "b"]).collect()
+        records.read_records(spark, str(tmp_path), ["a", "b"]).collect()
+
+
+def test_csv_stream(spark, tmp_path):
+    from weir.streaming import runs
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "in" / "2.csv").write_text("a,b\n3,\n")
+    stream = records.stream_records(spark, str(tmp_path / "in"), ["a", "b"], max_files=1)
+    runs.run_append(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [("1", "2"), ("3", None)]
 
 
 def test_messages_survive_encoding(spark, frame):

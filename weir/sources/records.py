@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from weir.operators.contract import require_fields
+
 # A quote inside a quoted field is doubled, as spreadsheet programs and Python's csv write it.
-# The header is compared with the schema, so a moved or renamed column fails the read.
+# Every file's header is compared with the schema, so files that differ fail the read.
 _READ = {"header": "true", "enforceSchema": "false", "escape": '"', "mode": "FAILFAST"}
 _WRITE = {
     "header": "true",
@@ -25,16 +27,20 @@ def text_schema(fields: Sequence[str]) -> StructType:
 
 
 def read_records(spark: SparkSession, path: str, fields: Sequence[str], multi_line: bool = False) -> DataFrame:
-    """Read CSV files with a header. Missing values are NULL.
+    """Read CSV files by their header. Missing values are NULL; fields beyond ``fields`` are kept.
 
-    ``multi_line`` admits line breaks inside quoted fields, at the price of unsplittable files.
+    Columns are found by name, in whatever order the files have them: one line is read for the
+    names, and no type is inferred. ``multi_line`` admits line breaks inside quoted fields, at the
+    price of unsplittable files.
     """
     options = {**_READ, "multiLine": str(multi_line).lower()}
-    return spark.read.schema(text_schema(fields)).options(**options).csv(path)
+    names = spark.read.options(**options).csv(path).columns
+    table = spark.read.schema(text_schema(names)).options(**options).csv(path)
+    return require_fields(table, fields, path)
 
 
 def stream_records(spark: SparkSession, path: str, fields: Sequence[str], max_files: int | None = None) -> DataFrame:
-    """Read a folder of CSV files as a stream."""
+    """Read a folder of CSV files as a stream; ``fields`` are in the order of the files."""
     reader = spark.readStream.schema(text_schema(fields)).options(**_READ)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
