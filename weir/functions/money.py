@@ -58,9 +58,7 @@ class MoneyPolicy:
 
     def price(self, text: Column) -> Column:
         """Parse a price text; 0 when missing, NULL when it is no number. Casts ignore outer blanks."""
-        number = "0" if self.exact else 0.0
-        parsed = text.try_cast(self._price_type)
-        return F.when(is_missing(text), F.lit(number).cast(self._price_type)).otherwise(parsed)
+        return _number(text, self._price_type)
 
     def rate(self, percent: Column) -> Column:
         """Turn a looked-up percentage into a fraction, with the default for a miss."""
@@ -103,7 +101,12 @@ PYTHON_FLOAT = MoneyPolicy("python_float", exact=False)
 
 def quantity(text: Column) -> Column:
     """Parse a quantity text; 0 when missing, NULL when it is no 32-bit whole number."""
-    return F.when(is_missing(text), F.lit(0)).otherwise(text.try_cast("int"))
+    return _number(text, "int")
+
+
+def _number(text: Column, kind: str) -> Column:
+    # Text that parses is not looked at again: whether it is missing matters only when it does not.
+    return F.coalesce(text.try_cast(kind), F.when(is_missing(text), F.lit("0").cast(kind)))
 
 
 def money_text(amount: Column) -> Column:

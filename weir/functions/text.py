@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,22 +30,33 @@ def is_missing(column: Column) -> Column:
     """True for NULL and for blank text; never NULL.
 
     Text below ``!`` is empty or begins with a blank, so other text is told apart by one
-    comparison and never stripped.
+    comparison, evaluates the column once and is never stripped.
+    """
+    return (F.coalesce(column, F.lit("")) < "!") & (column.isNull() | (stripped(column) == ""))
+
+
+def any_missing(columns: Sequence[Column]) -> Column:
+    """True when at least one of the columns is missing.
+
+    The smallest text decides whether any can be; only then is each looked at. This keeps the
+    generated code of wide contracts small enough to be compiled.
     """
-    return column.isNull() | ((column < "!") & (stripped(column) == ""))
+    if len(columns) < 2:
+        return is_missing(columns[0]) if columns else F.lit(False)
+    texts = [F.coalesce(column, F.lit("")) for column in columns]
+    return (F.least(*texts) < "!") & F.exists(F.array(*texts), lambda value: stripped(value) == "")
 
 
 def quoted(column: Column) -> Column:
     """Return the value as it appears in a message: quoted the way Python shows a string."""
-    text = F.replace(or_empty(column), F.lit("\\"), F.lit("\\\\"))
+    value = or_empty(column)
+    single, double = value.contains("'"), value.contains('"')
+    mark = F.when(single & ~double, '"').otherwise("'")
+    body = F.replace(value, F.lit("\\"), F.lit("\\\\"))
     for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        text = F.replace(text, F.lit(raw), F.lit(shown))
-    single, double = text.contains("'"), text.contains('"')
-    return (
-        F.when(single & ~double, F.concat(F.lit('"'), text, F.lit('"')))
-        .when(single, F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'")))
-        .otherwise(F.concat(F.lit("'"), text, F.lit("'")))
-    )
+        body = F.replace(body, F.lit(raw), F.lit(shown))
+    body = F.replace(body, F.lit("'"), F.when(single & double, "\\'").otherwise("'"))
+    return F.concat(mark, body, mark)
 
 
 def complaint(label: str, column: Column) -> Column:

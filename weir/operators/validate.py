@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.rules import KNOWN_FLAG, Rule, required
-from weir.functions.text import is_missing
+from weir.functions.text import any_missing, is_missing
 from weir.operators.contract import ERROR_TEXT, Contract, require_fields
 from weir.operators.lookup import Lookup, flag_known
 
@@ -27,9 +25,16 @@ def messages_of(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*(rule.outcome() for rule in rules)).cast("array<string>"))
 
 
-def passes(rules: Sequence[Rule]) -> Column:
-    """True when no rule fails. Stops at the first failure and builds no messages."""
-    return ~reduce(or_, (rule.fails() for rule in rules), F.lit(False))
+def passes(conditions: Sequence[Column]) -> Column:
+    """True when none of the failure conditions holds; stops at the first that does.
+
+    The cases make one predicate that is not split up. Split into its parts, a filter on it would
+    have the optimizer rewrite every part for every projection below, which takes seconds.
+    """
+    verdict = F.when(conditions[0], False)
+    for condition in conditions[1:]:
+        verdict = verdict.when(condition, False)
+    return verdict.otherwise(True)
 
 
 def check(df: DataFrame, required_fields: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:
@@ -39,9 +44,10 @@ def check(df: DataFrame, required_fields: Sequence[str], rules: Sequence[Rule] =
     ``is_valid`` is an expression of its own, so plans that only filter never build messages.
     """
     require_fields(df, [*required_fields, *(f for rule in rules for f in rule.fields)])
-    must_have = [required(name) for name in required_fields]
-    errors = F.when(passes(must_have), messages_of(rules)).otherwise(messages_of(must_have))
-    return df.withColumns({ERRORS: errors, IS_VALID: passes([*must_have, *rules])})
+    incomplete = any_missing([F.col(name) for name in required_fields])
+    missing = messages_of([required(name) for name in required_fields])
+    errors = F.when(incomplete, missing).otherwise(messages_of(rules))
+    return df.withColumns({ERRORS: errors, IS_VALID: passes([incomplete, *(rule.fails() for rule in rules)])})
 
 
 def validate(df: DataFrame, contract: Contract, references: Mapping[str, Lookup]) -> DataFrame:

@@ -37,8 +37,10 @@ def _pick(index: Column, *values: str) -> Column:
 
 def sales_messages(events: DataFrame) -> DataFrame:
     """Spell ``events`` as sales messages with their envelope. Works on batch and streams."""
+    # As the output of a generator the counter is extracted once a row, however many fields and
+    # later filters mention it.
     counter = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    numbered = events.select("event_id", "ts", "user_id", "event_type", "value", counter.alias("k"))
+    numbered = events.select("event_id", "ts", "user_id", "event_type", "value", F.explode(F.array(counter)).alias("k"))
     k, user = F.col("k"), F.col("user_id")
     region = F.when(k == 8, "R'9").otherwise(_label("R-", user % 6))
     return numbered.select(
