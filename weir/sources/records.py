@@ -55,3 +55,14 @@ def write_records(df: DataFrame, path: str, first: bool = True) -> None:
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch to its own folder, so that a retry replaces it."""
     df.write.mode("overwrite").options(**_WRITE).csv(f"{path}/batch_id={batch_id}")
+
+
+def clear_batches(like: DataFrame, path: str) -> None:
+    """Remove the batches of earlier runs, leaving an empty folder. ``like`` gives any schema."""
+    empty = like.sparkSession.createDataFrame([], text_schema([*like.columns[:1], "batch_id"]))
+    empty.write.mode("overwrite").partitionBy("batch_id").csv(path)
+
+
+def count_records(spark: SparkSession, path: str, fields: Sequence[str]) -> int:
+    """Count the rows of CSV output, which may have no file with a header when there are none."""
+    return spark.read.schema(text_schema(fields)).options(**_READ).csv(path).count()
