@@ -123,7 +123,7 @@ def test_a_bounded_run_stops_at_the_exact_message(given, topic, tmp_path, limit)
 
 
 def test_cumulative_revenue_by_store(given, tmp_path):
-    orders = tables.order_messages(runs.stream_files(given.spark, SF, given.table("orders").schema, "orders.parquet"))
+    orders = tables.order_messages(runs.stream_files(given.spark, f"{SF}/orders.parquet", given.table("orders").schema))
     accepted = valid_rows(consume(orders, COFFEE, given.store_rates.stored(f"{tmp_path}/rates"), enrich_coffee))
     runs.run_latest(aggregate.cumulative_by(accepted, "store_id"), f"{tmp_path}/rows", f"{tmp_path}/checkpoint")
     batch = aggregate.cumulative_by(given.accepted_orders(), "store_id")

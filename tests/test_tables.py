@@ -241,3 +241,8 @@ def test_parsing_happens_once_below_a_filter(spark):
     arrived = spark.createDataFrame([("k", "{}", 0, 1)], "key string, value string, partition int, offset long")
     checked_rows = check(topics.decode(arrived, SALES), SALES.required).where("is_valid")
     assert checked_rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_topics_need_the_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        topics.read_topic(spark, "localhost:9092", "orders", stream=False)

@@ -26,7 +26,7 @@ from weir.operators.contract import require_fields
 from weir.operators.validate import IS_VALID
 
 PARTITION, OFFSET = "_kafka_partition", "_kafka_offset"
-WIDTH = 1 << 16
+WIDTH = 1 << 18
 
 _PART, _BUCKET, _GROUP, _KEY = "_part", "_bucket", "_group", "_key"
 

@@ -52,7 +52,7 @@ class Given:
         return tables.table(self.spark, self.sf_dir, name)
 
     def stream(self, name: str) -> DataFrame:
-        return runs.stream_files(self.spark, self.sf_dir, self.table(name).schema, f"{name}.parquet")
+        return runs.stream_files(self.spark, f"{self.sf_dir}/{name}.parquet", self.table(name).schema)
 
     @cached_property
     def sales(self) -> DataFrame:

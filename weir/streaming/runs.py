@@ -20,14 +20,14 @@ from weir.operators.route import BATCH, Landing
 from weir.operators.running import Measure, running, with_mean
 
 
-def stream_files(
-    spark: SparkSession, path: str, schema: StructType, pattern: str = "*.parquet", max_files: int | None = None
-) -> DataFrame:
-    """Read parquet files of a folder as a stream, from the first file on."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+def stream_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """Read a parquet table, a folder of files or one file, as a stream from its first file on."""
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    # Only a pattern may name a single file; in braces the last name is a pattern for itself.
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return reader.parquet(f"{folder}/{{{name}}}")
 
 
 def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
