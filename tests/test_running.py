@@ -35,7 +35,7 @@ def plain(df, keys):
 
 
 def values(df, *columns):
-    return sorted(map(tuple, df.select(PARTITION, OFFSET, *columns).collect()))
+    return sorted(map(tuple, df.select(PARTITION, OFFSET, *columns).collect()), key=lambda row: row[:2])
 
 
 @pytest.mark.parametrize("keys", [[], ["store"], [PARTITION], ["store", "is_valid"]])
@@ -93,6 +93,14 @@ def test_a_long_prefix_equals_a_short_one(events, n):
     assert short.count() == min(n, events.count())
 
 
+@pytest.mark.parametrize("n", [0, 3, 250, 10_000])
+def test_a_long_replay_equals_a_short_one(events, n):
+    order = ["store", "total", OFFSET]
+    short, long = ordering.first_rows(events, n, order), ordering.first_rows(events, n, order, max_top_rows=-1)
+    assert long.columns == events.columns
+    assert values(long, "store", "total") == values(short, "store", "total")
+
+
 def test_a_key_stays_in_order_across_neighbouring_partitions(spark, events):
     laid_out = ordering.keyed_order(events, "store", [PARTITION, OFFSET], 6)
     placed = laid_out.select(F.spark_partition_id().alias("p"), "store", PARTITION, OFFSET).collect()

@@ -9,15 +9,36 @@ from pyspark.sql import functions as F
 
 from weir.operators.contract import require_fields
 from weir.operators.running import OFFSET, PARTITION, WIDTH, Measure, running
+from weir.session import workspace
 
 # Up to this many rows a prefix is taken with ORDER BY and LIMIT, which merges in one place.
 MAX_TOP_ROWS = 100_000
 
 
-def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """Return the first ``n`` rows of an explicit order: a bounded replay of a source."""
+def first_rows(df: DataFrame, n: int, order: Sequence[str], max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
+    """Return the first ``n`` rows of an explicit order: a bounded replay of a source.
+
+    For a long prefix the sorted rows are written once with their place (sorted slice, row in it),
+    and cut by running position, so no task receives all of them. The order should end in a column
+    that tells rows apart, so that equal values can be spread over slices.
+    """
     require_fields(df, order)
-    return df.orderBy(*order).limit(n)
+    if n <= max_top_rows:
+        return df.orderBy(*order).limit(n)
+    spark, path = df.sparkSession, workspace(df.sparkSession, "ordered")
+    df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    row_bits = 33  # a place is the slice number above 33 bits of row number
+    placed = spark.read.parquet(path).withColumns(
+        {"_slice": F.shiftright("_place", row_bits), "_row": F.col("_place").bitwiseAND(F.lit((1 << row_bits) - 1))}
+    )
+    return _cut(placed.drop("_place"), n, "_slice", "_row").drop("_slice", "_row")
+
+
+def _cut(df: DataFrame, n: int, partition: str, offset: str, width: int = WIDTH) -> DataFrame:
+    """Keep the rows whose running position is at most ``n``."""
+    position = {"_position": Measure("count", F.lit(1))}
+    counted = running(df, position, partition=partition, offset=offset, width=width)
+    return counted.where(F.col("_position") <= n).drop("_position")
 
 
 def first_messages(df: DataFrame, n: int, max_top_rows: int = MAX_TOP_ROWS, width: int = WIDTH) -> DataFrame:
@@ -27,8 +48,7 @@ def first_messages(df: DataFrame, n: int, max_top_rows: int = MAX_TOP_ROWS, widt
     """
     if n <= max_top_rows:
         return first_rows(df, n, [PARTITION, OFFSET])
-    counted = running(df, {"_position": Measure("count", F.lit(1))}, width=width)
-    return counted.where(F.col("_position") <= n).drop("_position")
+    return _cut(df, n, PARTITION, OFFSET, width)
 
 
 def keyed_order(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:
