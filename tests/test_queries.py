@@ -12,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as driver
 from tools.compare import difference
+from weir.operators.lookup import Lookup
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,5 +35,18 @@ def test_query_matches_sql(spark, sql, name):
     assert difference(ours, sql.execute(driver.oracle_sql()[name]).df()) == ""
 
 
+@pytest.mark.parametrize(
+    "name", ["validate_sale", "enrich_coffee", "membership_semi", "membership_anti", "lookup_miss_report", "stream_enrich"]
+)
+def test_query_matches_sql_when_no_lookup_may_be_broadcast(spark, sql, name, monkeypatch):
+    monkeypatch.setattr(Lookup, "is_small", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ours = driver.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert difference(ours, sql.execute(driver.oracle_sql()[name]).df()) == ""
+
+
 def test_entry_returns_rows(spark):
     assert driver.entry(spark).columns == ["store_id", "order_count", "revenue"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.rules import KNOWN_FLAG
 from weir.functions.text import is_missing
-from weir.operators.contract import require_fields
+from weir.operators.contract import ENVELOPE, require_fields
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -91,15 +91,18 @@ def probe(
 ) -> DataFrame:
     """Join ``df`` to a lookup on the column ``on``, keeping every row of ``df`` once at most.
 
-    ``spread_by`` names columns that differ between the rows of one key (by default all
-    columns); they decide which of the ``salts`` shares of a key a row belongs to.
+    ``spread_by`` names columns that differ between the rows of one key: by default the offset of
+    a message, which no other has, or else all columns. They decide which of the ``salts`` shares of
+    a key a row belongs to. The share follows from the row alone, so a task that is run again
+    places its rows as before.
     """
     require_fields(df, [on])
     if lookup.is_small:
         side = F.broadcast(lookup.frame)
         return df.join(side, df[on] == side[_KEY], how).drop(_KEY)
-    spread = [F.col(c) for c in (spread_by or df.columns)]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    offset = [c for c in ENVELOPE[1:] if c in df.columns]
+    spread = F.xxhash64(*(F.col(c) for c in (spread_by or offset or df.columns)))
+    salted = df.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     shares = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     side = lookup.frame.withColumn("_share", shares)
     matched = (salted[on] == side[_KEY]) & (salted["_salt"] == side["_share"])
