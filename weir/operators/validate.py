@@ -20,11 +20,6 @@ class DirtyReference(ValueError):
     """A reference table has rows that break its own contract."""
 
 
-def messages_of(rules: Sequence[Rule]) -> Column:
-    """Return the messages of the failing rules, in rule order."""
-    return F.array_compact(F.array(*(rule.outcome() for rule in rules)).cast("array<string>"))
-
-
 def passes(conditions: Sequence[Column]) -> Column:
     """True when none of the failure conditions holds; stops at the first that does.
 
@@ -37,17 +32,30 @@ def passes(conditions: Sequence[Column]) -> Column:
     return verdict.otherwise(True)
 
 
+def messages_of(rules: Sequence[Rule], failed: Sequence[Column]) -> Column:
+    """Return the messages of the failed rules, in rule order."""
+    outcomes = [F.when(condition, rule.message()) for rule, condition in zip(rules, failed)]
+    return F.array_compact(F.array(*outcomes).cast("array<string>"))
+
+
 def check(df: DataFrame, required_fields: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:
     """Add ``errors`` and ``is_valid``.
 
     A row that lacks required fields reports only those; the other rules assume they are there.
-    ``is_valid`` is an expression of its own, so plans that only filter never build messages.
+    Each condition is a column of its own that both results read, so it is evaluated once.
+    ``is_valid`` does not need ``errors``: plans that only filter never build messages.
     """
     require_fields(df, [*required_fields, *(f for rule in rules for f in rule.fields)])
+    conditions = {f"_fails_{i}": rule.fails() for i, rule in enumerate(rules)}
     incomplete = any_missing([F.col(name) for name in required_fields])
-    missing = messages_of([required(name) for name in required_fields])
-    errors = F.when(incomplete, missing).otherwise(messages_of(rules))
-    return df.withColumns({ERRORS: errors, IS_VALID: passes([incomplete, *(rule.fails() for rule in rules)])})
+    decided = df.withColumns({"_incomplete": incomplete, **conditions})
+    failed = [F.col(name) for name in conditions]
+
+    must_have = [required(name) for name in required_fields]
+    missing = messages_of(must_have, [rule.fails() for rule in must_have])
+    errors = F.when(F.col("_incomplete"), missing).otherwise(messages_of(rules, failed))
+    results = {ERRORS: errors, IS_VALID: passes([F.col("_incomplete"), *failed])}
+    return decided.withColumns(results).drop("_incomplete", *conditions)
 
 
 def validate(df: DataFrame, contract: Contract, references: Mapping[str, Lookup]) -> DataFrame:

@@ -19,8 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def iso_text(moment: Column) -> Column:
     """Spell a time-zone-free moment as ``2024-01-31T10:20:30Z``, whatever the session's zone is."""
-    shown = moment.cast("string")
-    return F.concat(F.substring(shown, 1, 10), F.lit("T"), F.substring(shown, 12, 8), F.lit("Z"))
+    shown = F.substring(moment.cast("string"), 1, 19)
+    return F.concat(F.replace(shown, F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def _label(prefix: str, column: Column) -> Column:
