@@ -42,23 +42,13 @@ def word_count(text: Column) -> Column:
 def running_before(frame: DataFrame, keys: list[str], block: str, order: list, value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of a key that come before a row.
 
-    Rows are ordered by ``block``, then ``order``. Only one block of a key has to fit in a task: sums of
-    whole blocks are carried in a table with a row for each block.
+    Rows are ordered by ``block``, then ``order``; keys and block hold no NULL. Only one block of a key has to
+    fit in a task: sums of whole blocks are carried by a table with a row for each block. The rows are
+    shuffled once, since the join deals them as the window does.
     """
     totals = frame.groupBy(*keys, block).agg(F.sum(value).alias("_total"))
     across = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, block])],
-        F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_carry"),
-    )
+    carried = totals.select(*keys, block, F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_carry"))
     within = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = frame.withColumn("_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    same = [inside[k].eqNullSafe(carried[f"_k{i}"]) for i, k in enumerate([*keys, block])]
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
-    return (
-        inside.join(carried, condition)
-        .withColumn(out, F.col("_carry") + F.col("_inside"))
-        .drop("_inside", "_carry", *[f"_k{i}" for i in range(len(keys) + 1)])
-    )
+    return inside.join(carried, [*keys, block]).withColumn(out, F.col("_carry") + F.col("_inside")).drop("_inside", "_carry")

@@ -164,7 +164,7 @@ def thresholds(measured: DataFrame) -> DataFrame:
             ],
         )
 
-    groups = measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_rows"))
+    groups = measured.groupBy("lang", "source").agg(F.lit(1).alias("_one"))
     group, lang, every = fences("group", ["lang", "source"]), fences("lang", ["lang"]), fences("all", [])
     joined = (
         groups.join(
@@ -173,7 +173,7 @@ def thresholds(measured: DataFrame) -> DataFrame:
             "left",
         )
         .join(lang, groups["lang"].eqNullSafe(lang["lang_lang"]), "left")
-        .join(F.broadcast(every), F.lit(True), "left")  # one row
+        .join(F.broadcast(every.withColumn("_one", F.lit(1))), "_one", "left")  # one row
     )
     chosen = lambda what: (
         F.when(F.col("group_size") >= SMALL_GROUP, F.col(f"group_{what}"))

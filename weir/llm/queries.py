@@ -4,14 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import quality, simhash
-from weir.llm.common import read_table
+from weir.llm import bpe, quality, sharding, simhash, token_counts
+from weir.llm.common import keep, read_table
 
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
+SHARDS = 16
+#: Tokenizer files; small, and sent to the executors with the code that uses them.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot; shards have near equal bytes."""
+    placed = sharding.shards(read_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram of encoded lengths with what holds at each length as the context limit."""
+    texts = read_table(spark, sf_dir, "documents").select("text")
+    lengths = token_counts.token_lengths(texts, token_counts.read_ranks(BYTE_BPE), public_tokenizers.PATTERN)
+    return token_counts.context_table(keep(token_counts.histogram(lengths), "token-histogram"))
+
+
+def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's token ids and of the text they decode to."""
+    return bpe.encode_digests(read_table(spark, sf_dir, "documents"), bpe.read_definition(WORD_BPE))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,5 +64,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
     return {
         f.__name__: f
-        for f in (op8_simhash_near_dedup, op9_quality_rules)
+        for f in (op4_sharding, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules)
     }
