@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, quality, sharding, simhash, token_counts
+from weir.llm import bpe, mixing, quality, sharding, simhash, token_counts
 from weir.llm.common import keep, read_table
 
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
@@ -19,6 +19,12 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document, with its source's target."""
+    sized = keep(mixing.sizes(read_table(spark, sf_dir, "documents")), "mix-sizes")
+    return mixing.copies(sized).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot; shards have near equal bytes."""
     placed = sharding.shards(read_table(spark, sf_dir, "documents"), SHARDS)
@@ -64,5 +70,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
     return {
         f.__name__: f
-        for f in (op4_sharding, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules)
+        for f in (op1_mixing, op4_sharding, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules)
     }
