@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, mixing, quality, sharding, simhash, token_counts
+from weir.llm import bpe, fingerprints, mixing, quality, sharding, simhash, token_counts
 from weir.llm.common import keep, read_table
 
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
@@ -34,6 +34,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's fingerprint, and its likeness to the edited text's and the next document's."""
+    return fingerprints.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histogram of encoded lengths with what holds at each length as the context limit."""
     texts = read_table(spark, sf_dir, "documents").select("text")
@@ -70,5 +75,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
     return {
         f.__name__: f
-        for f in (op1_mixing, op4_sharding, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules)
+        for f in (op1_mixing, op4_sharding, op5_fingerprints, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules)
     }
