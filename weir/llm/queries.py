@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, fingerprints, mixing, quality, sharding, simhash, token_counts
+from weir.llm import bpe, fingerprints, mixing, quality, sharding, simhash, token_counts, toxicity
 from weir.llm.common import keep, read_table
 
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
@@ -64,6 +64,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "failed_rule")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, by a model fitted on labelled documents."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit_sample(docs, labels))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -75,5 +81,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
     return {
         f.__name__: f
-        for f in (op1_mixing, op4_sharding, op5_fingerprints, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules)
+        for f in (op1_mixing, op4_sharding, op5_fingerprints, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules, op10_toxicity)
     }
