@@ -58,4 +58,26 @@ FROM (
   FROM measured m LEFT JOIN wide w ON m.lang IS NOT DISTINCT FROM w.lang AND m.source IS NOT DISTINCT FROM w.source)
 """
 
-ORACLE: dict[str, str] = {"op9_quality_rules": QUALITY}
+CHAT = r"""
+WITH said AS (
+  SELECT conv_id, turn::BIGINT AS turn, CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE lower(trim(role)) END AS name,
+         coalesce(text, '') AS text
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, name AS perspective FROM said WHERE name <> 'system'),
+shown AS (
+  SELECT said.*, perspective, '<|' || CASE WHEN name = 'system' THEN name WHEN name = perspective THEN 'assistant' ELSE 'user:' || name END
+         || '|>' || chr(10) AS head
+  FROM said JOIN people ON said.conv_id IS NOT DISTINCT FROM people.conv_id),
+placed AS (
+  SELECT *, head || text || '<|end|>' || chr(10) AS rendered,
+         row_number() OVER w - 1 AS position,
+         coalesce(sum(length(head) + length(text) + 8) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM shown WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, name, text))
+SELECT conv_id, perspective, turn, position,
+       CASE WHEN name = 'system' THEN name WHEN name = perspective THEN 'assistant' ELSE 'user' END AS role, rendered, start,
+       CASE WHEN name = perspective THEN start + length(head) ELSE start END AS mask_start,
+       CASE WHEN name = perspective THEN start + length(head) + length(text) + 7 ELSE start END AS mask_end
+FROM placed
+"""
+
+ORACLE: dict[str, str] = {"op2_chat_formatting": CHAT, "op9_quality_rules": QUALITY}
