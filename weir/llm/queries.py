@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, chat, fingerprints, mixing, quality, sharding, simhash, token_counts, toxicity
+from weir.llm import bpe, chat, fingerprints, mixing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity
 from weir.llm.common import keep, read_table
 
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
@@ -30,6 +30,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(read_table(spark, sf_dir, "conversations"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of 400 bytes that start anywhere else too."""
+    return suffix_dedup.removal_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot; shards have near equal bytes."""
     placed = sharding.shards(read_table(spark, sf_dir, "documents"), SHARDS)
@@ -86,5 +91,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
     return {
         f.__name__: f
-        for f in (op1_mixing, op2_chat_formatting, op4_sharding, op5_fingerprints, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules, op10_toxicity)
+        for f in (op1_mixing, op2_chat_formatting, op3_suffix_array_dedup, op4_sharding, op5_fingerprints, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules, op10_toxicity)
     }
