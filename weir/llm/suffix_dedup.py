@@ -14,7 +14,8 @@ few long ones. Hence, before it:
   equal bytes are repeated as they are. Only keys whose stretches differ, or move, are contested.
 * Contested stretches are cut into blocks of ``BLOCKS[0]`` windows, aligned at the place of the key, and
   compared again by the bytes that all windows of a block share. What is still contested, about one block for each
-  end of a repeated run, goes into the construction, in collections of bounded size.
+  end of a repeated run, goes into the construction, in collections of bounded size. There the shared bytes
+  are one symbol, so a text has about 128 columns.
 * A group that is too large for one collection is cut into smaller blocks, down to single windows,
   so a passage in any number of documents never meets in one task.
 
@@ -46,8 +47,8 @@ GRAM = 16
 #: Windows of a block, at first and for groups that are too large.
 BLOCKS = (64, 8, 1)
 #: Texts of one collection, about, and texts of one group that may go into one.
-COLLECTION = 3_000
-LARGEST_GROUP = 6_000
+COLLECTION = 2_000
+LARGEST_GROUP = 8_000
 #: Windows whose hashes are in memory at a time; their places fit into ``PLACE_BITS`` bits.
 WINDOWS_AT_ONCE = 1 << 15
 PLACE_BITS = np.uint64(16)
@@ -100,7 +101,8 @@ def _signed(data: bytes) -> int:
 def blocks(data: bytes, key: int, size: int) -> dict[tuple[int, int], list]:
     """Blocks of at most ``size`` windows of a text all of whose windows have ``key``.
 
-    For each (hash of the bytes that the block's windows share, hash of its own bytes): windows and first windows.
+    For each (hash of the bytes that the block's windows share, hash of its own bytes): windows, bytes before the shared
+    ones and first windows.
     """
     windows = len(data) - LENGTH + 1
     places = np.flatnonzero(gram_hashes(np.frombuffer(data, np.uint8)) == key)
@@ -111,31 +113,33 @@ def blocks(data: bytes, key: int, size: int) -> dict[tuple[int, int], list]:
     out: dict[tuple[int, int], list] = {}
     rows = zip(cut.tolist(), np.append(cut[1:], windows).tolist(), place[cut].tolist(), number[cut].tolist(), strict=True)
     for first, after, at, n in rows:
-        shared = data[at - n * size : at - n * size - size + 1 + LENGTH]
+        begin = at - n * size
+        shared = data[begin : begin + LENGTH - size + 1]
         names = _signed(shared + n.to_bytes(2, "little") + key.to_bytes(8, "little")), _signed(data[first : after - 1 + LENGTH])
-        out.setdefault(names, [after - first]).append(first)
+        out.setdefault(names, [after - first, begin - first]).append(first)
     return out
 
 
-def construct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def construct(texts: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes of a collection in order, and the common prefixes of neighbours.
 
-    Column by column: in round j the suffixes of length j are inserted. A suffix is its first symbol and the place of
+    Column by column: in round j the suffixes of j symbols are inserted. A suffix is its first symbol and the place of
     the rest, which is known from the round before; among the suffixes that start with that symbol it stands in the
     order of those places. So ``rest``, the place of each suffix's rest, holds the transform: its symbol is the
     one whose segment leads there.
 
-    Returns ``rest`` and ``common`` over all suffixes, the empty ones of each text first.
+    Symbols are numbers below ``len(weights)``; common prefixes are sums of their symbols' weights. Returns ``rest`` and
+    ``common`` over all suffixes, the empty ones of each text first.
     """
     count = len(texts)
     lengths = np.array([len(t) for t in texts])
-    by_column = np.zeros((int(lengths.max(initial=0)), count), np.uint8)  # row j: the symbols j from the end
+    by_column = np.zeros((int(lengths.max(initial=0)), count), np.int64)  # row j: the symbols j from the end
     for i, t in enumerate(texts):
-        by_column[: len(t), i] = np.frombuffer(t, np.uint8)[::-1]
+        by_column[: len(t), i] = t[::-1]
     place = np.arange(count)
-    rest = np.full(count, -1, np.int32)
+    rest = np.full(count, -1)
     common = np.zeros(count, np.int16)
-    segment = np.full(257, count)  # where the suffixes that start with a symbol begin
+    segment = np.full(len(weights) + 1, count)  # where the suffixes that start with a symbol begin
     for j in range(len(by_column)):
         active = np.flatnonzero(lengths > j)
         symbols, before = by_column[j, active], place[active]
@@ -146,39 +150,30 @@ def construct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         at = np.empty(len(symbols), np.int64)
         for c, lo, hi in zip(used.tolist(), first.tolist(), ends.tolist(), strict=True):
             begin = segment[c]
-            at[lo:hi] = begin + np.searchsorted(rest[begin : segment[c + 1]], before[lo:hi])
+            at[lo:hi] = begin + rest[begin : segment[c + 1]].searchsorted(before[lo:hi])
         new = at + np.arange(len(at))
         total = len(rest) + len(at)
-        is_new = np.zeros(total, bool)
-        is_new[new] = True
-        old = np.flatnonzero(~is_new).astype(np.int32)  # where what was there goes
-        merged = np.empty(total, np.int32)
-        merged[new] = before
-        merged[old] = rest  # still places before this round
-        starts = segment + np.concatenate(([0], np.cumsum(np.bincount(symbols, minlength=256))))
-        # Neighbours of which one is new share one symbol more than their rests, or none if their symbols differ.
-        touched = np.unique(np.concatenate((new, new[new + 1 < total] + 1)))
-        is_first = np.zeros(total + 1, bool)
-        is_first[starts] = True
-        is_first[:count] = True
-        inner = touched[~is_first[touched]]
-        grown = np.empty(total, np.int16)
-        grown[old] = common
+        merged = np.insert(rest, at, before)  # still places before this round
+        grown = np.insert(common, at, 0)
+        starts = segment + np.concatenate(([0], np.cumsum(np.bincount(symbols, minlength=len(weights)))))
+        # Neighbours of which one is new share their first symbol and what their rests share, or nothing.
+        touched = np.concatenate((new, np.setdiff1d(new + 1, new, assume_unique=True)))
+        touched = touched[touched < total]
+        symbol = starts.searchsorted(touched, side="right") - 1
+        same = starts[symbol] < touched
+        inner = touched[same]
         grown[touched] = 0
         if len(inner):
-            grown[inner] = 1 + _range_minima(common, merged[inner - 1].astype(np.int64) + 1, merged[inner].astype(np.int64))
-        merged[count:] = old_to_new(old, merged[count:])
+            grown[inner] = weights[symbol[same]] + _range_minima(common, merged[inner - 1] + 1, merged[inner])
+        is_old = np.ones(total, bool)
+        is_old[new] = False
+        merged[count:] = np.flatnonzero(is_old).take(merged[count:])  # where what was there has gone
         rest, common, segment = merged, grown, starts
         place = place.copy()
         place[active] = new
     return rest, common
 
 
-def old_to_new(old: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Where places of the last round are now."""
-    return old[places]
-
-
 def _range_minima(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The least value from each ``first`` to its ``last``, both included."""
     levels = np.log2(last - first + 1).astype(np.int64)
@@ -194,23 +189,33 @@ def _range_minima(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np
     return out
 
 
-def repeated_windows(texts: list[bytes]) -> list[np.ndarray]:
-    """For each text of a collection the first windows that also start anywhere else in it, as a mask."""
-    rest, common = construct(texts)
+def repeated_windows(texts: list[bytes], before: list[int], shared: int) -> list[np.ndarray]:
+    """For each text of a collection the first windows that also start anywhere else in it, as a mask.
+
+    All windows of a text contain the ``shared`` bytes that stand behind its first ``before`` ones. Such bytes are one
+    symbol, by their value; the others are a symbol each.
+    """
+    names: dict[bytes, int] = {}
+    spelled = []
+    for text, at in zip(texts, before, strict=True):
+        middle = names.setdefault(text[at : at + shared], 256 + len(names))
+        spelled.append(np.array([*text[:at], middle, *text[at + shared :]], np.int64))
+    weights = np.ones(256 + len(names), np.int16)
+    weights[256:] = shared
+    rest, common = construct(spelled, weights)
     long = common >= LENGTH
     twice = long | np.append(long[1:], False)
     count = len(texts)
-    back = np.full(len(rest), -1, np.int64)  # the place of the suffix that is one symbol longer
+    back = np.full(len(rest), -1)  # the place of the suffix that is one symbol longer
     back[rest[count:]] = np.arange(count, len(rest))
-    masks = [np.zeros(max(0, len(t) - LENGTH + 1), bool) for t in texts]
-    lengths = np.array([len(t) for t in texts])
+    masks = [np.zeros(len(t) - LENGTH + 1, bool) for t in texts]
+    lengths = np.array([len(t) for t in spelled])
     place = np.arange(count)
     for j in range(1, int(lengths.max(initial=0)) + 1):
         active = lengths >= j
         place[active] = back[place[active]]
-        if j >= LENGTH:
-            for i in np.flatnonzero(active & twice[place]).tolist():
-                masks[i][lengths[i] - j] = True
+        for i in np.flatnonzero(active & twice[place]).tolist():
+            masks[i][lengths[i] - j] = True
     return masks
 
 
@@ -233,7 +238,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 _L, _I, _B = T.LongType(), T.IntegerType(), T.BinaryType()
 _STRETCHES = _struct(d1=_L, d2=_L, key=_L, own=_L, first=_I, windows=_I, moves=T.BooleanType())
 _ITEMS = _struct(a=_L, b=_L, key=_L, n=_L, data=_B)
-_BLOCKS = _struct(c=_L, e=_L, a=_L, b=_L, key=_L, n=_L, windows=_I, firsts=T.ArrayType(_I))
+_BLOCKS = _struct(c=_L, e=_L, a=_L, b=_L, key=_L, n=_L, windows=_I, before=_I, firsts=T.ArrayType(_I))
 _FOUND = _struct(a=_L, b=_L, first=_I, last=_I)
 
 
@@ -289,12 +294,21 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
         for batch in batches:
             out: dict[str, list] = {name: [] for name in _BLOCKS.names}
             for a, b, key, n, data in zip(*(batch.column(c).to_pylist() for c in _ITEMS.names), strict=True):
-                for (c, e), (windows, *firsts) in blocks(data, key, size).items():
-                    row = c, e, a, b, key, n * len(firsts), windows, firsts
+                for (c, e), (windows, before, *firsts) in blocks(data, key, size).items():
+                    row = c, e, a, b, key, n * len(firsts), windows, before, firsts
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
             yield _table(out, _BLOCKS)
 
+    def solve(table: pa.Table) -> pa.Table:
+        a, b, n, before, data = (table.column(c).to_pylist() for c in ("a", "b", "n", "before", "data"))
+        out: dict[str, list] = {name: [] for name in _FOUND.names}
+        for *name, times, mask in zip(a, b, n, repeated_windows(data, before, LENGTH - size + 1), strict=True):
+            for first, last in _runs(mask) if times == 1 else ():  # of the others all windows are repeated
+                for column, value in zip(out.values(), (*name, first, last), strict=True):
+                    column.append(value)
+        return pa.Table.from_batches([_table(out, _FOUND)])
+
     every = keep(items.mapInArrow(cut, _BLOCKS), "repeats-blocks")
     # A block that is alone with its shared bytes is unique; blocks that are equal are repeated.
     kinds = every.groupBy("c").agg(F.sum("n").alias("total"), F.min("e").alias("low"), F.max("e").alias("high"))
@@ -311,7 +325,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
     contested = shared.where("contested")
     chosen = (
         contested.groupBy("c", "e")
-        .agg(F.sum("n").alias("n"), F.min(F.struct("a", "b", F.element_at("firsts", 1).alias("at"), "windows", "key")).alias("of"))
+        .agg(F.sum("n").alias("n"), F.min(F.struct("a", "b", F.element_at("firsts", 1).alias("at"), "windows", "before", "key")).alias("of"))
         .select("c", "e", "n", "of.*")
     )
     texts = keep(
@@ -320,6 +334,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
             F.col("e").alias("b"),
             "key",
             "n",
+            "before",
             F.substring("data", F.col("at") + 1, F.col("windows") + LENGTH - 1).alias("data"),
         ),
         "repeats-texts",
@@ -330,7 +345,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
     if total:
         number = max(1, -(-total // collection))
         small = texts.join(large, "a", "left_anti").withColumn("collection", F.pmod("a", F.lit(number)))
-        solved = small.groupBy("collection").applyInArrow(_solve, _FOUND)
+        solved = small.groupBy("collection").applyInArrow(solve, _FOUND)
         solved = solved.union(run(texts.where("n > 1"), F.lit(0), F.octet_length("data") - LENGTH))
         if not large.isEmpty():
             solved = solved.union(settle(texts.join(large, "a", "left_semi").select(*_ITEMS.names), sizes[1:], collection, largest))
@@ -343,17 +358,6 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
     return keep(every_run, "repeats-runs")
 
 
-def _solve(table: pa.Table) -> pa.Table:
-    """The repeated windows of the texts of one collection that occur once."""
-    names = [table.column(c).to_pylist() for c in ("a", "b", "n")]
-    out: dict[str, list] = {name: [] for name in _FOUND.names}
-    for a, b, n, mask in zip(*names, repeated_windows(table.column("data").to_pylist()), strict=True):
-        for first, last in _runs(mask) if n == 1 else ():
-            for column, value in zip(out.values(), (a, b, first, last), strict=True):
-                column.append(value)
-    return pa.Table.from_batches([_table(out, _FOUND)])
-
-
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """d1, d2 and spans: the places [start, end) that repeated strings cover in each document that has any."""
     keyed = docs.select(*document_keys(), F.coalesce("text", F.lit("")).alias("text"))
