@@ -21,8 +21,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -226,26 +226,23 @@ class Vocabulary:
 
 
 class _Known:
-    """Encodings that a task remembers: number of tokens, ids as text, names as text."""
+    """What a task remembers of words: ``spell`` of their token ids."""
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary, self.held = vocabulary, {}
-        self.fixed = {i: (1, str(i), name) for name, i in vocabulary.added.items()}
+    def __init__(self, vocabulary: Vocabulary, spell: Callable[[list[int]], object]) -> None:
+        self.vocabulary, self.spell, self.held = vocabulary, spell, {}
+        self.fixed = {i: spell([i]) for i in vocabulary.added.values()}
 
     def learn(self, words: set) -> None:
         new = words.difference(self.held)
         if len(self.held) + len(new) > KNOWN_WORDS:
             self.held, new = {}, words
-        names = self.vocabulary.names
-        self.held |= {
-            word: (len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids]))
-            for word, ids in self.vocabulary.encode_words(w for w in new if isinstance(w, str)).items()
-        }
+        encoded = self.vocabulary.encode_words(w for w in new if isinstance(w, str))
+        self.held |= {word: self.spell(ids) for word, ids in encoded.items()}
         self.held |= self.fixed
 
 
-def _in_blocks(texts: Iterable[str | None], known: _Known) -> Iterator[tuple[int, bool, list[tuple[int, str, str]]]]:
-    """(number of the text, whether it ends, encodings of its next words) for all texts in turn."""
+def _in_blocks(texts: Iterable[str | None], known: _Known) -> Iterator[tuple[int, bool, list]]:
+    """(number of the text, whether it ends, what is known of its next words) for all texts in turn."""
     waiting: list[tuple[int, bool, list]] = []
     size = 0
 
@@ -276,7 +273,8 @@ def encode_digests(docs: DataFrame, definition: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(Vocabulary(definition))
+        vocabulary = Vocabulary(definition)
+        known = _Known(vocabulary, lambda ids: (len(ids), " ".join(map(str, ids)), vocabulary.decode(ids)))
         for batch in batches:
             counts, ids, names = [], [], []
             count, id_digest, name_digest = 0, hashlib.sha256(), hashlib.sha256()
@@ -303,14 +301,13 @@ def encode(docs: DataFrame, definition: str, out: str = "token_ids") -> DataFram
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(Vocabulary(definition))
+        known = _Known(Vocabulary(definition), list)
         for batch in batches:
             encoded: list[list[int]] = [[] for _ in range(batch.num_rows)]
             for number, _, found in _in_blocks((x.as_py() for x in batch.column("text")), known):
-                for _, ids, _ in found:
-                    encoded[number].extend(map(int, ids.split()))
-            column = pa.array(encoded, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=schema.names)
+                encoded[number].extend(chain.from_iterable(found))
+            columns = [batch.column(c) for c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(encoded, pa.list_(pa.int32()))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

@@ -89,7 +89,17 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
-    return {
-        f.__name__: f
-        for f in (op1_mixing, op2_chat_formatting, op3_suffix_array_dedup, op4_sharding, op5_fingerprints, op6_token_counts, op7_bpe_encoding, op8_simhash_near_dedup, op9_quality_rules, op10_toxicity)
-    }
+    found = (
+        op1_mixing,
+        op2_chat_formatting,
+        op3_suffix_array_dedup,
+        op4_sharding,
+        op5_fingerprints,
+        op6_token_counts,
+        op7_bpe_encoding,
+        op8_simhash_near_dedup,
+        op9_quality_rules,
+        op10_toxicity,
+        pipeline,
+    )
+    return {query.__name__: query for query in found}
