@@ -221,5 +221,6 @@ def filter_quality(docs: DataFrame) -> DataFrame:
     names = docs.columns
     carried = [F.struct(*[F.col(f"`{c}`") for c in names]), F.col("lang"), F.col("source")]
     measured = measure(docs, carried).withColumnsRenamed({"_c0": "doc", "_c1": "lang", "_c2": "source"})
-    kept = verdicts(keep(measured.where(~F.col("base_failed")), "quality")).where("kept")
+    # Written before any filter: a filter would be pushed below the counts and repeat their expressions.
+    kept = verdicts(keep(measured, "quality")).where("kept")
     return kept.select(*[F.col("doc")[c].alias(c) for c in names])
