@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 128
-#: Terms whose variates a task remembers; each takes 2 KB.
-REMEMBERED = 40_000
+#: Terms whose scores a task remembers; each takes half a KB.
+REMEMBERED = 120_000
 #: Terms of one text that are looked at together, and characters of texts that are.
 TERMS_AT_ONCE = 8_000
 CHARACTERS_AT_ONCE = 200_000
@@ -37,90 +37,111 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    """The finalizer of the splitmix64 generator."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """The finalizer of the splitmix64 generator, in place."""
+    part = np.empty_like(x)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        np.right_shift(x, np.uint64(shift), out=part)
+        np.bitwise_xor(x, part, out=x)
+        np.multiply(x, np.uint64(factor), out=x)
+    np.right_shift(x, np.uint64(31), out=part)
+    return np.bitwise_xor(x, part, out=x)
 
 
 def variates(hashes: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln(c) and b for each term and sample; r and c have the gamma distribution of shape 2."""
     steps = np.arange(1, 3 * samples + 1, dtype=np.uint64) * _GOLDEN
-    bits = _mixed(hashes[:, None] + steps[None])
-    halves = bits.view(np.uint32).reshape(len(hashes), 3 * samples, 2)
-    uniform = (halves.astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
-    np.clip(uniform, np.float32(1e-9), np.float32(1 - 2**-24), out=uniform)
-    r = -np.log(uniform[:, :samples, 0] * uniform[:, :samples, 1])
-    c = -np.log(uniform[:, samples : 2 * samples, 0] * uniform[:, samples : 2 * samples, 1])
-    return r, np.log(c), np.ascontiguousarray(uniform[:, 2 * samples :, 0])
+    halves = _mixed(hashes[:, None] + steps).view(np.uint32).reshape(len(hashes), 3 * samples, 2)
 
+    def gamma(at: int) -> np.ndarray:
+        uniform = halves[:, at : at + samples].astype(np.float32) + np.float32(0.5)  # 2^32 times as large
+        return np.maximum(np.float32(64 * np.log(2)) - np.log(uniform[..., 0] * uniform[..., 1]), np.float32(1e-6))
 
-class Sampler:
-    """Fingerprints of texts, with the variates of frequent terms remembered."""
+    b = np.minimum(halves[:, 2 * samples :, 0].astype(np.float32) * np.float32(2**-32), np.float32(1 - 2**-24))
+    return gamma(0), np.log(gamma(samples)), b
 
-    def __init__(self, samples: int = SAMPLES, remembered: int = REMEMBERED) -> None:
-        self.samples, self.room = samples, max(remembered, 2 * TERMS_AT_ONCE)
+
+class Memory:
+    """Rows of numbers for terms; the half that was used least is forgotten when there is no room."""
+
+    def __init__(self, room: int, samples: int, tables: int) -> None:
+        self.room = room
         self.slots: dict[bytes, int] = {}
-        self.hashes = np.zeros(self.room, np.uint64)
-        self.hits = np.zeros(self.room, np.int64)
-        # r, ln(c), b, and the score of a term that occurs once
-        self.r, self.ln_c, self.b, self.once = (np.zeros((self.room, samples), np.float32) for _ in range(4))
+        self.hashes = np.zeros(room, np.uint64)
+        self.hits = np.zeros(room, np.int64)
+        self.tables = [np.zeros((room, samples), np.float32) for _ in range(tables)]
+
+    def rows(self, terms: list[bytes], make: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> np.ndarray:
+        """The rows of terms; ``make`` gives the numbers of those that aren't there from their hashes."""
+        found = np.array([self.slots.get(t, -1) for t in terms], np.int64)
+        missing = np.flatnonzero(found < 0)
+        if len(self.slots) + len(missing) > self.room:
+            self._forget()
+            return self.rows(terms, make)
+        if len(missing):
+            new, at = [terms[i] for i in missing.tolist()], len(self.slots)
+            to = slice(at, at + len(new))
+            self.hashes[to] = [xxhash.xxh64_intdigest(t) for t in new]
+            self.slots.update(zip(new, range(at, at + len(new)), strict=True))
+            for table, numbers in zip(self.tables, make(self.hashes[to]), strict=True):
+                table[to] = numbers
+            found[missing] = np.arange(at, at + len(new))
+        self.hits[found] += 1
+        return found
 
     def _forget(self) -> None:
-        """Keep the half of the terms that was used most."""
         kept = np.sort(np.argsort(-self.hits[: len(self.slots)], kind="stable")[: self.room // 2])
         names = list(self.slots)
         self.slots = {names[old]: new for new, old in enumerate(kept.tolist())}
-        for table in (self.hashes, self.r, self.ln_c, self.b, self.once):
+        for table in (self.hashes, *self.tables):
             table[: len(kept)] = table[kept]
         self.hits[:] = 0
 
-    def learn(self, terms: list[bytes]) -> None:
-        """Make sure that the variates of at most ``TERMS_AT_ONCE`` terms are there."""
-        new = [t for t in terms if t not in self.slots]
-        if len(self.slots) + len(new) > self.room:
-            self._forget()
-            new = [t for t in terms if t not in self.slots]
-        if not new:
-            return
-        at = len(self.slots)
-        rows = slice(at, at + len(new))
-        self.hashes[rows] = np.array([xxhash.xxh64_intdigest(t) for t in new], np.uint64)
-        self.slots.update(zip(new, range(at, at + len(new)), strict=True))
-        self.r[rows], self.ln_c[rows], self.b[rows] = variates(self.hashes[rows], self.samples)
-        self.once[rows] = self.ln_c[rows] + self.r[rows] * (self.b[rows] - 1)
+
+class Sampler:
+    """Fingerprints of texts, with the numbers of frequent terms remembered."""
+
+    def __init__(self, samples: int = SAMPLES, remembered: int = REMEMBERED) -> None:
+        self.samples = samples
+        # The scores of terms that occur once, and r, ln(c) and b of terms that occur more often.
+        self.once = Memory(max(remembered, 2 * TERMS_AT_ONCE), samples, 1)
+        self.more = Memory(max(remembered // 8, 2 * TERMS_AT_ONCE), samples, 3)
 
     def fingerprint(self, text: str) -> np.ndarray:
         """The samples of a text as 16-bit numbers, 0 where it has no words."""
         weights = Counter(text.encode("utf-8", "surrogatepass").split())
+        if not weights:
+            return np.zeros(self.samples, np.uint16)
         best = np.full(self.samples, np.inf, np.float32)
         sample = np.zeros(self.samples, np.uint64)
-        terms = list(weights)
-        for at in range(0, len(terms), TERMS_AT_ONCE):
-            part = terms[at : at + TERMS_AT_ONCE]
-            self.learn(part)
-            slots = np.fromiter(map(self.slots.__getitem__, part), np.int64, len(part))
-            weight = np.fromiter(map(weights.__getitem__, part), np.float32, len(part))
-            self.hits[slots] += 1
-            single = weight == 1
-            for rows, score, t in (self._single(slots[single]), self._many(slots[~single], weight[~single])):
-                if not len(rows):
-                    continue
+        single = [t for t, n in weights.items() if n == 1]
+        repeated = [t for t, n in weights.items() if n > 1]
+        for terms, scored in ((single, self._single), (repeated, self._repeated)):
+            for at in range(0, len(terms), TERMS_AT_ONCE):
+                hashes, score, t = scored(terms[at : at + TERMS_AT_ONCE], weights)
                 first = score.argmin(axis=0)
-                least = score[first, np.arange(self.samples)]
-                # Among equal scores, which rounding makes possible, the larger hash wins in any order of the terms.
-                chosen = _mixed(self.hashes[rows[first]] ^ (t[first, np.arange(self.samples)].astype(np.int64).view(np.uint64) * _GOLDEN) if t is not None else self.hashes[rows[first]])
+                column = np.arange(self.samples)
+                least, chosen = score[first, column], hashes[first]
+                if t is not None:
+                    chosen = chosen ^ (t[first, column].astype(np.int64).view(np.uint64) * _GOLDEN)
+                # Among equal scores, which rounding makes possible, the larger number wins.
                 better = (least < best) | ((least == best) & (chosen > sample))
                 best, sample = np.where(better, least, best), np.where(better, chosen, sample)
-        return (sample % np.uint64(65535) + np.uint64(1)).astype(np.uint16) if terms else np.zeros(self.samples, np.uint16)
+        return (_mixed(sample) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+
+    def _single(self, terms: list[bytes], weights: Counter) -> tuple:
+        def score(hashes: np.ndarray) -> tuple[np.ndarray]:
+            r, ln_c, b = variates(hashes, self.samples)
+            return (ln_c + r * (b - 1),)
 
-    def _single(self, rows: np.ndarray) -> tuple:
-        return rows, self.once[rows], None
+        rows = self.once.rows(terms, score)
+        return self.once.hashes[rows], self.once.tables[0][rows], None
 
-    def _many(self, rows: np.ndarray, weight: np.ndarray) -> tuple:
-        r, b = self.r[rows], self.b[rows]
+    def _repeated(self, terms: list[bytes], weights: Counter) -> tuple:
+        rows = self.more.rows(terms, lambda hashes: variates(hashes, self.samples))
+        r, ln_c, b = (table[rows] for table in self.more.tables)
+        weight = np.array([weights[t] for t in terms], np.float32)
         t = np.floor(np.log(weight)[:, None] / r + b)
-        return rows, self.ln_c[rows] - r * (t - b + 1), t
+        return self.more.hashes[rows], ln_c - r * (t - b + 1), t
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
