@@ -5,8 +5,9 @@ with the same score for all k. The expected severity is the sum of P(grade > k).
 weights of its distinct words; a word's features are the word itself and its first four and five letters.
 
 The labels say toxic or not. Grades of toxic texts for the fit, 1 to ``GRADES``, come from how many telling
-words they have, cut at even shares of the toxic ones of the sample. The fit reads the ``FIT_ROWS`` labelled documents with the
-smallest hash of their id, a documented bound; every document is scored on its whole text, and no row is shuffled.
+features they have, cut at even shares of the toxic ones of the sample. The fit reads the ``FIT_ROWS`` labelled
+documents with the smallest hash of their id, a documented bound, and at most ``MOST_FEATURES`` features of them;
+every document is scored on its whole text, and no row is shuffled for that.
 
 Defined cases: a NULL or wordless text scores 0; repeated rows get equal results; of several labels of one id the
 highest counts; labels that are NULL are not used; without both kinds of labels all grades are 0; an empty
@@ -16,7 +17,6 @@ table gives an empty result; columns other than the named ones are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weir.llm.common import keep
+
 #: Labelled documents that the fit reads at most.
 FIT_ROWS = 12_000
 #: Grades of toxic texts; 0 is for the others.
@@ -32,8 +34,9 @@ GRADES = 3
 #: A feature is used from this many texts of the sample on, and from this chi-square statistic on.
 LEAST_TEXTS = 3
 LEAST_CHI2 = 30.0
+MOST_FEATURES = 4_000
 #: Penalty on the squares of the weights, for each text.
-RIDGE = 1e-4
+RIDGE = 1e-5
 STEPS = 400
 #: Words whose weights a task remembers.
 KNOWN_WORDS = 300_000
@@ -110,29 +113,17 @@ def _fit_ordinal(rows: np.ndarray, columns: np.ndarray, n_columns: int, grades:
     return free[:n_columns], free[n_columns] + np.concatenate(([0.0], np.cumsum(np.exp(free[n_columns + 1 :]))))
 
 
-def fit(texts: list[set[str]], toxic: np.ndarray, grades: int = GRADES) -> Model:
-    """The model for a sample: the distinct words of each text and whether it is toxic."""
-    if not len(texts) or toxic.all() or not toxic.any():
+def fit(features: list[list[str]], toxic: np.ndarray, grades: int = GRADES) -> Model:
+    """The model for a sample: the chosen features of each text, with repeats, and whether it is toxic."""
+    if not len(features) or toxic.all() or not toxic.any():
         return Model({}, np.zeros(0))
-    features = [Counter(f for w in words for f in word_features(w)) for words in texts]
-    in_toxic: Counter[str] = Counter(f for x, bad in zip(features, toxic, strict=True) if bad for f in x)
-    in_all: Counter[str] = Counter(f for x in features for f in x)
-    n, bad = len(texts), int(toxic.sum())
-
-    def chi2(name: str) -> float:
-        a, b = in_toxic[name], in_all[name]
-        spread = b * (n - b) * bad * (n - bad)
-        return n * (a * n - b * bad) ** 2 / spread if spread else 0.0
-
-    names = sorted(f for f, k in in_all.items() if k >= min(LEAST_TEXTS, n) and chi2(f) >= min(LEAST_CHI2, n / 4))
+    names = sorted({f for x in features for f in x})
     number = {f: i for i, f in enumerate(names)}
-    rows = np.array([r for r, x in enumerate(features) for f, k in x.items() if f in number for _ in range(k)], np.int64)
-    columns = np.array([number[f] for x in features for f, k in x.items() if f in number for _ in range(k)], np.int64)
-    # A first fit of toxic or not says which words tell; their number then grades the toxic texts.
-    two = toxic.astype(np.int64)
-    weights, _ = _fit_ordinal(rows, columns, len(names), two)
-    telling = {f for f, w in zip(names, weights.tolist(), strict=True) if w > 0}
-    count = np.array([sum(any(f in telling for f in word_features(w)) for w in words) for words in texts])
+    rows = np.array([r for r, x in enumerate(features) for _ in x], np.int64)
+    columns = np.array([number[f] for x in features for f in x], np.int64)
+    # A first fit of toxic or not says which features tell; their number then grades the toxic texts.
+    weights, _ = _fit_ordinal(rows, columns, len(names), toxic.astype(np.int64))
+    count = np.bincount(rows, weights[columns] > 0, minlength=len(features))
     cuts = np.unique(np.quantile(count[toxic], [k / grades for k in range(1, grades)]))
     graded = np.where(toxic, 1 + np.searchsorted(cuts, count, side="left"), 0)
     _, graded = np.unique(graded, return_inverse=True)
@@ -140,27 +131,56 @@ def fit(texts: list[set[str]], toxic: np.ndarray, grades: int = GRADES) -> Model
     return Model(dict(zip(names, weights.tolist(), strict=True)), thresholds)
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """The model for the labelled documents with the smallest hashes of their ids, ``rows`` of them at most."""
+def sample_features(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id, toxic and features of the labelled documents with the smallest hashes of their ids, ``rows`` at most.
+
+    Features are listed once for each distinct word that has them. Where an id repeats, one of its texts counts.
+    """
     known = (
         labels.where("toxic is not null and doc_id is not null")
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [" ".join(sorted(distinct_words(x.as_py()))) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.string())], names=["doc_id", "toxic", "words"])
-
-    found = sample.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(split, "doc_id long, toxic int, words string")
-    # One text for each id, so the bound holds where ids repeat.
-    collected = found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("words").alias("words")).orderBy("doc_id").toArrow()
-    texts = [set(x.as_py().split()) for x in collected.column("words")]
-    return fit(texts, np.array(collected.column("toxic").to_pylist(), bool) if texts else np.zeros(0, bool))
+            found = [[f for w in sorted(distinct_words(x.as_py())) for f in word_features(w)] for x in batch.column("text")]
+            columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "features"])
+
+    one = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return one.mapInArrow(split, "doc_id long, toxic int, features array<string>")
+
+
+def telling_features(sample: DataFrame, most: int = MOST_FEATURES) -> DataFrame:
+    """The features that go with one kind of label, by the chi-square statistic, ``most`` of them at most."""
+    texts = sample.select("toxic", F.explode(F.array_distinct("features")).alias("feature"))
+    counted = texts.groupBy("feature").agg(F.count(F.lit(1)).alias("b"), F.sum("toxic").alias("a"))
+    sizes = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")).first()
+    n, bad = sizes["n"], sizes["bad"] or 0
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    spread = b * (n - b) * bad * (n - bad)
+    chi2 = F.when(spread > 0, n * (a * n - b * bad) ** 2 / spread).otherwise(0.0)
+    return (
+        counted.withColumn("chi2", chi2)
+        .where((F.col("b") >= min(LEAST_TEXTS, n)) & (F.col("chi2") >= min(LEAST_CHI2, n / 4)))
+        .orderBy(F.desc("chi2"), "feature")
+        .limit(most)
+        .select("feature")
+    )
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
+    """The model for a bounded sample; the driver gets the telling features of its texts only."""
+    sample = keep(sample_features(docs, labels, rows), "toxicity-sample")
+    telling = keep(telling_features(sample), "toxicity-features")
+    pairs = sample.select("doc_id", F.explode("features").alias("feature")).join(F.broadcast(telling), "feature")
+    found = pairs.groupBy("doc_id").agg(F.sort_array(F.collect_list("feature")).alias("features"))
+    texts = sample.select("doc_id", "toxic").join(found, "doc_id", "left").orderBy("doc_id").collect()  # ``rows`` at most
+    return fit([r["features"] or [] for r in texts], np.array([bool(r["toxic"]) for r in texts], bool))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
