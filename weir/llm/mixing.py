@@ -153,16 +153,22 @@ def _round_source(groups: pd.DataFrame, most: int) -> pd.DataFrame:
     """Whole copies for the groups of one source, from long documents to short ones.
 
     Each group takes the copies nearest to its own words and those that the groups before it took too
-    few or too many of, so what is left over shrinks with the size. There is a group for each size, and one more
-    for each ``RANKED`` documents, so a source is small here whatever its documents are.
+    few or too many of, so what is left over shrinks with the size. Where short documents were at a bound, a second
+    pass closes the gap. There is a group for each size, and one more for each ``RANKED`` documents, so a
+    source is small here whatever its documents are.
     """
     groups = groups.sort_values(["size", "part"], ascending=[False, True])
     carry, out = 0.0, []
-    for size, n, rate in zip(groups["size"].tolist(), groups["n"].tolist(), groups["rate"].tolist(), strict=True):
+    rows = list(zip(groups["size"].tolist(), groups["n"].tolist(), groups["rate"].tolist(), strict=True))
+    for size, n, rate in rows:
         due = n * size * rate + carry
         found = min(max(round(due / size), 0), most * n) if size else n
         carry = due - found * size
         out.append(found)
+    for i, (size, n, _) in enumerate(rows):
+        more = min(max(round(carry / size), -out[i]), most * n - out[i]) if size else 0
+        carry -= more * size
+        out[i] += more
     return groups.assign(all_copies=out)
 
 

@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, shingle: int, radius: int, tile: int = TILE
 
 
 def classes(found: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """fingerprint and component_id for each distinct fingerprint of (doc_id, fingerprint)."""
+    """fingerprint, root (the component's least fingerprint) and component_id for each distinct fingerprint."""
     roots = stars(links(found, radius, tile))
     own = found.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     rooted = keep(
@@ -246,7 +246,7 @@ def classes(found: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
         "simhash-classes",
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(smallest, "root").select("fingerprint", "component_id")
+    return rooted.join(smallest, "root").select("fingerprint", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int, radius: int, tile: int = TILE) -> DataFrame:
@@ -266,7 +266,7 @@ def one_of_each(docs: DataFrame, shingle: int, radius: int, tile: int = TILE) ->
     ids = found.select(F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "fingerprint")
     chosen = (
         found.join(classes(ids, radius, tile), "fingerprint")
-        .groupBy("component_id")
+        .groupBy("root")  # ids may repeat, so two components may have one component_id
         .agg(F.min(F.struct((F.col("key") == NO_ID).alias("none"), "key", "hash")).alias("best"))
         .select("best.key", "best.hash")
         .distinct()
