@@ -29,9 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from weir.llm.common import small_batches
+
 #: Words that are gathered before they are encoded, and words whose encodings a task remembers.
 FLUSH_WORDS = 1_000_000
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
+#: Bytes of text, or documents, whose tokens are in memory at a time.
+BATCH_BYTES = 8 << 20
+DECODED_ROWS = 500
 #: Texts from this many characters on are split lazily.
 LONG_TEXT = 1 << 20
 END = "</w>"
@@ -275,7 +280,7 @@ def encode_digests(docs: DataFrame, definition: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(definition)
         known = _Known(vocabulary, lambda ids: (len(ids), " ".join(map(str, ids)), vocabulary.decode(ids)))
-        for batch in batches:
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             counts, ids, names = [], [], []
             count, id_digest, name_digest = 0, hashlib.sha256(), hashlib.sha256()
             for _, ends, found in _in_blocks((x.as_py() for x in batch.column("text")), known):
@@ -302,7 +307,7 @@ def encode(docs: DataFrame, definition: str, out: str = "token_ids") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(Vocabulary(definition), list)
-        for batch in batches:
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             encoded: list[list[int]] = [[] for _ in range(batch.num_rows)]
             for number, _, found in _in_blocks((x.as_py() for x in batch.column("text")), known):
                 encoded[number].extend(chain.from_iterable(found))
@@ -319,7 +324,9 @@ def decode(encoded: DataFrame, definition: str, ids: str = "token_ids", out: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(definition)
         for batch in batches:
-            texts = [vocabulary.decode(x.as_py() or []) for x in batch.column(ids)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            for at in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(at, DECODED_ROWS)
+                texts = [vocabulary.decode(x.as_py() or []) for x in part.column(ids)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return encoded.mapInArrow(run, schema)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,3 +56,15 @@ def running_before(frame: DataFrame, keys: list[str], block: str, order: list, v
     within = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = frame.withColumn("_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
     return inside.join(carried, [*keys, block]).withColumn(out, F.col("_carry") + F.col("_inside")).drop("_inside", "_carry")
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, or one row that is larger."""
+    for batch in batches:
+        upto = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+        at = 0
+        while at < batch.num_rows:
+            before = upto[at - 1] if at else 0
+            to = max(at + 1, int(upto.searchsorted(before + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
