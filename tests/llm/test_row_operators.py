@@ -144,3 +144,10 @@ def test_op2(spark, query, in_sql, tricky, empty):
             assert text[r["mask_start"] : r["mask_end"]] == r["rendered"].removeprefix("<|assistant|>\n").removesuffix("\n")
         else:
             assert r["mask_start"] == r["mask_end"] == r["start"]
+
+
+def test_encode_and_decode_agree(spark, tricky):
+    docs, definition = spark.read.parquet(f"{tricky}/documents.parquet").select("doc_id", "text"), bpe.read_definition(WORD_BPE)
+    both = bpe.encode(docs, definition, decoded="at_once")
+    rows = bpe.decode(both, definition).collect()
+    assert rows and all(r["decoded"] == r["at_once"] for r in rows)

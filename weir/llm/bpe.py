@@ -32,10 +32,12 @@ from pyspark.sql import types as T
 from weir.llm.common import small_batches
 
 #: Words that are gathered before they are encoded, and words whose encodings a task remembers.
-FLUSH_WORDS = 1_000_000
-KNOWN_WORDS = 400_000
+FLUSH_WORDS = 500_000
+KNOWN_WORDS = 300_000
+#: Pairs of tokens whose lawfulness a task remembers.
+KNOWN_PAIRS = 500_000
 #: Bytes of text, or documents, whose tokens are in memory at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 DECODED_ROWS = 500
 #: Texts from this many characters on are split lazily.
 LONG_TEXT = 1 << 20
@@ -77,7 +79,7 @@ class Vocabulary:
             self.ranks[pair] = rank
             self.made.setdefault(self.ids[a + b], (*pair, rank))
         self._edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
-        self._lawful: dict[tuple[int, int], bool] = {}
+        self._lawful: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
         self._suffixes: dict | None = None
 
@@ -135,10 +137,10 @@ class Vocabulary:
 
     def lawful(self, a: int, b: int) -> bool:
         """Whether ``a`` and ``b`` may follow each other in an encoding."""
-        key = a, b
+        key = a << 32 | b
         found = self._lawful.get(key)
         if found is None:
-            if len(self._lawful) > 1_000_000:
+            if len(self._lawful) > KNOWN_PAIRS:
                 self._lawful.clear()
             found = self._lawful[key] = self.border_stays(a, b, 1 << 59)
         return found
@@ -186,7 +188,7 @@ class Vocabulary:
             token, before = found.pop()
             if before == 0:
                 return token, depth + 1
-            fits = known.get((tokens[before], token))
+            fits = known.get(tokens[before] << 32 | token)
             if fits or (fits is None and self.lawful(tokens[before], token)):
                 return token, depth + 1 - before
         raise ValueError(f"no token ends {''.join(path)!r}")
@@ -301,18 +303,29 @@ def encode_digests(docs: DataFrame, definition: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, definition: str, out: str = "token_ids") -> DataFrame:
-    """Add the token ids of ``text`` as an array; the other columns are passed on."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+def encode(docs: DataFrame, definition: str, out: str = "token_ids", decoded: str | None = None) -> DataFrame:
+    """Add the token ids of ``text`` as an array; the other columns are passed on.
+
+    With ``decoded`` the text that the ids decode to is added too, from the same pass over the words.
+    """
+    added = [T.StructField(out, T.ArrayType(T.IntegerType()))]
+    added += [T.StructField(decoded, T.StringType())] if decoded else []
+    schema = T.StructType([*docs.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(Vocabulary(definition), list)
+        vocabulary = Vocabulary(definition)
+        known = _Known(vocabulary, lambda ids: (ids, vocabulary.decode(ids) if decoded else ""))
         for batch in small_batches(batches, "text", BATCH_BYTES):
             encoded: list[list[int]] = [[] for _ in range(batch.num_rows)]
+            names: list[list[str]] = [[] for _ in range(batch.num_rows)]
             for number, _, found in _in_blocks((x.as_py() for x in batch.column("text")), known):
-                encoded[number].extend(chain.from_iterable(found))
-            columns = [batch.column(c) for c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(encoded, pa.list_(pa.int32()))], names=schema.names)
+                encoded[number].extend(chain.from_iterable(ids for ids, _ in found))
+                if decoded and found:
+                    names[number].append(" ".join([name for _, name in found]))
+            columns = [*batch.columns, pa.array(encoded, pa.list_(pa.int32()))]
+            if decoded:
+                columns.append(pa.array([" ".join(x) for x in names], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
