@@ -127,3 +127,17 @@ def test_not_a_number_prices_are_quarantined_by_the_exact_policy(frame):
     rows = check(df, [], computable_rules(DECIMAL)).collect()
     assert [row["is_valid"] for row in rows] == [False, False, False, True, True, True]
     assert math.isclose(float(rows[0]["quantity"]), 3)
+
+
+def test_python_rounding_holds_at_every_size(spark):
+    values = [35184372088832.125, 2.0**45 + 0.375, 2.0**45 + 0.0078125, 2.0**46 + 0.015625, 2.0**46, 2.0**52 + 0.5, 1e17, 1e300, 0.125, 2.675]
+    values += [2.0**45 + k * 2.0**-7 for k in range(200)]
+    values += [-v for v in values]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", money.python_round2(F.col("x")).alias("r")).collect()
+    assert [r["r"] for r in rows] == [round(v, 2) for v in values]
+
+
+def test_a_price_is_kept_whole_or_refused(spark):
+    texts = ["0.0000004", "1.1234567", "999999999999.999999", "1000000000000", "2.50", " 3 ", "", "x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(DECIMAL.price(F.col("t"))).collect()
+    assert [None if r[0] is None else float(r[0]) for r in rows] == [None, None, 999999999999.999999, None, 2.5, 3.0, 0.0, None]

@@ -3,12 +3,13 @@ from __future__ import annotations
 import csv
 
 import pytest
+from pyspark.sql import functions as F
 from examples import REGION_TAX, STORE_TAX, order, sale
 
 from weir.functions.money import PYTHON_FLOAT
 from weir.operators.validate import DirtyReference
 from weir.plans import coffee, pipelines, sales
-from weir.sources import records
+from weir.sources import records, topics
 
 
 def write(path, fields, rows):
@@ -52,9 +53,9 @@ def data(tmp_path):
 
 def consume(spark, domain, data, out, **options):
     rates = pipelines.load_rates(spark, domain, data)
-    stream = pipelines.read_file_topic(spark, out)
+    read = pipelines.read_whole_topic if options.pop("whole", False) else pipelines.read_file_topic
     checkpoint = options.pop("checkpoint", f"{out}/checkpoint")
-    return pipelines.run_consumer(stream, domain, rates, out, checkpoint, **options)
+    return pipelines.run_consumer(read(spark, out), domain, rates, out, checkpoint, **options)
 
 
 def values(df, *columns):
@@ -64,7 +65,7 @@ def values(df, *columns):
 def test_sales_from_file_to_report(spark, data, tmp_path):
     domain, out = pipelines.DOMAINS["sales_per_item"], str(tmp_path / "out")
     assert pipelines.run_producer(spark, domain, data, out, partitions=2) == {"sent": 3, "rejected": 1}
-    rejected = records.read_records(spark, f"{out}/rejected", ["validation_errors"]).first()
+    rejected = records.read_written(spark, f"{out}/rejected", ["validation_errors"]).first()
     assert rejected["validation_errors"] == "Quantity must be at least 1: 0"
     assert consume(spark, domain, data, out) == {"consumed": 3, "skipped": 0}
     frames = pipelines.report(spark, domain, out)
@@ -72,7 +73,7 @@ def test_sales_from_file_to_report(spark, data, tmp_path):
     assert values(frames["run_stats"], "count", "total", "minimum", "maximum") == [(3, 452.86, 63.22, 194.82)]
     assert max(values(frames["running"], "running_count", "running_total")) == (3, 452.86)
     assert frames["accepted_table"].columns == list(sales.SALES.accepted_fields)
-    table = records.read_records(spark, f"{out}/consumed/*", [*sales.SALES.consumed_fields, "total_per_item"])
+    table = records.read_written(spark, f"{out}/consumed/*/*", [*sales.SALES.consumed_fields, "total_per_item"])
     assert sorted(values(table, "order_id", "total", "total_per_item")) == [
         ("A-1", "194.82", "64.94"), ("A-2", "63.22", "63.22"), ("A-4", "194.82", "64.94"),
     ]
@@ -96,8 +97,43 @@ def test_counts_bound_records_and_messages(spark, data, tmp_path):
     domain, out = pipelines.DOMAINS["sales"], str(tmp_path / "out")
     # The third record is rejected, and counts.
     assert pipelines.run_producer(spark, domain, data, out, count=3) == {"sent": 2, "rejected": 1}
-    assert consume(spark, domain, data, out, limit=1) == {"consumed": 1, "skipped": 0}
+    assert consume(spark, domain, data, out, limit=1, whole=True) == {"consumed": 1, "skipped": 0}
     assert values(pipelines.landed(spark, domain, out).accepted(), "order_id") == [("A-1",)]
+    # The next run, without a bound, takes what is left and nothing twice.
+    for _ in range(2):
+        assert consume(spark, domain, data, out, whole=True, fresh=False) == {"consumed": 2, "skipped": 0}
+    with pytest.raises(ValueError, match="bound a batch read"):
+        consume(spark, domain, data, out, limit=1)
+
+
+def test_line_breaks_and_ragged_lines_in_the_records(spark, data, tmp_path):
+    domain, out = pipelines.DOMAINS["sales"], str(tmp_path / "out")
+    note = sale(order_id="A-5", customer_note="two\nlines")
+    with open(f"{data}/sales.csv", "a", newline="") as file:
+        csv.DictWriter(file, [*reversed(sales.SALES.fields)]).writerow(note)
+        file.write("only,three,fields\n")
+    assert pipelines.run_producer(spark, domain, data, out) == {"sent": 4, "rejected": 2}
+    errors = records.read_written(spark, f"{out}/rejected", ["validation_errors"]).select("validation_errors").collect()
+    assert sorted(r[0].strip() for r in errors) == ["Malformed record: only,three,fields", "Quantity must be at least 1: 0"]
+    consume(spark, domain, data, out)
+    landed = pipelines.landed(spark, domain, out).accepted().where("order_id = 'A-5'").first()
+    assert landed["customer_note"] == "two\nlines"
+
+
+def test_an_empty_topic_stops_the_consumer(spark, data, tmp_path):
+    domain, out = pipelines.DOMAINS["sales"], str(tmp_path / "out")
+    pipelines.run_producer(spark, domain, data, out, count=0)
+    with pytest.raises(topics.EmptyTopic):
+        consume(spark, domain, data, out, whole=True)
+
+
+def test_rejects_can_be_left_out(spark, data, tmp_path):
+    domain, out = pipelines.DOMAINS["sales"], str(tmp_path / "out")
+    pipelines.run_producer(spark, domain, data, out)
+    broken = spark.read.parquet(f"{out}/topic").limit(1).withColumn("value", F.lit("{}")).withColumn("offset", F.lit(10**9).cast("long"))
+    broken.write.mode("append").parquet(f"{out}/topic")
+    assert consume(spark, domain, data, out, whole=True)["skipped"] == 1
+    assert consume(spark, domain, data, f"{out}", whole=True, checkpoint=f"{out}/again", quarantine=False) == {"consumed": 3, "skipped": 0}
 
 
 def test_a_fresh_run_clears_and_a_continued_one_adds_nothing(spark, data, tmp_path):
@@ -108,7 +144,7 @@ def test_a_fresh_run_clears_and_a_continued_one_adds_nothing(spark, data, tmp_pa
         assert counts == {"consumed": 3, "skipped": 0}
     counts = consume(spark, domain, data, out, checkpoint=f"{out}/another", fresh=True)
     assert counts == {"consumed": 3, "skipped": 0}
-    assert records.read_records(spark, f"{out}/consumed/*", ["total"]).count() == 3
+    assert records.read_written(spark, f"{out}/consumed/*/*", ["total"]).count() == 3
 
 
 def test_bad_reference_rows_stop_the_producer(spark, data, tmp_path):

@@ -50,7 +50,7 @@ def test_positive_integer_texts(frame):
     assert outcomes(
         frame, rules.positive_integer("v"), ["1", " 4 ", "+2", "007", big, "0", "-1", "-0", "-" + big, "3.0", "two", "", None]
     ) == [
-        None, None, None, None, None,
+        None, None, None, None, "Quantity must be at most 2147483647: " + big,
         "Quantity must be at least 1: 0", "Quantity must be at least 1: -1", "Quantity must be at least 1: -0",
         "Quantity must be at least 1: -" + big,
         "Quantity must be an integer: 3.0", "Quantity must be an integer: two",
@@ -114,3 +114,16 @@ def test_a_user_rule_is_any_condition_and_message(frame):
     rows = check(frame([{"note": "abc"}, {"note": "abcd"}]), ["note"], [rule]).collect()
     assert [row["errors"] for row in rows] == [[], ["Note too long"]]
     assert fields_of([rule, rule]) == ("note",)
+
+
+def test_a_quantity_is_one_that_the_consumer_can_price(frame):
+    df = frame([{"v": t} for t in ("2147483647", "2147483648", "0", "1.0", "+7", "007")])
+    rule = rules.positive_integer("v")
+    assert [r[0] for r in df.select(rule.outcome()).collect()] == [
+        None, "Quantity must be at most 2147483647: 2147483648", "Quantity must be at least 1: 0", "Quantity must be an integer: 1.0", None, None,
+    ]
+
+
+def test_a_moment_ends_with_its_text(frame):
+    df = frame([{"v": t} for t in ("2026-05-04T08:11:00Z", "2026-05-04T08:11:00Z\n")])
+    assert [r[0] is None for r in df.select(rules.iso_datetime("v").outcome()).collect()] == [True, False]

@@ -49,7 +49,7 @@ def test_streamed_landing_equals_batch(given, topic, tmp_path):
     runs.land(stream(given, topic), given.consume_sales, landing, f"{tmp_path}/checkpoint")
     batch = Landing(given.spark, f"{tmp_path}/batch", SALES)
     batch.reset()
-    counts = batch.write(given.consume_sales(given.sales))
+    counts = batch.write(given.consume_sales(given.sales), 0)
     assert counts["accepted"] + counts["rejected"] == given.sales.count()
     assert rows(landing.accepted()) == rows(batch.accepted())
     assert rows(landing.rejected()) == rows(batch.rejected())
@@ -111,15 +111,49 @@ def test_running_rows_continue_across_batches_and_restarts(given, topic, tmp_pat
     assert rows(runs.read_batches(given.spark, f"{tmp_path}/rows").select(names)) == rows(expected.select(names))
 
 
-@pytest.mark.parametrize("limit", [1, 450, 10**9])
-def test_a_bounded_run_stops_at_the_exact_message(given, topic, tmp_path, limit):
-    taken = f"{tmp_path}/taken"
+def test_a_bounded_run_goes_on_at_the_next_message(given, topic, tmp_path):
+    messages, taken = given.spark.read.parquet(topic), []
 
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{taken}/batch_id={batch_id}")
+        taken.append([(r[PARTITION], r[OFFSET]) for r in batch.select(PARTITION, OFFSET).collect()])
 
-    runs.run_bounded(stream(given, topic), limit, f"{tmp_path}/checkpoint", f"{tmp_path}/state", write)
-    assert given.spark.read.parquet(taken).count() == min(limit, given.sales.count())
+    for limit in (30, 1, 450, None, 10, None):
+        runs.run_bounded(messages, limit, f"{tmp_path}/positions", write)
+    expected = sorted((r[PARTITION], r[OFFSET]) for r in messages.collect())
+    assert [len(t) for t in taken] == [30, 1, 450, len(expected) - 481]
+    assert [m for t in taken for m in sorted(t)] == expected
+
+
+def test_a_bounded_run_that_fails_takes_the_same_messages_again(given, topic, tmp_path):
+    messages, seen = given.spark.read.parquet(topic), []
+
+    def fail_once(batch, batch_id):
+        seen.append((batch_id, sorted(r[OFFSET] for r in batch.collect())))
+        if len(seen) == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        runs.run_bounded(messages, 30, f"{tmp_path}/positions", fail_once)
+    runs.run_bounded(messages, 30, f"{tmp_path}/positions", fail_once)
+    assert seen[0] == seen[1] and seen[0][0] == 0 and len(seen[0][1]) == 30
+
+
+def test_late_offsets_stop_a_running_stream(given, tmp_path):
+    topic = str(tmp_path / "topic")
+    for low, high in ((500, 999), (0, 499)):
+        given.sales.where(F.col(OFFSET).between(low, high)).coalesce(1).write.mode("append").parquet(topic)
+    slim = stream(given, topic).select(PARTITION, OFFSET, F.lit(1).cast("decimal(12,2)").alias("total"))
+    with pytest.raises(Exception, match="came after"):
+        runs.run_running(slim, stats_measures(), [PARTITION], f"{tmp_path}/rows", f"{tmp_path}/state", f"{tmp_path}/checkpoint")
+
+
+def test_old_versions_and_states_are_removed(given, topic, tmp_path):
+    slim = stream(given, topic).select(PARTITION, OFFSET, F.lit(1).cast("decimal(12,2)").alias("total"))
+    runs.run_running(slim, stats_measures(), [PARTITION], f"{tmp_path}/rows", f"{tmp_path}/state", f"{tmp_path}/c1")
+    runs.run_latest(slim.groupBy().agg(F.count("*").alias("n")), f"{tmp_path}/all", f"{tmp_path}/c2")
+    assert runs.versions(given.spark, f"{tmp_path}/state") == [3, 4]
+    assert len(runs.versions(given.spark, f"{tmp_path}/all")) == 2
+    assert runs.read_latest(given.spark, f"{tmp_path}/all").first()["n"] == given.sales.count()
 
 
 def test_cumulative_revenue_by_store(given, tmp_path):

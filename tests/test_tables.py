@@ -55,11 +55,32 @@ def test_reference_tables_are_checked(frame):
     require_clean(reference_errors(frame([good]), "region_id", REGION_FIELDS, "regions"))
 
 
-def test_the_last_duplicate_key_wins(spark, tmp_path):
-    path = tmp_path / "r.csv"
-    path.write_text("k,v\na,1\nb,2\na,3\n")
-    table = records.read_records(spark, str(path), ["k", "v"])
-    assert {r["k"]: r["v"] for r in lookups.key_values(table, "k", "v").collect()} == {"a": "3", "b": "2"}
+@pytest.mark.parametrize("split_bytes", ["16", "1000", "100m"])
+def test_the_last_record_of_a_key_wins_whatever_the_splits(spark, tmp_path, split_bytes):
+    # The last file is the smallest and the first the largest; Spark reads large files first.
+    for name, rows in (("1", "a,1\nb,2\nc,3\n" * 20 + "a,4\n"), ("2", "a,5\nb,6\n" * 5), ("3", "a,7\n")):
+        (tmp_path / f"{name}.csv").write_text("k,v\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        table = records.read_records(spark, str(tmp_path), ["k", "v"], place=True)
+        got = lookups.key_values(table, "k", "v", records.PLACE).collect()
+        assert {r["k"]: r["v"] for r in got} == {"a": "7", "b": "6", "c": "3"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_values_that_differ_need_an_order(frame):
+    table = frame([{"k": "a", "v": "1"}, {"k": "b", "v": "2"}, {"k": "a", "v": "3"}, {"k": "b", "v": "2"}])
+    assert [tuple(r) for r in lookups.duplicate_report(table, "k", "v").collect()] == [("a", 2)]
+    with pytest.raises(Exception, match="several values of v for k a"):
+        lookups.key_values(table, "k", "v").collect()
+    same = table.where("k = 'b'")
+    assert [tuple(r) for r in lookups.key_values(same, "k", "v").collect()] == [("b", "2")]
+
+
+def test_salts_follow_the_size(spark):
+    table = spark.range(1000).select(F.col("id").cast("string").alias("k"), "id")
+    assert Lookup.values(table, "k", "id").salts == lookups.MAX_SALTS
 
 
 def test_key_set_drops_missing_keys(frame):
@@ -122,7 +143,7 @@ def checked(frame, *rows):
 def test_landing_creates_clears_and_keeps_values(spark, frame, tmp_path):
     land = landing(spark, tmp_path)
     assert land.accepted().count() == land.rejected().count() == 0
-    assert land.write(checked(frame, sale(order_id="A-1"), sale(order_id="A-2"), sale(customer_id=""))) == {
+    assert land.write(checked(frame, sale(order_id="A-1"), sale(order_id="A-2"), sale(customer_id="")), 0) == {
         "accepted": 2, "rejected": 1,
     }
     assert sorted((r["order_id"], r["region_id"], r["_kafka_offset"]) for r in land.accepted().collect()) == [
@@ -144,15 +165,33 @@ def test_landing_a_batch_again_replaces_it(spark, frame, tmp_path):
     assert land.rejected().count() == 0
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_runs_never_replace_each_other(spark, frame, tmp_path, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        first, second = landing(spark, tmp_path), Landing(spark, str(tmp_path / "landed"), SALES)
+        first.write(checked(frame, sale(order_id="A-1"), sale(customer_id="")), 0)
+        second.create()
+        second.write(checked(frame, sale(order_id="A-2")), 0)
+        assert sorted(r["order_id"] for r in second.accepted().collect()) == ["A-1", "A-2"]
+        # A retry without rejects leaves none behind, under either setting.
+        first.write(checked(frame, sale(order_id="A-1")), 0)
+        assert first.rejected().count() == 0 and first.accepted().count() == 2
+        second.reset()
+        assert first.accepted().count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_landing_an_empty_batch(spark, frame, tmp_path):
     land = landing(spark, tmp_path)
-    assert land.write(checked(frame, sale()).where("false")) == {"accepted": 0, "rejected": 0}
+    assert land.write(checked(frame, sale()).where("false"), 0) == {"accepted": 0, "rejected": 0}
     assert land.accepted().count() == 0
 
 
 def test_rejects_can_be_skipped(spark, frame, tmp_path):
     land = landing(spark, tmp_path, quarantine=False)
-    land.write(checked(frame, sale(), sale(customer_id="")))
+    land.write(checked(frame, sale(), sale(customer_id="")), 0)
     assert (land.accepted().count(), land.rejected().count()) == (1, 0)
 
 
@@ -170,24 +209,41 @@ def test_consuming_never_fails_on_bad_numbers(frame):
 
 
 def test_csv_keeps_quotes_blanks_and_empty_fields(spark, frame, tmp_path):
-    notes = ['said "hi", left', " padded ", "", "it's", "back\\slash"]
+    notes = ['said "hi", left', " padded ", "", "it's", "back\\slash", "a\nb", "a\r\nb", "a\\nb\\\\\n\\", '"\n"']
     rows = [sale(order_id=str(i), customer_note=note) for i, note in enumerate(notes)]
     path = str(tmp_path / "out")
     records.write_records(frame(rows).select(*SALES.fields), path)
-    back = records.read_records(spark, path, SALES.fields).na.fill("")
+    back = records.read_written(spark, path, SALES.fields).na.fill("")
     got = {r["order_id"]: r["customer_note"] for r in back.collect()}
     assert [got[str(i)] for i in range(len(notes))] == notes
     records.write_records(frame(rows[:1]).select(*SALES.fields), path, first=False)
-    assert records.read_records(spark, path, SALES.fields).count() == 6
+    assert records.read_written(spark, path, SALES.fields).count() == len(notes) + 1
     records.write_records(frame(rows[:1]).select(*SALES.fields), path)
-    assert records.read_records(spark, path, SALES.fields).count() == 1
+    assert records.read_written(spark, path, SALES.fields).count() == 1
+
+
+def test_any_document_is_a_note(spark, tmp_path):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").cast("string"), "text")
+    records.write_records(texts, str(tmp_path / "out"))
+    back = records.read_written(spark, str(tmp_path / "out"), ["doc_id", "text"])
+    assert back.count() == texts.count() and records.count_records(spark, str(tmp_path / "out"), ["doc_id", "text"]) == texts.count()
+    assert sorted(map(tuple, back.na.fill("").collect())) == sorted(map(tuple, texts.na.fill("").collect()))
+
+
+def test_a_ragged_line_is_one_malformed_record(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('a,b,c\n1,2,3\n4,5\n6,7,8,9\n"x\ny",2,3\n')
+    rows = records.read_records(spark, str(tmp_path / "r.csv"), ["a", "b", "c"], multi_line=True)
+    assert rows.count() == rows.select("a").count() == 4
+    got = [tuple(r) for r in rows.collect()]
+    assert ("1", "2", "3", None) in got and ("x\ny", "2", "3", None) in got
+    assert sorted(r[3].strip() for r in got if r[3]) == ["4,5", "6,7,8,9"] and all(r[:3] == (None,) * 3 for r in got if r[3])
 
 
 def test_csv_fields_are_found_by_name(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("b,extra,a\n2,9,1\n")
     table = records.read_records(spark, str(path), ["a", "b"])
-    assert table.first().asDict() == {"a": "1", "b": "2", "extra": "9"}
+    assert table.first().asDict() == {"a": "1", "b": "2", "extra": "9", records.MALFORMED: None}
     with pytest.raises(SchemaError, match="lacks c; available fields: b, extra, a"):
         records.read_records(spark, str(path), ["a", "c"])
 
@@ -207,7 +263,7 @@ def test_csv_stream(spark, tmp_path):
     (tmp_path / "in" / "2.csv").write_text("a,b\n3,\n")
     stream = records.stream_records(spark, str(tmp_path / "in"), ["a", "b"], max_files=1)
     runs.run_append(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [("1", "2"), ("3", None)]
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [("1", "2", None), ("3", None, None)]
 
 
 def test_messages_survive_encoding(spark, frame):

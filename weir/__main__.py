@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 
 from weir.functions.money import DECIMAL, PYTHON_FLOAT, money_text
 from weir.plans import pipelines
-from weir.session import build_session, workspace
-
-# How many messages a producer and a consumer handle unless told otherwise.
-MESSAGE_COUNT = 6
-MAX_MESSAGES = 1000
+from weir.session import build_session
+from weir.streaming import runs
 
 POLICIES = {policy.name: policy for policy in (DECIMAL, PYTHON_FLOAT)}
 MONEY = ("revenue", "discount_given", "total", "mean", "minimum", "maximum")
@@ -24,31 +21,27 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--domain", choices=sorted(pipelines.DOMAINS), default="sales")
     parser.add_argument("--data", help="folder of the CSV files")
     parser.add_argument("--out", required=True, help="folder of the topic and the outputs")
-    parser.add_argument("--count", type=int, help="records to read, or messages to consume, at most; 0 for all")
+    parser.add_argument("--count", type=int, help="records to read, or messages to consume, at most; all by default")
+    parser.add_argument("--resume", action="store_true", help="consume what the last consumer left")
     parser.add_argument("--partitions", type=int, default=1, help="partitions of the topic")
     parser.add_argument("--rounding", choices=sorted(POLICIES), default=DECIMAL.name)
     return parser.parse_args()
 
 
-def bound(count: int | None, default: int) -> int | None:
-    """Return the bound in force: the default if none is given, no bound for 0."""
-    return default if count is None else (count or None)
-
-
 def main() -> None:
     args = arguments()
     domain, policy = pipelines.DOMAINS[args.domain], POLICIES[args.rounding]
     spark = build_session(f"weir {args.step}")
     spark.sparkContext.setLogLevel("WARN")
     if args.step == "produce":
-        limit = bound(args.count, MESSAGE_COUNT)
-        print(pipelines.run_producer(spark, domain, args.data, args.out, limit, args.partitions))
+        print(pipelines.run_producer(spark, domain, args.data, args.out, args.count, args.partitions))
     elif args.step == "consume":
         rates = pipelines.load_rates(spark, domain, args.data)
-        stream = pipelines.read_file_topic(spark, args.out)
-        checkpoint = workspace(spark, "consume")
-        limit = bound(args.count, MAX_MESSAGES)
-        print(pipelines.run_consumer(stream, domain, rates, args.out, checkpoint, limit, policy))
+        topic = pipelines.read_whole_topic(spark, args.out)
+        checkpoint = f"{args.out}/consumer"
+        if not args.resume:
+            runs.restart(spark, checkpoint)
+        print(pipelines.run_consumer(topic, domain, rates, args.out, checkpoint, args.count, policy, not args.resume))
     else:
         frames = pipelines.report(spark, domain, args.out, policy)
         for name in ("accepted", "rejected", "by_region", "by_store", "by_size", "by_loyalty", "run_stats"):

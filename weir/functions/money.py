@@ -26,8 +26,8 @@ PERCENT_TYPE = "decimal(7,4)"
 RATE_TYPE = "decimal(10,6)"
 MONEY_TYPE = DecimalType(26, 2)
 
-# Beyond this size a double no longer resolves cents and keeps its own nearest value.
-_CENTS_LIMIT = float(1 << 45)
+# From this size on doubles lie more than a cent apart, so a double is its own nearest rounded value.
+_CENTS_LIMIT = float(1 << 46)
 _SPLIT = float((1 << 27) + 1)
 
 
@@ -46,7 +46,7 @@ def python_round2(x: Column) -> Column:
     over_half = ((scaled - whole) - 0.5) + error
     up = (over_half > 0) | ((over_half == 0) & (whole % 2 == 1))
     rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / 100.0
-    return F.when(size < _CENTS_LIMIT, F.when(x < 0, -rounded).otherwise(rounded)).otherwise(F.round(x, 2))
+    return F.when(size < _CENTS_LIMIT, F.when(x < 0, -rounded).otherwise(rounded)).otherwise(x)
 
 
 @dataclass(frozen=True)
@@ -57,8 +57,15 @@ class MoneyPolicy:
     exact: bool
 
     def price(self, text: Column) -> Column:
-        """Parse a price text; 0 when missing, NULL when it is no number. Casts ignore outer blanks."""
-        return _number(text, self._price_type)
+        """Parse a price text; 0 when missing, NULL when it is no number. Casts ignore outer blanks.
+
+        Exact prices have up to 12 digits before the point and 6 after it. One that needs more is NULL, so its row
+        is quarantined instead of being priced with other digits.
+        """
+        parsed = _number(text, self._price_type)
+        if not self.exact:
+            return parsed
+        return F.when(~F.coalesce(text.try_cast("decimal(38,18)") != parsed, F.lit(False)), parsed)
 
     def rate(self, percent: Column) -> Column:
         """Turn a looked-up percentage into a fraction, with the default for a miss."""

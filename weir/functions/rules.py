@@ -74,13 +74,14 @@ def iso_datetime(field: str) -> Rule:
 
 
 def positive_integer(field: str) -> Rule:
-    """The field is a whole number of at least 1."""
+    """The field is a whole number of at least 1 that the priced columns can hold."""
 
     def message(value: Column) -> Column:
-        cause = F.when(T.is_whole_number(value), "Quantity must be at least 1: ")
+        cause = F.when(T.is_positive_whole_number(value), "Quantity must be at most 2147483647: ")
+        cause = cause.when(T.is_whole_number(value), "Quantity must be at least 1: ")
         return F.concat(cause.otherwise("Quantity must be an integer: "), T.or_empty(value))
 
-    return _on("positive", field, lambda value: ~T.is_positive_whole_number(value), message)
+    return _on("positive", field, lambda value: ~T.is_countable(value), message)
 
 
 def boolean_text(field: str) -> Rule:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 TRUE_TEXTS = ["true", "1", "yes", "y", "t"]
 
 # Fixed value: the accepted shape of a timestamp text.
-ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?$"
+ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?\z"
 
 _BLANKS = " \t\n\r\f\x0b"
 
@@ -84,6 +84,11 @@ def is_positive_whole_number(column: Column) -> Column:
     return stripped(or_empty(column)).rlike(r"^[+]?0*[1-9]\d*$")
 
 
+def is_countable(column: Column) -> Column:
+    """True when the text is a positive whole number that every step of a run can hold: up to 32 bits."""
+    return F.coalesce(stripped(or_empty(column)).try_cast("int") >= 1, F.lit(False)) & is_positive_whole_number(column)
+
+
 def is_iso_datetime(column: Column) -> Column:
     """True when the text has the accepted shape and names a real moment."""
     return F.coalesce(column.rlike(ISO_DATETIME) & F.try_to_timestamp(column).isNotNull(), F.lit(False))

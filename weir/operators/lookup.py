@@ -20,7 +20,8 @@ from weir.operators.contract import ENVELOPE, require_fields
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 8
+SALTED_ROWS = 64_000_000
+MAX_SALTS = 256
 
 _KEY = "_lookup_key"
 LOOKUP_VALUE = "_lookup_value"
@@ -45,9 +46,9 @@ class Lookup:
         return cls(keys, table.select(key), **limits)
 
     @classmethod
-    def values(cls, table: DataFrame, key: str, value: str, **limits: int) -> Lookup:
-        """Return the key to value map of a reference table."""
-        pairs = key_values(table, key, value).select(F.col(key).alias(_KEY), F.col(value).alias(LOOKUP_VALUE))
+    def values(cls, table: DataFrame, key: str, value: str, order: str | None = None, **limits: int) -> Lookup:
+        """Return the key to value map of a reference table; see ``key_values`` for keys that repeat."""
+        pairs = key_values(table, key, value, order).select(F.col(key).alias(_KEY), F.col(value).alias(LOOKUP_VALUE))
         return cls(pairs, table.select(key, value), **limits)
 
     def stored(self, path: str) -> Lookup:
@@ -59,12 +60,27 @@ class Lookup:
         fixed = self.frame.sparkSession.read.parquet(path)
         return Lookup(fixed, fixed, self.max_rows, self.max_bytes)
 
-    @cached_property
+    @property
     def is_small(self) -> bool:
-        """Measure the table once, in one parallel pass that brings back two numbers."""
+        """Whether the table may be broadcast."""
+        rows, size = self.measured
+        return rows <= self.max_rows and size <= self.max_bytes
+
+    @property
+    def salts(self) -> int:
+        """Shares of each key in a join by shuffle.
+
+        The table is written out once for each share, so a large one has few; adaptive execution splits a skewed
+        partition of the probing side further.
+        """
+        return max(1, min(MAX_SALTS, SALTED_ROWS // max(1, self.measured[0])))
+
+    @cached_property
+    def measured(self) -> tuple[int, int]:
+        """Rows and bytes, measured once in one parallel pass that brings back two numbers."""
         widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in self.source.columns]
         size = self.source.agg(F.count("*").alias("n"), F.sum(sum(widths, F.lit(16))).alias("b")).first()
-        return size["n"] <= self.max_rows and (size["b"] or 0) <= self.max_bytes
+        return size["n"], size["b"] or 0
 
 
 def key_set(table: DataFrame, key: str) -> DataFrame:
@@ -73,12 +89,26 @@ def key_set(table: DataFrame, key: str) -> DataFrame:
     return table.select(F.col(key).cast("string").alias(key)).where(~is_missing(F.col(key))).distinct()
 
 
-def key_values(table: DataFrame, key: str, value: str) -> DataFrame:
-    """Return one value per key; where a key repeats, its last row in reading order wins."""
-    require_fields(table, [key, value], "reference table")
-    pairs = table.select(F.col(key).cast("string").alias(key), F.col(value).alias(value))
-    numbered = pairs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.groupBy(key).agg(F.max_by(value, "_row").alias(value))
+def key_values(table: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
+    """Return one value per key.
+
+    ``order`` names the column that tells which of several rows of a key is the last, such as a version or
+    the place of a record in its files (``records.PLACE``); that one wins. Without it rows of a key that
+    differ stop the job: which of them a parallel read sees last says nothing.
+    """
+    require_fields(table, [key, value, *([order] if order else [])], "reference table")
+    keyed = table.withColumn(key, F.col(key).cast("string"))
+    if order:
+        return keyed.groupBy(key).agg(F.max_by(value, order).alias(value))
+    lows, highs = F.min(F.struct(value)), F.max(F.struct(value))
+    unclear = F.raise_error(F.concat(F.lit(f"several values of {value} for {key} "), F.coalesce(F.first(key), F.lit("NULL"))))
+    return keyed.groupBy(key).agg(F.when(lows == highs, F.max(value)).otherwise(unclear).alias(value))
+
+
+def duplicate_report(table: DataFrame, key: str, value: str) -> DataFrame:
+    """Return the keys that have several values, with their number."""
+    counted = table.groupBy(F.col(key).cast("string").alias(key)).agg(F.count_distinct(F.struct(value)).alias("value_count"))
+    return counted.where(F.col("value_count") > 1)
 
 
 def probe(
@@ -87,7 +117,7 @@ def probe(
     on: str,
     how: str = "left",
     spread_by: Sequence[str] | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``df`` to a lookup on the column ``on``, keeping every row of ``df`` once at most.
 
@@ -100,6 +130,7 @@ def probe(
     if lookup.is_small:
         side = F.broadcast(lookup.frame)
         return df.join(side, df[on] == side[_KEY], how).drop(_KEY)
+    salts = salts or lookup.salts
     offset = [c for c in ENVELOPE[1:] if c in df.columns]
     spread = F.xxhash64(*(F.col(c) for c in (spread_by or offset or df.columns)))
     salted = df.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))

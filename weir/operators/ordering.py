@@ -4,51 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from weir.operators.contract import require_fields
-from weir.operators.running import OFFSET, PARTITION, WIDTH, Measure, running
-from weir.session import workspace
+from weir.operators.running import OFFSET, PARTITION
 
-# Up to this many rows a prefix is taken with ORDER BY and LIMIT, which merges in one place.
-MAX_TOP_ROWS = 100_000
 
-
-def first_rows(df: DataFrame, n: int, order: Sequence[str], max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
+def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """Return the first ``n`` rows of an explicit order: a bounded replay of a source.
 
-    For a long prefix the sorted rows are written once with their place (sorted slice, row in it),
-    and cut by running position, so no task receives all of them. The order should end in a column
-    that tells rows apart, so that equal values can be spread over slices.
+    The order's columns are dealt into ranges and each range is counted. Rows of the ranges that lie wholly
+    within the prefix are kept by comparing them with the last such key; only the range that is cut is
+    ordered. So no task receives more than its range, whatever ``n`` is. The order should end in a
+    column that tells rows apart; among equal keys at the cut any may stay.
     """
     require_fields(df, order)
-    if n <= max_top_rows:
-        return df.orderBy(*order).limit(n)
-    spark, path = df.sparkSession, workspace(df.sparkSession, "ordered")
-    df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
-    row_bits = 33  # a place is the slice number above 33 bits of row number
-    placed = spark.read.parquet(path).withColumns(
-        {"_slice": F.shiftright("_place", row_bits), "_row": F.col("_place").bitwiseAND(F.lit((1 << row_bits) - 1))}
-    )
-    return _cut(placed.drop("_place"), n, "_slice", "_row").drop("_slice", "_row")
-
-
-def _cut(df: DataFrame, n: int, partition: str, offset: str, width: int = WIDTH) -> DataFrame:
-    """Keep the rows whose running position is at most ``n``."""
-    position = {"_position": Measure("count", F.lit(1))}
-    counted = running(df, position, partition=partition, offset=offset, width=width)
-    return counted.where(F.col("_position") <= n).drop("_position")
-
-
-def first_messages(df: DataFrame, n: int, max_top_rows: int = MAX_TOP_ROWS, width: int = WIDTH) -> DataFrame:
-    """Return the first ``n`` messages by (partition, offset), whether they are valid or not.
-
-    A long prefix is cut by each row's running position, so no task receives all of it.
-    """
-    if n <= max_top_rows:
-        return first_rows(df, n, [PARTITION, OFFSET])
-    return _cut(df, n, PARTITION, OFFSET, width)
+    if n <= 0:
+        return df.limit(0)
+    key = F.struct(*(F.col(name) for name in order))
+    ranged = df.select(*order).repartitionByRange(*order)
+    counted = ranged.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(key).alias("last"))
+    ranges = sorted(counted.collect(), key=lambda r: tuple((v is not None, v) for v in r["last"]))  # a row a partition
+    whole, before = None, 0
+    for found in ranges:
+        if before + found["n"] > n:
+            upto = _at_most(order, found["last"])
+            inside = df.where(upto if whole is None else upto & ~_at_most(order, whole))
+            cut = inside.orderBy(*order).limit(n - before)
+            return cut if whole is None else df.where(_at_most(order, whole)).union(cut)
+        whole, before = found["last"], before + found["n"]
+    return df
+
+
+def _at_most(order: Sequence[str], last: Row) -> Column:
+    """True where a row's key is at or before ``last``, with NULL before everything else."""
+    reached = F.lit(True)
+    for name, value in reversed(list(zip(order, last))):
+        column = F.col(name)
+        if value is None:
+            reached = column.isNull() & reached
+        else:
+            before = column.isNull() | F.coalesce(column < F.lit(value), F.lit(False))
+            reached = before | (F.coalesce(column == F.lit(value), F.lit(False)) & reached)
+    return reached
+
+
+def first_messages(df: DataFrame, n: int) -> DataFrame:
+    """Return the first ``n`` messages by (partition, offset), whether they are valid or not."""
+    return first_rows(df, n, [PARTITION, OFFSET])
 
 
 def keyed_order(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from weir.operators.contract import Contract
 from weir.operators.project import accepted_shape, rejected_shape
 from weir.operators.validate import IS_VALID, invalid_rows, valid_rows, with_error_text
 
-ROUTE, BATCH = "route", "batch_id"
+ROUTE, BATCH, RUN = "route", "batch_id", "run"
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 
@@ -23,13 +24,20 @@ def split(checked: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]
     return accepted_shape(valid_rows(checked), contract), rejected_shape(rejected, contract)
 
 
+def branch_counts(checked: DataFrame) -> DataFrame:
+    """Return how many messages each branch gets, in one pass over them."""
+    route = F.when(F.col(IS_VALID), ACCEPTED).otherwise(REJECTED).alias(ROUTE)
+    return checked.groupBy(route).agg(F.count("*").alias("message_count"))
+
+
 @dataclass(frozen=True)
 class Landing:
-    """A folder of landed messages: ``batch_id=N/route=accepted|rejected``.
+    """A folder of landed messages: ``run=R/batch_id=N/route=accepted|rejected``.
 
     A batch is checked and written once, with both branches going to their own folder in the
-    same job. Writing batch N again replaces batch N and nothing else, so a batch that is
-    retried after a failure lands once.
+    same job. Writing batch N of a run again replaces that batch and nothing else, so a batch that is
+    retried after a failure lands once. Each ``Landing`` is a run of its own unless ``run`` says which one it
+    continues, so the batches of one run never replace those of another.
     """
 
     spark: SparkSession
@@ -37,8 +45,9 @@ class Landing:
     contract: Contract
     quarantine: bool = True
     policy: MoneyPolicy = DECIMAL
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def write(self, checked: DataFrame, batch_id: int = 0) -> dict[str, int]:
+    def write(self, checked: DataFrame, batch_id: int) -> dict[str, int]:
         """Land one batch and return the numbers of accepted and rejected messages."""
         counts = Observation()
         observed = with_error_text(checked).observe(
@@ -49,7 +58,8 @@ class Landing:
         kept = observed if self.quarantine else valid_rows(observed)
         route = F.when(F.col(IS_VALID), ACCEPTED).otherwise(REJECTED).alias(ROUTE)
         shaped = kept.select(*(self._stored(kept, field) for field in self._fields()), route)
-        shaped.write.mode("overwrite").partitionBy(ROUTE).parquet(f"{self.path}/{BATCH}={batch_id}")
+        writer = shaped.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(ROUTE).parquet(f"{self.path}/{RUN}={self.run}/{BATCH}={batch_id}")
         return counts.get
 
     def accepted(self) -> DataFrame:
@@ -76,7 +86,8 @@ class Landing:
         return [StructField(name, kinds.get(name, StringType())) for name in names]
 
     def _schema(self) -> StructType:
-        return StructType([*self._fields(), StructField(BATCH, LongType()), StructField(ROUTE, StringType())])
+        places = [StructField(RUN, StringType()), StructField(BATCH, LongType()), StructField(ROUTE, StringType())]
+        return StructType([*self._fields(), *places])
 
     def _read(self, route: str) -> DataFrame:
         landed = self.spark.read.schema(self._schema()).option("basePath", self.path).parquet(self.path)
@@ -84,7 +95,8 @@ class Landing:
 
     def _write_nothing(self, mode: str) -> None:
         nothing = self.spark.createDataFrame([], self._schema())
-        nothing.write.mode(mode).partitionBy(BATCH, ROUTE).parquet(self.path)
+        writer = nothing.write.mode(mode).option("partitionOverwriteMode", "static")
+        writer.partitionBy(RUN, BATCH, ROUTE).parquet(self.path)
 
     @staticmethod
     def _stored(df: DataFrame, field: StructField) -> Column:

@@ -5,10 +5,10 @@ buckets of fixed width instead, and the running value of a row is the value with
 combined with the totals of all earlier buckets:
 
 1. rows are shuffled by bucket and scanned within it (a window of at most ``width`` rows);
-2. each bucket is reduced to one row of totals, map side first;
+2. each bucket is reduced to one row of totals, from the same shuffled rows;
 3. the totals are scanned the same way, in groups of ``width`` buckets, and then across groups;
 4. the carried totals are joined back on the bucket, which the scanned rows are already
-   partitioned and sorted by, so the large side is shuffled once in all.
+   partitioned and sorted by, so the large side is read and shuffled once in all.
 
 No group exceeds ``width`` rows, however many rows one key has, because an offset is unique
 within its partition. Sums of decimals make the result equal to the plain window's.
@@ -73,15 +73,23 @@ def running(
     slotted = df.withColumns(
         {
             _PART: F.coalesce(F.col(partition).cast("long"), F.lit(-1)),
-            _BUCKET: _slice(offset, width),
+            _BUCKET: F.coalesce(F.expr(f"`{offset}` div {width}"), _no_place().cast("long")),
             _KEY: F.struct(*keys) if keys else F.lit(0),
         }
     )
     slots = [_PART, _BUCKET, _KEY]
+    dealt = slotted.repartition(*slots)
     so_far = Window.partitionBy(*slots).orderBy(offset).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = slotted.withColumns({f"_in_{n}": m.of_rows().over(so_far) for n, m in measures.items()})
-
-    totals = slotted.groupBy(*slots).agg(*(m.of_rows().alias(n) for n, m in measures.items()))
+    scanned = dealt.withColumns({f"_in_{n}": m.of_rows().over(so_far) for n, m in measures.items()})
+
+    # Both readers must ask for the same columns to share one shuffle, and with it one read of the source; the
+    # greatest row of a bucket, which is never NULL, needs them all.
+    totals = (
+        dealt.groupBy(*slots)
+        .agg(*(m.of_rows().alias(n) for n, m in measures.items()), F.max(F.struct(*df.columns)).alias("_greatest"))
+        .where(F.col("_greatest").isNotNull())
+        .drop("_greatest")
+    )
     carry = _carry(totals, measures, width, _state(initial, keys, measures))
 
     joined = scanned.join(carry, slots, "left")
@@ -115,6 +123,11 @@ def _carry(totals: DataFrame, measures: Mapping[str, Measure], width: int, state
     )
 
 
+def _no_place() -> Column:
+    """Fail: a message without an offset has no place in the order."""
+    return F.raise_error(F.lit("a message without an offset has no place in the order"))
+
+
 def _slice(column: str, width: int) -> Column:
     """Number the slices of ``width`` consecutive values."""
     return F.coalesce(F.expr(f"`{column}` div {width}"), F.lit(-1).cast("long"))

@@ -24,7 +24,7 @@ from weir.operators.lookup import (
     probe,
     unknown_rows,
 )
-from weir.operators.route import ACCEPTED, REJECTED, ROUTE, Landing, split
+from weir.operators.route import ACCEPTED, REJECTED, ROUTE, Landing, branch_counts, split
 from weir.plans import tables
 from weir.plans.coffee import COFFEE
 from weir.plans.flows import consume, produce, storage_summary
@@ -33,8 +33,10 @@ from weir.session import workspace
 from weir.sources import records, topics
 from weir.streaming import runs
 
-# Fixed value: how many messages a consumer takes at most unless told otherwise.
+# Fixed value: the prefix that the bounded queries take, which is their feature.
 MAX_MESSAGES = 1000
+# Batches of the streams.
+STREAM_FILES = 4
 
 KEY, PARTITION, OFFSET = ENVELOPE
 
@@ -51,8 +53,15 @@ class Given:
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf_dir, name)
 
-    def stream(self, name: str) -> DataFrame:
-        return runs.stream_files(self.spark, f"{self.sf_dir}/{name}.parquet", self.table(name).schema)
+    def stream(self, name: str, order: str) -> DataFrame:
+        """The whole table as a stream of several batches: files that arrive one after the other, in order."""
+        table, path = self.table(name), self.folder(name)
+        cuts = sorted(set(table.approxQuantile(order, [k / STREAM_FILES for k in range(1, STREAM_FILES)], 0.01)))
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            part = table if low is None else table.where(F.col(order) > low)
+            part = part if high is None else part.where(F.col(order) <= high)
+            part.coalesce(1).write.mode("append").parquet(path)
+        return runs.stream_files(self.spark, path, table.schema, max_files=1)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -111,6 +120,28 @@ class Given:
     def consume_sales(self, messages: DataFrame) -> DataFrame:
         return consume(messages, SALES, self.region_rates, enrich.enrich_sales)
 
+    @cached_property
+    def fixed_region_rates(self) -> Lookup:
+        return self.region_rates.stored(self.folder("rates"))
+
+    def consume_sales_batch(self, messages: DataFrame) -> DataFrame:
+        """Consume one batch of a stream with the copy of the rates that all batches use."""
+        return consume(messages, SALES, self.fixed_region_rates, enrich.enrich_sales)
+
+    def reported_sales(self) -> tuple[DataFrame, DataFrame]:
+        """Both branches of a run whose topic holds the valid messages, as the closing report reads them."""
+        return split(self.consume_sales(validate.valid_rows(self.checked_sales()).drop(validate.ERRORS, validate.IS_VALID)), SALES)
+
+    def reported_lines(self) -> tuple[DataFrame, DataFrame]:
+        checked = self.checked_lines()
+        sent = validate.valid_rows(checked).drop(validate.ERRORS, validate.IS_VALID)
+        return accepted_and_rejected(self.consume_coffee(sent), checked)
+
+    def reported_orders(self) -> DataFrame:
+        checked = validate.validate(self.orders, COFFEE, self.coffee_references)
+        sent = validate.valid_rows(checked).drop(validate.ERRORS, validate.IS_VALID)
+        return validate.valid_rows(self.consume_coffee(sent))
+
     def consume_coffee(self, messages: DataFrame) -> DataFrame:
         return consume(messages, COFFEE, self.store_rates, enrich.enrich_coffee)
 
@@ -124,18 +155,23 @@ class Given:
         return validate.valid_rows(self.consume_coffee(self.lines))
 
     def consume_sales_stream(self) -> DataFrame:
-        rates = self.region_rates.stored(self.folder("rates"))
-        return consume(self.stream_sales(), SALES, rates, enrich.enrich_sales)
+        return self.consume_sales_batch(self.stream_sales())
 
     def consume_orders_stream(self) -> DataFrame:
         rates = self.store_rates.stored(self.folder("rates"))
         return consume(self.stream_orders(), COFFEE, rates, enrich.enrich_coffee)
 
     def stream_sales(self) -> DataFrame:
-        return tables.sales_messages(self.stream("events"))
+        return tables.sales_messages(self.stream("events", "event_id"))
 
     def stream_orders(self) -> DataFrame:
-        return tables.order_messages(self.stream("orders"))
+        return tables.order_messages(self.stream("orders", "o_orderkey"))
+
+
+def accepted_and_rejected(consumed: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The accepted table of a run, and all its rejects: those of the producer and those of the consumer."""
+    accepted, late = split(consumed, COFFEE)
+    return accepted, split(checked, COFFEE)[1].unionByName(late)
 
 
 Query = Callable[[Given], DataFrame]
@@ -170,16 +206,20 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def csv_scan(g: Given) -> DataFrame:
     path = g.folder("csv")
     records.write_records(project.project(g.sales, SALES.fields), path)
-    return project.project(records.read_records(g.spark, path, SALES.fields), SALES.fields)
+    return project.project(records.read_written(g.spark, path, SALES.fields), SALES.fields)
 
 
 @query
 def csv_lookup(g: Given) -> DataFrame:
     path = g.folder("regions")
     regions = tables.regions(g.spark, g.sf_dir)
-    records.write_records(regions, path)
-    table = records.read_records(g.spark, path, regions.columns)
-    return key_values(table, "region_id", "tax_rate_pct").select("region_id", F.col("tax_rate_pct").cast("double"))
+    raised = regions.withColumn("tax_rate_pct", (F.col("tax_rate_pct").cast("double") + 1).cast("string"))
+    first = regions.where("region_id = 'R-0'").withColumn("tax_rate_pct", F.lit("9.75"))
+    for version, table in enumerate((raised, regions, first)):
+        records.write_records(table, f"{path}/version-{version}")
+    table = records.read_records(g.spark, f"{path}/*", regions.columns, place=True)
+    latest = key_values(table, "region_id", "tax_rate_pct", records.PLACE)
+    return latest.select("region_id", F.col("tax_rate_pct").cast("double"))
 
 
 @query
@@ -255,11 +295,11 @@ def csv_append_sink(g: Given) -> DataFrame:
     path = g.folder("consumed")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        accepted = validate.valid_rows(g.consume_sales(batch))
-        records.write_batch(project.consumed_shape(accepted, SALES), f"{path}/rows", batch_id)
+        accepted = validate.valid_rows(g.consume_sales_batch(batch))
+        records.write_batch(project.consumed_shape(accepted, SALES), f"{path}/rows", "1", batch_id)
 
     runs.run_batches(g.stream_sales(), f"{path}/checkpoint", append)
-    landed = records.read_records(g.spark, f"{path}/rows/*", SALES.consumed_fields)
+    landed = records.read_written(g.spark, f"{path}/rows/*/*", SALES.consumed_fields)
     return project.consumed_shape(landed, SALES)
 
 
@@ -267,13 +307,13 @@ def csv_append_sink(g: Given) -> DataFrame:
 def rejected_csv_sink(g: Given) -> DataFrame:
     path, fields = g.folder("rejected"), [*SALES.required, ERROR_TEXT]
     records.write_records(produce(g.sales, SALES, g.sales_references)[1], path)
-    return project.project(records.read_records(g.spark, path, fields), fields)
+    return project.project(records.read_written(g.spark, path, fields), fields)
 
 
 def _landed(g: Given, contract: Contract, consumed: DataFrame) -> Landing:
     landing = Landing(g.spark, g.folder("landing"), contract)
     landing.reset()
-    landing.write(consumed)
+    landing.write(consumed, 0)
     return landing
 
 
@@ -304,14 +344,14 @@ def _branch_counts(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
 
 @query
 def route_split(g: Given) -> DataFrame:
-    return _branch_counts(*split(g.checked_lines(), COFFEE))
+    return branch_counts(g.checked_lines())
 
 
 @query
 def table_create(g: Given) -> DataFrame:
     landing = Landing(g.spark, g.folder("created"), SALES)
     landing.create()
-    landing.write(g.consume_sales(g.sales))
+    landing.write(g.consume_sales(g.sales), 0)
     landing.create()
     return _branch_counts(landing.accepted(), landing.rejected())
 
@@ -331,7 +371,7 @@ def output_reset(g: Given) -> DataFrame:
     rejected = produce(g.sales, SALES, g.sales_references)[1]
     for _ in range(2):
         records.write_records(rejected, path, first=True)
-    return aggregate.row_count(records.read_records(g.spark, path, fields), "rejected_count")
+    return aggregate.row_count(records.read_written(g.spark, path, fields), "rejected_count")
 
 
 @query
@@ -658,25 +698,21 @@ def enrich_sales_per_item(g: Given) -> DataFrame:
 
 @query
 def agg_accepted_count(g: Given) -> DataFrame:
-    accepted, rejected = split(g.checked_lines(), COFFEE)
-    return storage_summary(accepted, rejected, COFFEE)["accepted"]
+    return storage_summary(*g.reported_lines(), COFFEE)["accepted"]
 
 
 @query
 def agg_rejected_count(g: Given) -> DataFrame:
-    accepted, rejected = split(g.checked_lines(), COFFEE)
-    return storage_summary(accepted, rejected, COFFEE)["rejected"]
+    return storage_summary(*g.reported_lines(), COFFEE)["rejected"]
 
 
 @query
 def agg_count_by_region(g: Given) -> DataFrame:
-    accepted, rejected = split(g.consume_sales(g.sales), SALES)
-    return storage_summary(accepted, rejected, SALES)["by_region"]
+    return storage_summary(*g.reported_sales(), SALES)["by_region"]
 
 
 def _coffee_summary(g: Given, question: str) -> DataFrame:
-    accepted, rejected = split(g.consume_coffee(g.lines), COFFEE)
-    return storage_summary(accepted, rejected, COFFEE)[question]
+    return storage_summary(*g.reported_lines(), COFFEE)[question]
 
 
 @query
@@ -696,7 +732,7 @@ def agg_loyalty(g: Given) -> DataFrame:
 
 @query
 def agg_run_stats(g: Given) -> DataFrame:
-    return aggregate.run_stats(g.accepted_lines())
+    return aggregate.run_stats(g.reported_lines()[0])
 
 
 @query
@@ -706,7 +742,7 @@ def agg_run_counts(g: Given) -> DataFrame:
 
 @query
 def agg_cumulative_by_key(g: Given) -> DataFrame:
-    return aggregate.cumulative_by(g.accepted_lines(), "store_id")
+    return aggregate.cumulative_by(g.reported_lines()[0], "store_id")
 
 
 # Running values
@@ -768,12 +804,12 @@ def sort_by_key(g: Given) -> DataFrame:
 
 @query
 def sort_by_revenue_desc(g: Given) -> DataFrame:
-    return aggregate.revenue_by(g.accepted_orders(), "store_id")
+    return aggregate.revenue_by(g.reported_orders(), "store_id")
 
 
 @query
 def sort_by_flag_desc(g: Given) -> DataFrame:
-    return aggregate.by_loyalty(g.accepted_orders())
+    return aggregate.by_loyalty(g.reported_orders())
 
 
 @query
@@ -789,7 +825,7 @@ def stream_validate_route(g: Given) -> DataFrame:
     path = g.folder("route")
     landing = Landing(g.spark, f"{path}/rows", SALES)
     landing.reset()
-    runs.land(g.stream_sales(), g.consume_sales, landing, f"{path}/checkpoint")
+    runs.land(g.stream_sales(), g.consume_sales_batch, landing, f"{path}/checkpoint")
     accepted = landing.accepted().select("order_id", F.lit(ACCEPTED).alias(ROUTE), F.lit("").alias(ERROR_TEXT))
     return accepted.union(landing.rejected().select("order_id", F.lit(REJECTED), ERROR_TEXT))
 
@@ -837,7 +873,7 @@ def stream_replay(g: Given) -> DataFrame:
     for run in (1, 2):
         landing = Landing(g.spark, f"{path}/run-{run}", SALES)
         landing.reset()
-        runs.land(g.stream_sales(), g.consume_sales, landing, f"{path}/checkpoint-{run}")
+        runs.land(g.stream_sales(), g.consume_sales_batch, landing, f"{path}/checkpoint-{run}")
         sides = _branch_counts(landing.accepted(), landing.rejected())
         counts.append(sides.select(F.lit(run).alias("run"), ROUTE, "message_count"))
     return counts[0].union(counts[1])
@@ -850,7 +886,9 @@ def stream_run_bounded(g: Given) -> DataFrame:
     landing.reset()
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        landing.write(g.consume_sales(batch), batch_id)
+        landing.write(g.consume_sales_batch(batch), batch_id)
 
-    runs.run_bounded(g.stream_sales(), MAX_MESSAGES, f"{path}/checkpoint", f"{path}/state", take)
+    # Three runs of one consumer: each goes on where the one before stopped.
+    for limit in (MAX_MESSAGES // 4, MAX_MESSAGES // 2, MAX_MESSAGES // 4):
+        runs.run_bounded(g.sales, limit, f"{path}/positions", take)
     return _branch_counts(landing.accepted(), landing.rejected())

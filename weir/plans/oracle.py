@@ -103,7 +103,9 @@ msg AS (
          CASE WHEN k = 15 THEN 'billboard' WHEN k % 4 = 0 THEN 'organic' WHEN k % 4 = 1 THEN 'paid_search'
               WHEN k % 4 = 2 THEN 'email' ELSE 'social' END AS referral_source,
          CASE WHEN k % 10 < 3 THEN 'SPRING25' ELSE '' END AS discount_code,
-         CASE WHEN k = 16 THEN 'said "fast", then left' ELSE '' END AS customer_note,
+         CASE k WHEN 16 THEN 'said "fast", then left'
+                WHEN 17 THEN 'two' || chr(10) || 'lines, \\n and' || chr(13) || chr(10) || 'a \\ sign'
+                ELSE '' END AS customer_note,
          CASE WHEN k = 8 THEN 'R''9' ELSE 'R-' || CAST(user_id % 6 AS VARCHAR) END AS _kafka_key,
          CAST(user_id % 4 AS INTEGER) AS _kafka_partition,
          CAST(event_id AS BIGINT) AS _kafka_offset
@@ -214,6 +216,23 @@ def lines(select: str) -> str:
     return f"WITH {LINES}\n{select}"
 
 
+# The closing report is about a topic that holds the valid messages only.
+_SENT = "(SELECT * EXCLUDE (validation_errors) FROM chk WHERE validation_errors = '') ord"
+
+
+def reported_lines(select: str) -> str:
+    return lines(select).replace("FROM ord LEFT JOIN sto", f"FROM {_SENT} LEFT JOIN sto")
+
+
+def reported_orders(select: str) -> str:
+    return orders(select).replace("FROM ord LEFT JOIN sto", f"FROM {_SENT} LEFT JOIN sto")
+
+
+def reported_sales(select: str) -> str:
+    valid = "(SELECT * EXCLUDE (missing, other, validation_errors) FROM chk WHERE validation_errors = '') m"
+    return sales(select).replace("AS other\n  FROM msg m),", f"AS other\n  FROM {valid}),")
+
+
 def orders(select: str) -> str:
     return f"WITH {ORDERS}\n{select}"
 
@@ -243,7 +262,12 @@ def _running_sales(value: str, name: str) -> str:
 
 
 def _json(fields: tuple[str, ...]) -> str:
-    escaped = (f"'\"{f}\":\"' || replace({f}, '\"', '\\\"') || '\"'" for f in fields)
+    def spelled(field: str) -> str:
+        for sign, name in (("'\\'", "'\\\\'"), ("'\"'", "'\\\"'"), ("chr(10)", "'\\n'"), ("chr(13)", "'\\r'")):
+            field = f"replace({field}, {sign}, {name})"
+        return field
+
+    escaped = (f"'\"{f}\":\"' || {spelled(f)} || '\"'" for f in fields)
     return "'{' || " + " || ',' || ".join(escaped) + " || '}'"
 
 
@@ -261,7 +285,9 @@ def _missing_product(field: str, value: str) -> str:
 ORACLE: dict[str, str] = {
     # Sources
     "csv_scan": sales(f"SELECT {_columns(FIELDS)} FROM msg"),
-    "csv_lookup": sales("SELECT region_id, CAST(tax_rate_pct AS DOUBLE) AS tax_rate_pct FROM reg"),
+    "csv_lookup": sales(
+        "SELECT region_id, CASE WHEN region_id = 'R-0' THEN 9.75 ELSE CAST(tax_rate_pct AS DOUBLE) END AS tax_rate_pct FROM reg"
+    ),
     "stream_scan_earliest": sales(f"SELECT {_columns(FIELDS, ENVELOPE)} FROM msg"),
     "stream_decode_envelope": sales(
         "SELECT "
@@ -400,18 +426,18 @@ ORACLE: dict[str, str] = {
     "enrich_coffee": lines(f"SELECT order_id, store_id, {COFFEE_AMOUNTS} FROM acc"),
     "enrich_sales_per_item": sales(f"SELECT order_id, {SALE_AMOUNTS}, total_per_item FROM acc"),
     # Aggregations
-    "agg_accepted_count": lines("SELECT COUNT(*) AS accepted_count FROM chk WHERE validation_errors = ''"),
+    "agg_accepted_count": reported_lines("SELECT COUNT(*) AS accepted_count FROM acc"),
     "agg_rejected_count": lines("SELECT COUNT(*) AS rejected_count FROM chk WHERE validation_errors <> ''"),
-    "agg_count_by_region": sales("SELECT region_id, COUNT(*) AS sale_count FROM acc GROUP BY region_id ORDER BY region_id"),
-    "agg_revenue_by_store": lines(f"SELECT store_id, {REVENUE} FROM acc GROUP BY store_id ORDER BY revenue DESC"),
-    "agg_revenue_by_size": lines(f"SELECT size, {REVENUE} FROM acc GROUP BY size ORDER BY revenue DESC"),
-    "agg_loyalty": lines(f"{LOYALTY} ORDER BY is_loyalty DESC"),
-    "agg_run_stats": lines(STATS),
+    "agg_count_by_region": reported_sales("SELECT region_id, COUNT(*) AS sale_count FROM acc GROUP BY region_id ORDER BY region_id"),
+    "agg_revenue_by_store": reported_lines(f"SELECT store_id, {REVENUE} FROM acc GROUP BY store_id ORDER BY revenue DESC"),
+    "agg_revenue_by_size": reported_lines(f"SELECT size, {REVENUE} FROM acc GROUP BY size ORDER BY revenue DESC"),
+    "agg_loyalty": reported_lines(f"{LOYALTY} ORDER BY is_loyalty DESC"),
+    "agg_run_stats": reported_lines(STATS),
     "agg_run_counts": lines(
         "SELECT COUNT(*) FILTER (WHERE validation_errors = '') AS accepted_count, "
         "COUNT(*) FILTER (WHERE validation_errors <> '') AS rejected_count FROM chk"
     ),
-    "agg_cumulative_by_key": lines(
+    "agg_cumulative_by_key": reported_lines(
         "SELECT store_id, CAST(SUM(total) AS DOUBLE) AS revenue FROM acc GROUP BY store_id ORDER BY store_id"
     ),
     # Running values
@@ -433,10 +459,10 @@ ORACLE: dict[str, str] = {
     "series_total_by_offset": sales("SELECT _kafka_partition, _kafka_offset, CAST(total AS DOUBLE) AS total FROM acc"),
     # Sorts and limits
     "sort_by_key": lines("SELECT store_id, COUNT(*) AS order_count FROM ord GROUP BY store_id ORDER BY store_id"),
-    "sort_by_revenue_desc": orders(
+    "sort_by_revenue_desc": reported_orders(
         f"SELECT store_id, {REVENUE} FROM acc GROUP BY store_id ORDER BY revenue DESC, store_id"
     ),
-    "sort_by_flag_desc": orders(f"{LOYALTY} ORDER BY is_loyalty DESC"),
+    "sort_by_flag_desc": reported_orders(f"{LOYALTY} ORDER BY is_loyalty DESC"),
     "limit_n": orders(
         "SELECT order_id, _kafka_partition, _kafka_offset FROM ord ORDER BY _kafka_partition, _kafka_offset LIMIT 1000"
     ),

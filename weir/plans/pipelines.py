@@ -6,12 +6,13 @@ four columns, which is what the file runs here use.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weir.functions.money import DECIMAL, MoneyPolicy
@@ -22,6 +23,8 @@ from weir.operators.ordering import first_rows
 from weir.operators.project import accepted_shape, consumed_shape, project
 from weir.operators.route import Landing
 from weir.operators.validate import (
+    ERRORS,
+    IS_VALID,
     invalid_rows,
     reference_errors,
     require_clean,
@@ -31,6 +34,7 @@ from weir.operators.validate import (
 )
 from weir.plans import coffee, sales
 from weir.plans.flows import Enricher, consume, storage_summary
+from weir.session import workspace
 from weir.sources import records, topics
 from weir.streaming import runs
 
@@ -99,37 +103,49 @@ def load_references(spark: SparkSession, domain: Domain, data_dir: str) -> dict[
 def load_rates(spark: SparkSession, domain: Domain, data_dir: str) -> Lookup:
     """Read the tax percentages by key."""
     reference = domain.references[domain.rates]
-    table = records.read_records(spark, f"{data_dir}/{domain.rates}.csv", [reference.key, "tax_rate_pct"])
-    return Lookup.values(table, reference.key, "tax_rate_pct")
+    fields = [reference.key, "tax_rate_pct"]
+    table = records.read_records(spark, f"{data_dir}/{domain.rates}.csv", fields, place=True)
+    return Lookup.values(table, reference.key, "tax_rate_pct", records.PLACE)
 
 
 def run_producer(
-    spark: SparkSession, domain: Domain, data_dir: str, out_dir: str, count: int | None = None, partitions: int = 1
+    spark: SparkSession,
+    domain: Domain,
+    data_dir: str,
+    out_dir: str,
+    count: int | None = None,
+    partitions: int = 1,
+    multi_line: bool = True,
 ) -> dict[str, int]:
     """Validate records, publish the valid ones to ``out_dir/topic`` and list the others.
 
     ``count`` bounds the records that are read, valid or not. Returns how many were sent and
-    rejected. Offsets grow along the replay order; they have gaps, as those of a topic may.
+    rejected. Offsets grow along the replay order; they have gaps, as those of a topic may. The records are
+    read and checked once: both branches are written in one job and go on from there. ``multi_line`` admits line breaks
+    in the records' texts, for which each file is read by one task.
     """
     contract = domain.contract
     tables = load_references(spark, domain, data_dir)
     references = {name: Lookup.keys(tables[name], reference.key) for name, reference in domain.references.items()}
-    rows = records.read_records(spark, f"{data_dir}/{domain.events}.csv", contract.required)
+    rows = records.read_records(spark, f"{data_dir}/{domain.events}.csv", contract.required, multi_line)
     if count is not None:
         rows = first_rows(rows, count, REPLAY_ORDER)
-    checked = validate(rows, contract, references)
+    checked = with_error_text(records.mark_malformed(validate(rows, contract, references)))
 
-    ordered = valid_rows(checked).orderBy(*REPLAY_ORDER)
+    counts, staged = Observation(), workspace(spark, "checked")
+    observed = checked.drop(ERRORS).observe(
+        counts, F.count_if(F.col(IS_VALID)).alias("sent"), F.count_if(~F.col(IS_VALID)).alias("rejected")
+    )
+    observed.write.partitionBy(IS_VALID).parquet(staged)
+    both = spark.read.schema(observed.schema).parquet(staged)
+
+    ordered = valid_rows(both).orderBy(*REPLAY_ORDER)
     encoded = topics.encode(ordered, contract).withColumns(
         {"partition": F.pmod(F.hash("key"), F.lit(partitions)), "offset": F.monotonically_increasing_id()}
     )
-    encoded.write.mode("overwrite").parquet(f"{out_dir}/topic")
-    rejected = project(with_error_text(invalid_rows(checked)), [*contract.required, ERROR_TEXT])
-    records.write_records(rejected, f"{out_dir}/rejected")
-    return {
-        "sent": spark.read.parquet(f"{out_dir}/topic").count(),
-        "rejected": records.count_records(spark, f"{out_dir}/rejected", rejected.columns),
-    }
+    encoded.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out_dir}/topic")
+    records.write_records(project(invalid_rows(both), [*contract.required, ERROR_TEXT]), f"{out_dir}/rejected")
+    return counts.get
 
 
 def read_file_topic(spark: SparkSession, out_dir: str, max_files: int | None = None) -> DataFrame:
@@ -138,8 +154,13 @@ def read_file_topic(spark: SparkSession, out_dir: str, max_files: int | None = N
     return runs.stream_files(spark, f"{out_dir}/topic", topic.schema, max_files=max_files)
 
 
+def read_whole_topic(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Read the topic a producer run left as it stands."""
+    return spark.read.parquet(f"{out_dir}/topic")
+
+
 def run_consumer(
-    records_stream: DataFrame,
+    topic: DataFrame,
     domain: Domain,
     rates: Lookup,
     out_dir: str,
@@ -147,34 +168,42 @@ def run_consumer(
     limit: int | None = None,
     policy: MoneyPolicy = DECIMAL,
     fresh: bool = True,
+    quarantine: bool = True,
 ) -> dict[str, int]:
-    """Consume a stream of topic records: check, enrich, land both branches, write the CSV.
+    """Consume topic records: check, enrich, land both branches, write the CSV.
 
-    ``fresh`` clears the outputs of earlier runs first and belongs with a new checkpoint; without
-    it the run continues where the checkpoint stands. ``limit`` bounds the messages consumed.
+    ``topic`` is a stream, or a batch read of the whole topic, which must not be empty. ``limit`` bounds the messages
+    that a run takes from a batch read; the next run with the same ``checkpoint`` goes on at the next message. ``fresh``
+    clears the outputs of earlier runs first and belongs with a new checkpoint; without
+    it the run continues where the checkpoint stands. ``quarantine`` stores rejected messages instead of skipping them.
     """
-    contract = domain.contract
-    landing = Landing(records_stream.sparkSession, f"{out_dir}/landed", domain.stored, policy=policy)
+    contract, spark = domain.contract, topic.sparkSession
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]  # the same checkpoint continues the same run
+    landing = Landing(spark, f"{out_dir}/landed", domain.stored, quarantine, policy, run)
     if fresh:
         landing.reset()
         records.clear_batches(landing.accepted(), f"{out_dir}/consumed")
     else:
         landing.create()
+    fixed = rates.stored(f"{checkpoint}-rates")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        consumed = consume(batch, contract, rates, domain.enricher, policy).persist(StorageLevel.MEMORY_AND_DISK)
+        consumed = consume(batch, contract, fixed, domain.enricher, policy).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             landing.write(consumed, batch_id)
             accepted = consumed_shape(valid_rows(consumed), contract, domain.extra)
-            records.write_batch(accepted, f"{out_dir}/consumed", batch_id)
+            records.write_batch(accepted, f"{out_dir}/consumed", run, batch_id)
         finally:
             consumed.unpersist()
 
-    messages = topics.decode(records_stream, contract)
-    if limit is None:
+    messages = topics.decode(topic, contract)
+    if not topic.isStreaming:
+        topics.require_messages(topic)
+        runs.run_bounded(messages, limit, f"{checkpoint}-positions", each)
+    elif limit is None:
         runs.run_batches(messages, checkpoint, each)
     else:
-        runs.run_bounded(messages, limit, checkpoint, f"{checkpoint}-consumed", each)
+        raise ValueError("a stream's checkpoint passes whole batches; bound a batch read of the topic instead")
     return {"consumed": landing.accepted().count(), "skipped": landing.rejected().count()}
 
 

@@ -75,7 +75,10 @@ def sales_messages(events: DataFrame) -> DataFrame:
         .otherwise(_pick(k % 4, "organic", "paid_search", "email", "social"))
         .alias("referral_source"),
         F.when(k % 10 < 3, "SPRING25").otherwise("").alias("discount_code"),
-        F.when(k == 16, 'said "fast", then left').otherwise("").alias("customer_note"),
+        F.when(k == 16, 'said "fast", then left')
+        .when(k == 17, "two\nlines, \\n and\r\na \\ sign")
+        .otherwise("")
+        .alias("customer_note"),
         region.alias("_kafka_key"),
         (user % 4).cast("int").alias("_kafka_partition"),
         F.col("event_id").cast("long").alias("_kafka_offset"),

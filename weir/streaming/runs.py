@@ -8,16 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from weir.operators.ordering import first_messages
 from weir.operators.route import BATCH, Landing
-from weir.operators.running import Measure, running, with_mean
+from weir.operators.running import OFFSET, PARTITION, Measure, running, with_mean
+
+LAST, NEXT = "_last_offset", "_next_offset"
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -55,10 +58,15 @@ def run_append(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def run_latest(aggregated: DataFrame, path: str, checkpoint: str) -> None:
-    """Write the whole result of a streaming aggregate after each batch, as a new version."""
+    """Write the whole result of a streaming aggregate after each batch, as a new version.
+
+    The version before the newest stays until the next one is written, for whoever reads it; older ones go.
+    """
+    spark = aggregated.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+        drop_before(spark, path, batch_id - 1)
 
     query = (
         aggregated.writeStream.outputMode("complete")
@@ -71,10 +79,32 @@ def run_latest(aggregated: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Read the newest version written by ``run_latest``."""
-    versions = spark.read.option("basePath", path).parquet(path)
-    newest = versions.agg(F.max(BATCH).alias(BATCH)).first()[BATCH]
-    return versions.where(F.col(BATCH) == newest).drop(BATCH)
+    """Read the newest version written by ``run_latest``; only its name is looked up."""
+    return spark.read.parquet(f"{path}/{versions(spark, path)[-1]}")
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Return the numbers of the finished versions in a folder."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    named = [status.getPath() for status in files.listStatus(folder) if status.getPath().getName().isdigit()]
+    done = [p.getName() for p in named if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(name) for name in done)
+
+
+def drop_before(spark: SparkSession, path: str, version: int) -> None:
+    """Remove the versions below a number."""
+    files, _ = _folder(spark, path)
+    for old in versions(spark, path):
+        if old < version:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}"), True)
+
+
+def _folder(spark: SparkSession, path: str):
+    """Return the file system of a folder and the folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def land(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], landing: Landing, checkpoint: str) -> None:
@@ -91,7 +121,7 @@ class Carried:
     """Running values that outlive a batch, stored by batch number.
 
     Batch N reads the state of batch N-1 and writes its own, so a retry of N computes the same
-    values again.
+    values again. Older states are removed.
     """
 
     spark: SparkSession
@@ -105,6 +135,11 @@ class Carried:
 
     def save(self, state: DataFrame, batch_id: int) -> None:
         state.write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
+        drop_before(self.spark, self.path, batch_id - 1)
+
+
+class LateOffsets(ValueError):
+    """A batch holds offsets at or before those whose running values are written."""
 
 
 def run_running(
@@ -113,16 +148,18 @@ def run_running(
     """Write every row with its running values, which continue from batch to batch for each key.
 
     Within a key, later batches must hold later offsets, as they do when keys are whole
-    partitions of a topic.
+    partitions of a topic. The state keeps the highest offset of each key; a batch that goes back before it fails.
     """
     spark = stream.sparkSession
     wanted = running(_empty_like(spark, stream), measures, keys).select(*keys, *measures).schema
-    carried = Carried(spark, state_path, wanted)
+    carried = Carried(spark, state_path, StructType([*wanted.fields, StructField(LAST, LongType())]))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         state = carried.before(batch_id)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if state is not None:
+                _require_later(batch, keys, state)
             rows = running(batch, measures, keys, initial=state)
             rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
             carried.save(_next_state(batch, measures, keys, state), batch_id)
@@ -132,35 +169,59 @@ def run_running(
     run_batches(stream, checkpoint, write)
 
 
+def _require_later(batch: DataFrame, keys: list[str], state: DataFrame) -> None:
+    """Stop at a batch that goes back before what is written."""
+    firsts = batch.groupBy(*keys).agg(F.min(OFFSET).cast("long").alias("_first"))
+    ends = state.select(*(F.col(k).alias(f"_of_{k}") for k in keys), LAST)
+    same = reduce(Column.__and__, (firsts[k].eqNullSafe(ends[f"_of_{k}"]) for k in keys))
+    late = firsts.join(ends, same).where(F.col("_first") <= F.col(LAST)).first()
+    if late is not None:
+        raise LateOffsets(f"offset {late['_first']} came after {late[LAST]} for {[late[k] for k in keys]}")
+
+
 def _next_state(batch: DataFrame, measures: dict[str, Measure], keys: list[str], state: DataFrame | None) -> DataFrame:
     """Fold a batch into the carried totals: one row per key."""
-    totals = batch.groupBy(*keys).agg(*(m.of_rows().alias(n) for n, m in measures.items()))
+    kept = {**measures, LAST: Measure("max", F.col(OFFSET).cast("long"))}
+    totals = batch.groupBy(*keys).agg(*(m.of_rows().alias(n) for n, m in kept.items()))
     if state is None:
         return totals
-    return totals.unionByName(state).groupBy(*keys).agg(*(m.of_totals(n).alias(n) for n, m in measures.items()))
+    return totals.unionByName(state).groupBy(*keys).agg(*(m.of_totals(n).alias(n) for n, m in kept.items()))
 
 
-def run_bounded(
-    stream: DataFrame, limit: int, checkpoint: str, state_path: str, each: Callable[[DataFrame, int], None]
-) -> None:
-    """Consume at most ``limit`` messages, valid or not, in (partition, offset) order within a batch.
+def restart(spark: SparkSession, checkpoint: str) -> None:
+    """Forget how far a bounded consumer came, so that the next run starts at the first message."""
+    files, folder = _folder(spark, f"{checkpoint}-positions")
+    files.delete(folder, True)
 
-    The last batch is cut at the exact message. Batches after it are skipped.
-    """
-    spark = stream.sparkSession
-    carried = Carried(spark, state_path, StructType([StructField("consumed", LongType())]))
 
-    def cut(batch: DataFrame, batch_id: int) -> None:
-        state = carried.before(batch_id)
-        consumed = state.first()["consumed"] if state is not None else 0
-        taken = 0
-        if consumed < limit:
-            arrived = batch.count()
-            taken = min(arrived, limit - consumed)
-            each(batch if taken == arrived else first_messages(batch, taken), batch_id)
-        carried.save(spark.createDataFrame([(consumed + taken,)], carried.schema), batch_id)
-
-    run_batches(stream, checkpoint, cut)
+def run_bounded(messages: DataFrame, limit: int | None, state_path: str, each: Callable[[DataFrame, int], None]) -> None:
+    """Consume at most ``limit`` more messages, valid or not, in the order (partition, offset).
+
+    ``messages`` is a batch read of the whole topic. The state holds the next offset of each partition and is written
+    after ``each`` has taken its messages, so a message that was not taken is the first one of the next run, with
+    whatever limit that has. A run that fails in between takes the same messages again under the same number.
+    """
+    spark = messages.sparkSession
+    done = versions(spark, state_path)
+    number = done[-1] + 1 if done else 0
+    schema = StructType([StructField(PARTITION, IntegerType()), StructField(NEXT, LongType())])
+    state = spark.read.schema(schema).parquet(f"{state_path}/{done[-1]}") if done else None
+    pending = messages
+    if state is not None:
+        pending = messages.join(state, PARTITION, "left").where(F.col(OFFSET) >= F.coalesce(NEXT, F.lit(0))).drop(NEXT)
+    taken = pending if limit is None else first_messages(pending, limit)
+    taken = taken.select(*messages.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if taken.isEmpty():
+            return
+        each(taken, number)
+        ends = taken.groupBy(PARTITION).agg((F.max(OFFSET) + 1).cast("long").alias(NEXT))
+        if state is not None:
+            ends = ends.union(state).groupBy(PARTITION).agg(F.max(NEXT).alias(NEXT))
+        ends.select(F.col(PARTITION).cast("int"), NEXT).write.mode("overwrite").parquet(f"{state_path}/{number}")
+        drop_before(spark, state_path, number - 1)
+    finally:
+        taken.unpersist()
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
