@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 SAMPLES = 128
 #: Terms whose scores a task remembers; each takes half a KB.
-REMEMBERED = 120_000
+REMEMBERED = 240_000
 #: Terms of one text that are looked at together, and characters of texts that are.
 TERMS_AT_ONCE = 8_000
 CHARACTERS_AT_ONCE = 200_000
@@ -104,7 +104,7 @@ class Sampler:
         self.samples = samples
         # The scores of terms that occur once, and r, ln(c) and b of terms that occur more often.
         self.once = Memory(max(remembered, 2 * TERMS_AT_ONCE), samples, 1)
-        self.more = Memory(max(remembered // 8, 2 * TERMS_AT_ONCE), samples, 3)
+        self.more = Memory(max(remembered // 16, 2 * TERMS_AT_ONCE), samples, 3)
 
     def fingerprint(self, text: str) -> np.ndarray:
         """The samples of a text as 16-bit numbers, 0 where it has no words."""
