@@ -63,3 +63,23 @@ def run_stats(df: DataFrame, column: str = "total", by: tuple[str, ...] = ()) ->
 def cumulative_by(df: DataFrame, key: str, column: str = "total") -> DataFrame:
     """Return the revenue of each key in key order: what the live chart ends with."""
     return df.groupBy(key).agg(F.sum(column).alias("revenue")).orderBy(key)
+
+
+def error_histogram(checked: DataFrame) -> DataFrame:
+    """Count messages by the kind of error; of a missing field the kind names the field, values are left out."""
+    found = checked.select(F.explode("errors").alias("text"))
+    kind = F.when(F.col("text").startswith("Missing"), F.col("text")).otherwise(F.substring_index("text", ": ", 1))
+    return found.groupBy(kind.alias("error")).agg(F.count("*").alias("message_count"))
+
+
+def offsets_and_revenue(accepted: DataFrame, column: str = "total") -> DataFrame:
+    """Return one row: the revenue of a run and the offsets that it spans."""
+    offset = F.col("_kafka_offset")
+    return accepted.agg(revenue(column).alias("revenue"), F.min(offset).alias("first_offset"), F.max(offset).alias("last_offset"))
+
+
+def by_day(accepted: DataFrame, moment: str = "datetime") -> DataFrame:
+    """Count sales and sum revenue in windows of a day of the event's time."""
+    at = F.window(F.try_to_timestamp(F.col(moment)), "1 day")
+    daily = accepted.groupBy(at.alias("at")).agg(F.count("*").alias("sale_count"), revenue().alias("revenue"))
+    return daily.select(F.date_format("at.start", "yyyy-MM-dd").alias("day"), "sale_count", "revenue")

@@ -55,6 +55,16 @@ def first_messages(df: DataFrame, n: int) -> DataFrame:
     return first_rows(df, n, [PARTITION, OFFSET])
 
 
+def first_of_each(df: DataFrame, key: str, order: Sequence[str] = (OFFSET,)) -> DataFrame:
+    """Return the first row of each key: what a replayed topic holds without its repeats.
+
+    The rows are reduced map side, so a key that is repeated often costs a row for each task.
+    """
+    require_fields(df, [key, *order])
+    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_first")
+    return df.groupBy(F.col(key).alias("_of")).agg(first).select("_first.*")
+
+
 def keyed_order(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Lay rows out so that each key's rows follow one another in order.
 

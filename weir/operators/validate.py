@@ -104,10 +104,10 @@ def reference_errors(table: DataFrame, key: str, required_fields: Sequence[str],
 
 
 def require_clean(errors: DataFrame, shown: int = 20) -> None:
-    """Stop the run when reference tables have errors; at most ``shown`` of them are fetched."""
+    """Stop the run when reference tables have errors; says how many there are and shows up to ``shown``."""
     found = [f"{row['error']} ({row['record_key']})" for row in errors.limit(shown).collect()]
     if found:
-        raise DirtyReference("; ".join(found))
+        raise DirtyReference(f"{errors.count()} errors: " + "; ".join(found))
 
 
 def fields_of(rules: Iterable[Rule]) -> tuple[str, ...]:

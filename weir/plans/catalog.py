@@ -892,3 +892,40 @@ def stream_run_bounded(g: Given) -> DataFrame:
     for limit in (MAX_MESSAGES // 4, MAX_MESSAGES // 2, MAX_MESSAGES // 4):
         runs.run_bounded(g.sales, limit, f"{path}/positions", take)
     return _branch_counts(landing.accepted(), landing.rejected())
+
+
+# Further questions
+
+
+@query
+def ext_error_histogram(g: Given) -> DataFrame:
+    return aggregate.error_histogram(g.checked_sales())
+
+
+@query
+def ext_dedup_replay(g: Given) -> DataFrame:
+    """A topic that holds every message twice, the second time at later offsets."""
+    ends = g.sales.agg(F.max(OFFSET).alias("end"))
+    again = g.sales.join(F.broadcast(ends)).withColumn(OFFSET, F.col(OFFSET) + F.col("end") + 1).drop("end")  # one row
+    first = ordering.first_of_each(g.sales.unionByName(again), "order_id")
+    return first.select("order_id", "region_id", PARTITION, OFFSET)
+
+
+@query
+def ext_region_running_count(g: Given) -> DataFrame:
+    counted = running.running(g.accepted_sales(), {"running_count": running.Measure("count", F.lit(1))}, ["region_id"])
+    return counted.select("region_id", PARTITION, OFFSET, "running_count")
+
+
+@query
+def ext_run_summary(g: Given) -> DataFrame:
+    accepted, rejected = g.reported_sales()[0], validate.invalid_rows(g.checked_sales())
+    consumed = g.consume_sales(validate.valid_rows(g.checked_sales()).drop(validate.ERRORS, validate.IS_VALID))
+    sides = aggregate.row_count(accepted, "accepted_count").join(aggregate.row_count(rejected, "rejected_count"))
+    return sides.join(aggregate.offsets_and_revenue(validate.valid_rows(consumed)))  # one row each
+
+
+@query
+def ext_event_windows(g: Given) -> DataFrame:
+    sent = validate.valid_rows(g.checked_sales()).drop(validate.ERRORS, validate.IS_VALID)
+    return aggregate.by_day(validate.valid_rows(g.consume_sales(sent)))

@@ -6,6 +6,7 @@ windows and aggregates. Money is decimal until the last step and a double in the
 
 from __future__ import annotations
 
+# The fields of the two contracts and of the envelope.
 SALES_REQUIRED = (
     "order_id", "datetime", "region_id", "currency_code", "product_id",
     "unit_price", "quantity", "is_online", "customer_id", "payment_method",
@@ -490,4 +491,22 @@ ORACLE: dict[str, str] = {
     "stream_run_bounded": sales(
         f"{BRANCHES} FROM (SELECT * FROM con ORDER BY _kafka_partition, _kafka_offset LIMIT 1000) GROUP BY route"
     ),
+    # Further questions
+    "ext_error_histogram": sales(
+        "SELECT CASE WHEN e LIKE 'Missing%' THEN e ELSE split_part(e, ': ', 1) END AS error, COUNT(*) AS message_count "
+        "FROM (SELECT unnest(string_split(validation_errors, '; ')) AS e FROM chk WHERE validation_errors <> '') GROUP BY 1"
+    ),
+    "ext_dedup_replay": sales("SELECT order_id, region_id, _kafka_partition, _kafka_offset FROM msg"),
+    "ext_region_running_count": sales(
+        f"SELECT region_id, _kafka_partition, _kafka_offset, COUNT(*) {KEYED.format('region_id')} AS running_count FROM acc"
+    ),
+    "ext_run_summary": reported_sales(
+        "SELECT (SELECT COUNT(*) FROM acc) AS accepted_count, (SELECT COUNT(*) FROM chk WHERE validation_errors <> '') AS "
+        "rejected_count, CAST(SUM(total) AS DOUBLE) AS revenue, MIN(_kafka_offset) AS first_offset, MAX(_kafka_offset) AS "
+        "last_offset FROM acc"
+    ),
+    "ext_event_windows": reported_sales(
+        "SELECT strftime(date_trunc('day', TRY_CAST(datetime AS TIMESTAMP)), '%Y-%m-%d') AS day, COUNT(*) AS sale_count, "
+        "CAST(SUM(total) AS DOUBLE) AS revenue FROM acc GROUP BY 1"
+    ),
 }

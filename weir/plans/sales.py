@@ -20,8 +20,6 @@ REGION_FIELDS = (
     "region_id", "region_name", "country_code", "country_name", "currency_code", "tax_rate_pct", "timezone",
 )
 PRODUCT_FIELDS = ("product_id", "product_name", "category", "level", "price_usd", "instructor")
-CURRENCY_FIELDS = ("currency_code", "currency_name", "symbol", "exchange_rate_to_usd", "rate_date")
-DISCOUNT_CODE_FIELDS = ("discount_code", "discount_pct", "valid_from", "valid_to", "description")
 
 # The device type, the referral source and the new-customer flag are optional fields that are
 # checked all the same: an empty value is an invalid one.

@@ -15,9 +15,6 @@ RUN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HotSpot compiles no method above 8000 bytes; wide rule and money expressions reach that, and
-    # are then better run as several small methods than as one interpreted one.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
