@@ -154,10 +154,10 @@ def spelled(samples: np.ndarray) -> str:
     return samples.astype(">u2").tobytes().hex()
 
 
-def ordered_with_next(docs: DataFrame, buckets: int) -> DataFrame:
+def ordered_with_next(docs: DataFrame, buckets: int, partitions: int) -> DataFrame:
     """doc_id, text, bucket and guest, dealt by bucket and sorted by descending doc_id.
 
-    A bucket is a range of ids. The row after its last one, which is the first of the next bucket, stands behind
+    A bucket is a range of ids; there are several for each partition, so that partitions come out alike. The row after its last one, which is the first of the next bucket, stands behind
     it as a guest, so every task has each row's next one. The texts are shuffled once; guests are a row a bucket.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -188,7 +188,7 @@ def ordered_with_next(docs: DataFrame, buckets: int) -> DataFrame:
     )
     both = placed.withColumn("guest", F.lit(0)).select("doc_id", "text", "tie", "bucket", "guest").union(guests)
     return (
-        both.repartition(buckets, "bucket")
+        both.repartition(partitions, "bucket")
         .sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
         .drop("tie")
     )
@@ -202,7 +202,7 @@ def edited_text(text: str, following: str) -> str:
 
 def compare_with_next(docs: DataFrame, samples: int = SAMPLES, buckets: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of each document."""
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(samples)
@@ -225,4 +225,4 @@ def compare_with_next(docs: DataFrame, samples: int = SAMPLES, buckets: int | No
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return ordered_with_next(docs, buckets).mapInArrow(run, schema)
+    return ordered_with_next(docs, buckets or 4 * partitions, partitions).mapInArrow(run, schema)
