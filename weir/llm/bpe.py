@@ -1,8 +1,8 @@
 """BPE encoding and decoding by a trie of distinct words.
 
-The text is normalized and split into words; the distinct words of many documents go into a trie of
-symbols, and one depth-first walk gives each node its last token, that is, the token that ends the encoding of
-the prefix that the node stands for. That token is the only suffix token that forms a lawful pair with the
+The text is normalized and split into words; the distinct words of many documents are put in order, which is
+their trie of symbols in preorder, and one depth-first walk gives each node its last token, that is, the token that
+ends the encoding of the prefix that the node stands for. That token is the only suffix token that forms a lawful pair with the
 last token before it, so each prefix that words share is encoded once. A word's tokens are read by
 walking back from its node: last token, the node before that token, and so on.
 
@@ -81,16 +81,19 @@ class Vocabulary:
         self._edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
         self._lawful: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
-        self._suffixes: dict | None = None
+        self._endings: tuple | None = None
 
     def words(self, text: str) -> Iterator[str | int]:
         """The words of a text, or ids for the strings of added tokens."""
         at = 0
+        if not any(name in text for name in self.added):
+            yield from self._plain(text)
+            return
         for found in self.special.finditer(text):
             yield from self._plain(text[at : found.start()])
             yield self.added[found.group()]
             at = found.end()
-        yield from self._plain(text[at:] if at else text)
+        yield from self._plain(text[at:])
 
     def _plain(self, text: str) -> Iterator[str]:
         if not text.isascii():
@@ -103,6 +106,8 @@ class Vocabulary:
 
     def symbols(self, word: str) -> str:
         """A letter for each byte of a word."""
+        if word.isascii() and word.isprintable():
+            return word
         return word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
 
     def _edge(self, token: int, right: bool) -> list[tuple[int, int]]:
@@ -157,74 +162,85 @@ class Vocabulary:
             self._whole[token] = found
         return found
 
-    def suffixes(self) -> dict:
-        """A trie of all tokens that are whole, read from the end; ``None`` leads to a node's token."""
-        if self._suffixes is None:
-            self._suffixes = {}
-            for name, token in self.ids.items():
-                if self.whole(token):
-                    letters, node = name.removesuffix(END), self._suffixes
-                    node = node.setdefault(letters[-1] + END * (letters != name), {})
-                    for letter in letters[-2::-1]:
-                        node = node.setdefault(letter, {})
-                    node[None] = token
-        return self._suffixes
-
-    def last_token(self, path: list[str], tokens: list[int], lengths: list[int], symbol: str) -> tuple[int, int]:
-        """The token that ends the encoding of the letters ``path`` and ``symbol``, and its length.
-
-        ``tokens`` and ``lengths`` have the last tokens of the shorter prefixes, of no letters first.
+    def endings(self) -> tuple[list[dict[str, int]], list[int], list[tuple]]:
+        """An automaton over letters that knows which whole tokens end at each place.
+
+        For each state: the states that letters lead to, the state of the longest proper suffix, and the tokens that end
+        there with their lengths, the longest first.
         """
-        depth, node, known = len(path), self._suffixes.get(symbol), self._lawful
-        found, at = [], depth
-        while node is not None:
-            if None in node:
-                found.append((node[None], at))
-            at -= 1
-            if at < 0:
-                break
-            node = node.get(path[at])
-        while found:
-            token, before = found.pop()
-            if before == 0:
-                return token, depth + 1
-            fits = known.get(tokens[before] << 32 | token)
-            if fits or (fits is None and self.lawful(tokens[before], token)):
-                return token, depth + 1 - before
-        raise ValueError(f"no token ends {''.join(path)!r}")
+        if self._endings is None:
+            steps: list[dict[str, int]] = [{}]
+            ends: list[tuple] = [()]
+            for name, token in self.ids.items():
+                if not self.whole(token):
+                    continue
+                letters, state = name.removesuffix(END), 0
+                for letter in [*letters[:-1], letters[-1] + END * (letters != name)]:
+                    after = steps[state].get(letter)
+                    if after is None:
+                        after = steps[state][letter] = len(steps)
+                        steps.append({})
+                        ends.append(())
+                    state = after
+                ends[state] = ((token, len(letters)),)
+            shorter, queue = [0] * len(steps), list(steps[0].values())
+            for state in queue:  # shorter states come first
+                for letter, after in steps[state].items():
+                    back = shorter[state]
+                    while back and letter not in steps[back]:
+                        back = shorter[back]
+                    shorter[after] = steps[back].get(letter, 0)
+                    queue.append(after)
+                ends[state] += ends[shorter[state]]
+            self._endings = steps, shorter, ends
+        return self._endings
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """The token ids of distinct words, by a depth-first walk over their trie."""
-        root: dict = {}
-        for word in words:
-            node, letters = root, self.symbols(word)
-            for letter in letters[:-1]:
-                node = node.setdefault(letter, {})
-            # The last letter carries the word end, so it is another symbol than the letter within a word.
-            node[letters[-1] + END] = word
+        """The token ids of distinct words, by a depth-first walk over their trie.
+
+        Words in order are their trie in preorder: what a word shares with the one before it is the path to the node
+        where it branches off, whose last tokens are still there. The last letter of a word carries the word end, so it
+        is another symbol than that letter within a word and always a leaf.
+        """
+        (steps, shorter, ends), known = self.endings(), self._lawful
         out: dict[str, list[int]] = {}
-        path: list[str] = []
-        tokens, lengths = [-1], [0]
-        stack = [iter(root.items())]
-        self.suffixes()
-        while stack:
-            step = next(stack[-1], None)
-            if step is None:
-                stack.pop()
-                if stack:
-                    path.pop(), tokens.pop(), lengths.pop()
-                continue
-            symbol, below = step
-            token, length = self.last_token(path, tokens, lengths, symbol)
-            if isinstance(below, dict):
-                path.append(symbol), tokens.append(token), lengths.append(length)
-                stack.append(iter(below.items()))
-            else:
-                found, depth = [token], len(path) + 1 - length
-                while depth:
-                    found.append(tokens[depth])
-                    depth -= lengths[depth]
-                out[below] = found[::-1]
+        path = ""
+        tokens, lengths, states = [-1], [0], [0]  # of each prefix of the path, that of no letters first
+        for letters, word in sorted([(self.symbols(word), word) for word in words]):
+            leaf = len(letters) - 1
+            shared, most = 0, min(len(tokens) - 1, leaf)
+            while shared < most and letters[shared] == path[shared]:
+                shared += 1
+            del tokens[shared + 1 :], lengths[shared + 1 :], states[shared + 1 :]
+            for depth in range(shared, leaf + 1):
+                letter = letters[depth] if depth < leaf else letters[depth] + END
+                state = states[depth]
+                after = steps[state].get(letter)
+                if after is None:
+                    back = shorter[state]
+                    while back and letter not in steps[back]:
+                        back = shorter[back]
+                    after = steps[state][letter] = steps[back].get(letter, 0)
+                # The lawful one among the tokens that end here is the last token.
+                for token, length in ends[after]:
+                    if length > depth:
+                        break
+                    last = tokens[depth + 1 - length]
+                    fits = known.get(last << 32 | token)
+                    if fits or (fits is None and self.lawful(last, token)):
+                        break
+                else:
+                    raise ValueError(f"no token ends {letters[: depth + 1]!r}")
+                tokens.append(token)
+                lengths.append(length)
+                states.append(after)
+            found, depth = [], leaf + 1
+            while depth:
+                found.append(tokens[depth])
+                depth -= lengths[depth]
+            out[word] = found[::-1]
+            del tokens[leaf + 1 :], lengths[leaf + 1 :], states[leaf + 1 :]  # the leaf is no prefix of other words
+            path = letters
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
