@@ -31,7 +31,7 @@ long AS (
     UNPIVOT (SELECT lang, source, symbol_rate, dup_line_rate, repeat_rate, word_length FROM measured WHERE NOT base_failed)
     ON symbol_rate, dup_line_rate, repeat_rate, word_length INTO NAME measure VALUE v)),
 floored AS (SELECT lang, source, measure, CASE WHEN v < 64 THEN v ELSE (v >> s) << s END AS v FROM long),
-spread(measure, least_spread) AS (VALUES ('symbol_rate', 25), ('dup_line_rate', 10), ('repeat_rate', 25), ('word_length', 25)),
+spread(measure, least_spread) AS (VALUES ('symbol_rate', 25), ('dup_line_rate', 10), ('repeat_rate', 25), ('word_length', 50)),
 by_group AS (
   SELECT lang, source, measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM floored GROUP BY ALL),
 by_lang AS (SELECT lang, measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM floored GROUP BY ALL),

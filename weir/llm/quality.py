@@ -30,12 +30,13 @@ FENCE = 6
 BROADCAST_GROUPS = 50_000
 
 #: Measures, in thousandths or hundredths so that they are whole numbers, with the smallest
-#: spread taken for the interquartile range and whether the lower fence counts too.
+#: spread taken for the interquartile range and whether the lower fence counts too. The spreads leave room
+#: for short texts, whose rates vary by chance.
 MEASURES = {
     "symbol_rate": (25, False),
     "dup_line_rate": (10, False),
     "repeat_rate": (25, False),
-    "word_length": (25, True),
+    "word_length": (50, True),
 }
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
