@@ -45,7 +45,7 @@ def tricky_documents() -> list[dict]:
     rows += [dict(rows[20]), dict(rows[20]), dict(rows[0]), {**rows[30], "doc_id": None}, {**rows[31], "doc_id": None}]
     rows.append({"doc_id": rows[10]["doc_id"], "text": rows[12]["text"], "lang": "en", "source": "web", "n_chars": 1})
     for n, row in enumerate(rows):  # names that the operators use themselves
-        row |= {"size": n, "key": str(n), "hash": n, "fingerprint": "f", "n": n, "bucket": 1, "target": 0.5, "kept": False, "doc": "d"}
+        row |= {"size": n, "key": str(n), "hash": n, "fingerprint": "f", "n": n, "bucket": 1, "target": 0.5, "kept": False, "doc": "d", "d1": 5, "spans": "s", "carried": "c"}
     return rows
 
 
@@ -53,6 +53,7 @@ DOCUMENT_SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
     + [("size", pa.int64()), ("key", pa.string()), ("hash", pa.int64()), ("fingerprint", pa.string()), ("n", pa.int64())]
     + [("bucket", pa.int32()), ("target", pa.float64()), ("kept", pa.bool_()), ("doc", pa.string())]
+    + [("d1", pa.int64()), ("spans", pa.string()), ("carried", pa.string())]
 )
 TURN_SCHEMA = pa.schema(
     [("conv_id", pa.int64()), ("turn", pa.int32()), ("role", pa.string()), ("text", pa.string()), ("start", pa.int64()), ("name", pa.string())]

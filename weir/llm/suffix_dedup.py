@@ -408,9 +408,10 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_spans(docs: DataFrame, carried: list[str]) -> DataFrame:
-    rows = docs.select(*document_keys(), *[F.col(f"`{c}`") for c in carried])
-    return rows.join(repeated_spans(docs), ["d1", "d2"], "left").drop("d1", "d2")
+def _with_spans(docs: DataFrame, carried: Column) -> DataFrame:
+    """carried, text and spans of each document."""
+    rows = docs.select(*document_keys(), carried.alias("carried"), "text")
+    return rows.join(repeated_spans(docs), ["d1", "d2"], "left").select("carried", "text", "spans")
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
@@ -426,15 +427,17 @@ def removal_digests(docs: DataFrame) -> DataFrame:
                 out.append((len(data), len(data) - len(kept), len(joined), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             arrays = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *arrays], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("carried").cast(pa.int64()), *arrays], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return _with_spans(docs.select("doc_id", "text"), ["doc_id", "text"]).mapInArrow(run, schema)
+    return _with_spans(docs, F.col("doc_id")).mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated strings removed from ``text``; all columns and rows stay."""
-    names, schema = docs.columns, docs.schema
+    others = [c for c in docs.columns if c != "text"]
+    spanned = _with_spans(docs, F.struct(*[F.col(f"`{c}`") for c in others]))
+    schema = T.StructType(spanned.schema.fields[:2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,7 +445,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
                 joined = _merged(spans.as_py())
                 texts.append(_kept(text.as_py().encode(), joined).decode("utf-8", "ignore") if joined else text.as_py())
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(texts, pa.string())], names=schema.names)
 
-    return _with_spans(docs, names).mapInArrow(run, schema)
+    kept = spanned.mapInArrow(run, schema)
+    return kept.select(*[F.col("text") if c == "text" else F.col("carried")[c].alias(c) for c in docs.columns])
