@@ -165,8 +165,9 @@ def thresholds(measured: DataFrame) -> DataFrame:
             ],
         )
 
-    groups = measured.groupBy("lang", "source").agg(F.lit(1).alias("_one"))
-    group, lang, every = fences("group", ["lang", "source"]), fences("lang", ["lang"]), fences("all", [])
+    groups = measured.select("lang", "source").distinct()
+    group, lang = fences("group", ["lang", "source"]), fences("lang", ["lang"])
+    overall = fences("all", []).first()  # one row of a few numbers
     joined = (
         groups.join(
             group,
@@ -174,12 +175,11 @@ def thresholds(measured: DataFrame) -> DataFrame:
             "left",
         )
         .join(lang, groups["lang"].eqNullSafe(lang["lang_lang"]), "left")
-        .join(F.broadcast(every.withColumn("_one", F.lit(1))), "_one", "left")  # one row
     )
     chosen = lambda what: (
         F.when(F.col("group_size") >= SMALL_GROUP, F.col(f"group_{what}"))
         .when(F.col("lang_size") >= SMALL_GROUP, F.col(f"lang_{what}"))
-        .otherwise(F.col(f"all_{what}"))
+        .otherwise(F.lit(overall[f"all_{what}"]).cast("long"))
     )
     return joined.select(
         F.col("lang").alias("of_lang"),

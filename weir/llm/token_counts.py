@@ -67,14 +67,15 @@ def context_table(counts: DataFrame, block: int = LENGTH_BLOCK) -> DataFrame:
     longest_first = [F.col("n_tokens").desc()]
     summed = running_before(blocked, ["all"], "block", longest_first, "n_docs", "docs_over")
     summed = running_before(summed, ["all"], "block", longest_first, "tokens", "tokens_over")
-    totals = blocked.groupBy("all").agg(F.sum("n_docs").alias("docs"), F.sum("tokens").alias("total"))
-    return summed.join(F.broadcast(totals), "all").select(  # one row
+    totals = blocked.agg(F.sum("n_docs"), F.sum("tokens")).first()
+    docs, total = (F.lit(x or 0).cast("long") for x in totals)
+    return summed.select(
         "n_tokens",
         "n_docs",
         "docs_over",
         "tokens_over",
-        (F.col("docs") - F.col("docs_over")).alias("docs_within"),
-        (F.col("total") - F.col("tokens_over")).alias("tokens_within"),
-        (F.col("total") - F.col("tokens_over") + F.col("n_tokens") * F.col("docs_over")).alias("cut_total"),
-        ((F.col("docs") - F.col("docs_over")) / F.col("docs")).alias("quantile"),
+        (docs - F.col("docs_over")).alias("docs_within"),
+        (total - F.col("tokens_over")).alias("tokens_within"),
+        (total - F.col("tokens_over") + F.col("n_tokens") * F.col("docs_over")).alias("cut_total"),
+        ((docs - F.col("docs_over")) / docs).alias("quantile"),
     )
