@@ -72,10 +72,15 @@ def error_histogram(checked: DataFrame) -> DataFrame:
     return found.groupBy(kind.alias("error")).agg(F.count("*").alias("message_count"))
 
 
-def offsets_and_revenue(accepted: DataFrame, column: str = "total") -> DataFrame:
-    """Return one row: the revenue of a run and the offsets that it spans."""
+def run_summary(accepted: DataFrame, column: str = "total") -> DataFrame:
+    """Return one row: the messages and the revenue of a run, and the offsets that it spans."""
     offset = F.col("_kafka_offset")
-    return accepted.agg(revenue(column).alias("revenue"), F.min(offset).alias("first_offset"), F.max(offset).alias("last_offset"))
+    return accepted.agg(
+        F.count("*").alias("accepted_count"),
+        revenue(column).alias("revenue"),
+        F.min(offset).alias("first_offset"),
+        F.max(offset).alias("last_offset"),
+    )
 
 
 def by_day(accepted: DataFrame, moment: str = "datetime") -> DataFrame:

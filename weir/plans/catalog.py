@@ -905,8 +905,8 @@ def ext_error_histogram(g: Given) -> DataFrame:
 @query
 def ext_dedup_replay(g: Given) -> DataFrame:
     """A topic that holds every message twice, the second time at later offsets."""
-    ends = g.sales.agg(F.max(OFFSET).alias("end"))
-    again = g.sales.join(F.broadcast(ends)).withColumn(OFFSET, F.col(OFFSET) + F.col("end") + 1).drop("end")  # one row
+    end = g.sales.agg(F.max(OFFSET)).first()[0] or 0
+    again = g.sales.withColumn(OFFSET, F.col(OFFSET) + F.lit(end + 1))
     first = ordering.first_of_each(g.sales.unionByName(again), "order_id")
     return first.select("order_id", "region_id", PARTITION, OFFSET)
 
@@ -919,10 +919,10 @@ def ext_region_running_count(g: Given) -> DataFrame:
 
 @query
 def ext_run_summary(g: Given) -> DataFrame:
-    accepted, rejected = g.reported_sales()[0], validate.invalid_rows(g.checked_sales())
-    consumed = g.consume_sales(validate.valid_rows(g.checked_sales()).drop(validate.ERRORS, validate.IS_VALID))
-    sides = aggregate.row_count(accepted, "accepted_count").join(aggregate.row_count(rejected, "rejected_count"))
-    return sides.join(aggregate.offsets_and_revenue(validate.valid_rows(consumed)))  # one row each
+    checked = g.checked_sales()
+    consumed = g.consume_sales(validate.valid_rows(checked).drop(validate.ERRORS, validate.IS_VALID))
+    rejected = aggregate.row_count(validate.invalid_rows(checked), "rejected_count").first()[0]
+    return aggregate.run_summary(validate.valid_rows(consumed)).withColumn("rejected_count", F.lit(rejected).cast("long"))
 
 
 @query
