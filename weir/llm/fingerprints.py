@@ -26,12 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weir.llm.common import small_batches
+
 SAMPLES = 128
 #: Terms whose scores a task remembers; each takes half a KB.
-REMEMBERED = 240_000
-#: Terms of one text that are looked at together, and characters of texts that are.
+REMEMBERED = 160_000
+#: Terms of one text that are looked at together.
 TERMS_AT_ONCE = 8_000
-CHARACTERS_AT_ONCE = 200_000
+#: Bytes of text whose results are in memory at a time.
+BATCH_BYTES = 4 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -207,7 +210,7 @@ def compare_with_next(docs: DataFrame, samples: int = SAMPLES, buckets: int | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(samples)
         before = None  # the row before, with its fingerprint
-        for batch in batches:
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             out = []
             for doc_id, text, bucket, guest in zip(*(batch.column(c) for c in ("doc_id", "text", "bucket", "guest")), strict=True):
                 row = doc_id.as_py(), text.as_py(), bucket.as_py(), guest.as_py()
