@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from weir.llm.common import small_batches
 
 SAMPLES = 128
 #: Terms whose scores a task remembers; each takes half a KB.
-REMEMBERED = 160_000
+REMEMBERED = 180_000
 #: Terms of one text that are looked at together.
 TERMS_AT_ONCE = 8_000
 #: Bytes of text whose results are in memory at a time.
@@ -75,7 +76,7 @@ class Memory:
 
     def rows(self, terms: list[bytes], make: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> np.ndarray:
         """The rows of terms; ``make`` gives the numbers of those that aren't there from their hashes."""
-        found = np.array([self.slots.get(t, -1) for t in terms], np.int64)
+        found = np.fromiter(map(self.slots.get, terms, repeat(-1)), np.int64, len(terms))
         missing = np.flatnonzero(found < 0)
         if len(self.slots) + len(missing) > self.room:
             self._forget()
@@ -83,7 +84,7 @@ class Memory:
         if len(missing):
             new, at = [terms[i] for i in missing.tolist()], len(self.slots)
             to = slice(at, at + len(new))
-            self.hashes[to] = [xxhash.xxh64_intdigest(t) for t in new]
+            self.hashes[to] = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
             self.slots.update(zip(new, range(at, at + len(new)), strict=True))
             for table, numbers in zip(self.tables, make(self.hashes[to]), strict=True):
                 table[to] = numbers
