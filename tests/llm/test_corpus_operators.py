@@ -157,6 +157,37 @@ def test_removal_keeps_columns_and_rows(spark, tricky):
     assert out.schema.names == docs.schema.names and out.count() == docs.count()
 
 
+def words_of(rng: random.Random, n: int, letters: int) -> str:
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(letters)) for _ in range(n))
+
+
+def test_passages_of_over_50_words_go(spark):
+    """Under 400 bytes they go as well; passages of 40 words with as many bytes and other text stay."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    passage, short, long = words_of(rng, 51, 4), words_of(rng, 40, 6), words_of(rng, 40, 10)
+    rows, expected = [], {}
+    for i in range(12):
+        head, tail = words_of(rng, 30 + i, 5), words_of(rng, 60, 5)
+        middle = [passage, short, long][i % 3]
+        rows.append((i, f"{head} {chr(113 + i // 3)} {middle} {chr(117 + i // 3)} {tail}"))
+        expected[i] = rows[-1][1] if middle is short else rows[-1][1].replace(f" {middle} ", "")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(passage) < 400 and len(short) > corpus_pipeline.PASSAGE_BYTES and len(long) >= 400
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()} == expected
+
+
+def test_shorter_strings(spark, tricky):
+    """The removal is exact for other lengths too."""
+    docs = spark.read.parquet(f"{tricky}/documents.parquet")
+    data = [(d["text"] or "").encode() for d in tricky_documents()]
+    for length in (80, 224):
+        kept = [np.frombuffer(t, np.uint8)[~gone].tobytes().decode("utf-8", "ignore") for t, gone in zip(data, plain_removal(data, length), strict=True)]
+        found = [r["text"] or "" for r in suffix_dedup.remove_repeats(docs, length).select("text").collect()]
+        assert sorted(found) == sorted(kept)
+
+
 # --- shards -----------------------------------------------------------------------------------------------
 
 

@@ -1,10 +1,10 @@
 """Removal of long repeated strings by a collection's Burrows-Wheeler transform, built column by column.
 
-A byte goes if it is covered by a string of ``LENGTH`` bytes that starts anywhere else too. Windows that can
+A byte goes if it is covered by a string of ``length`` bytes, by default ``LENGTH``, that starts anywhere else too. Windows that can
 be equal are brought together, and the suffixes of the texts around them are sorted by column-wise construction:
 each round puts one more symbol of every text in front, finds where the longer suffixes go from
 where the shorter ones stood, and updates the transform and the common prefixes of neighbours. Windows whose
-suffix shares ``LENGTH`` bytes with a neighbour are repeated.
+suffix shares ``length`` bytes with a neighbour are repeated.
 
 A round costs a pass over all that was inserted before, so the construction needs many short texts rather than
 few long ones. Hence, before it:
@@ -21,7 +21,7 @@ few long ones. Hence, before it:
 
 Stretches and blocks are compared by two hashes of 48 and 64 bits or of 64 bits each; the rest is exact. Nothing is dropped or capped.
 
-Defined cases: a NULL text is empty; texts shorter than ``LENGTH`` lose nothing; texts that occur twice lose
+Defined cases: a NULL text is empty; texts shorter than ``length`` lose nothing; texts that occur twice lose
 everything if they are as long; repeated rows count as occurrences of their own; an empty table gives an
 empty result; columns other than doc_id and text are ignored, or passed on by ``remove_repeats``. A text that
 was cut in the midst of a character keeps only whole characters; one that loses all its bytes becomes empty.
@@ -75,17 +75,17 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(since[:count], upto[width - 1 : width - 1 + count])
 
 
-def stretches(data: bytes) -> Iterator[tuple[int, int, int, bool]]:
+def stretches(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, bool]]:
     """(first window, windows, key, whether the key's place moves) of runs of windows with one key.
 
     A window's place is the first at which its key is found. While it stays, no two windows can be equal, since
     equal windows have it at the same distance.
     """
-    windows = len(data) - LENGTH + 1
+    windows = len(data) - length + 1
     for at in range(0, windows, WINDOWS_AT_ONCE):
-        part = np.frombuffer(data, np.uint8, min(WINDOWS_AT_ONCE, windows - at) + LENGTH - 1, at)
+        part = np.frombuffer(data, np.uint8, min(WINDOWS_AT_ONCE, windows - at) + length - 1, at)
         hashes = gram_hashes(part)
-        least = window_minima(hashes << PLACE_BITS | np.arange(len(hashes), dtype=np.uint64), LENGTH - GRAM + 1)
+        least = window_minima(hashes << PLACE_BITS | np.arange(len(hashes), dtype=np.uint64), length - GRAM + 1)
         keys = least >> PLACE_BITS
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         counts = np.diff(np.append(first, len(keys)))
@@ -98,13 +98,13 @@ def _signed(data: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def blocks(data: bytes, key: int, size: int) -> dict[tuple[int, int], list]:
+def blocks(data: bytes, key: int, size: int, length: int = LENGTH) -> dict[tuple[int, int], list]:
     """Blocks of at most ``size`` windows of a text all of whose windows have ``key``.
 
     For each (hash of the bytes that the block's windows share, hash of its own bytes): windows, bytes before the shared
     ones and first windows.
     """
-    windows = len(data) - LENGTH + 1
+    windows = len(data) - length + 1
     places = np.flatnonzero(gram_hashes(np.frombuffer(data, np.uint8)) == key)
     starts = np.arange(windows)
     place = places[np.searchsorted(places, starts)]  # the first place of the key in each window
@@ -114,8 +114,8 @@ def blocks(data: bytes, key: int, size: int) -> dict[tuple[int, int], list]:
     rows = zip(cut.tolist(), np.append(cut[1:], windows).tolist(), place[cut].tolist(), number[cut].tolist(), strict=True)
     for first, after, at, n in rows:
         begin = at - n * size
-        shared = data[begin : begin + LENGTH - size + 1]
-        names = _signed(shared + n.to_bytes(2, "little") + key.to_bytes(8, "little")), _signed(data[first : after - 1 + LENGTH])
+        shared = data[begin : begin + length - size + 1]
+        names = _signed(shared + n.to_bytes(2, "little") + key.to_bytes(8, "little")), _signed(data[first : after - 1 + length])
         out.setdefault(names, [after - first, begin - first]).append(first)
     return out
 
@@ -189,7 +189,7 @@ def _range_minima(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np
     return out
 
 
-def repeated_windows(texts: list[bytes], before: list[int], shared: int) -> list[np.ndarray]:
+def repeated_windows(texts: list[bytes], before: list[int], shared: int, length: int = LENGTH) -> list[np.ndarray]:
     """For each text of a collection the first windows that also start anywhere else in it, as a mask.
 
     All windows of a text contain the ``shared`` bytes that stand behind its first ``before`` ones. Such bytes are one
@@ -203,12 +203,12 @@ def repeated_windows(texts: list[bytes], before: list[int], shared: int) -> list
     weights = np.ones(256 + len(names), np.int16)
     weights[256:] = shared
     rest, common = construct(spelled, weights)
-    long = common >= LENGTH
+    long = common >= length
     twice = long | np.append(long[1:], False)
     count = len(texts)
     back = np.full(len(rest), -1)  # the place of the suffix that is one symbol longer
     back[rest[count:]] = np.arange(count, len(rest))
-    masks = [np.zeros(len(t) - LENGTH + 1, bool) for t in texts]
+    masks = [np.zeros(len(t) - length + 1, bool) for t in texts]
     lengths = np.array([len(t) for t in spelled])
     place = np.arange(count)
     for j in range(1, int(lengths.max(initial=0)) + 1):
@@ -250,22 +250,22 @@ def document_keys() -> list[Column]:
     ]
 
 
-def _find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _find_stretches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: dict[str, list] = {name: [] for name in _STRETCHES.names}
         for d1, d2, text in zip(*(batch.column(c) for c in ("d1", "d2", "text")), strict=True):
             data = (text.as_py() or "").encode()
-            if len(data) < LENGTH:
+            if len(data) < length:
                 continue
             name = d1.as_py(), d2.as_py()
-            for first, windows, key, moves in stretches(data):
-                row = (*name, key, _signed(data[first : first + windows - 1 + LENGTH]), first, windows, moves)
+            for first, windows, key, moves in stretches(data, length):
+                row = (*name, key, _signed(data[first : first + windows - 1 + length]), first, windows, moves)
                 for column, value in zip(out.values(), row, strict=True):
                     column.append(value)
         yield _table(out, _STRETCHES)
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
             data = (text.as_py() or "").encode()
@@ -276,13 +276,15 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "b": [w["own"] for w in rows],
                     "key": [w["key"] for w in rows],
                     "n": [w["n"] for w in rows],
-                    "data": [data[w["first"] : w["first"] + w["windows"] - 1 + LENGTH] for w in rows],
+                    "data": [data[w["first"] : w["first"] + w["windows"] - 1 + length] for w in rows],
                 },
                 _ITEMS,
             )
 
 
-def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int = COLLECTION, largest: int = LARGEST_GROUP) -> DataFrame:
+def settle(
+    items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int = COLLECTION, largest: int = LARGEST_GROUP, length: int = LENGTH
+) -> DataFrame:
     """The runs of repeated windows of each item: a, b, first, last.
 
     An item is a text of bytes named by (a, b), all of whose windows have ``key``, that occurs ``n`` times. No two
@@ -294,7 +296,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
         for batch in batches:
             out: dict[str, list] = {name: [] for name in _BLOCKS.names}
             for a, b, key, n, data in zip(*(batch.column(c).to_pylist() for c in _ITEMS.names), strict=True):
-                for (c, e), (windows, before, *firsts) in blocks(data, key, size).items():
+                for (c, e), (windows, before, *firsts) in blocks(data, key, size, length).items():
                     row = c, e, a, b, key, n * len(firsts), windows, before, firsts
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
@@ -303,7 +305,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
     def solve(table: pa.Table) -> pa.Table:
         a, b, n, before, data = (table.column(c).to_pylist() for c in ("a", "b", "n", "before", "data"))
         out: dict[str, list] = {name: [] for name in _FOUND.names}
-        for *name, times, mask in zip(a, b, n, repeated_windows(data, before, LENGTH - size + 1), strict=True):
+        for *name, times, mask in zip(a, b, n, repeated_windows(data, before, length - size + 1, length), strict=True):
             for first, last in _runs(mask) if times == 1 else ():  # of the others all windows are repeated
                 for column, value in zip(out.values(), (*name, first, last), strict=True):
                     column.append(value)
@@ -320,7 +322,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
     equal = shared.where("not contested").withColumn("at", F.explode("firsts"))
     found = [
         run(equal, F.col("at"), F.col("at") + F.col("windows") - 1),
-        run(items.where("n > 1"), F.lit(0), F.octet_length("data") - LENGTH),
+        run(items.where("n > 1"), F.lit(0), F.octet_length("data") - length),
     ]
     contested = shared.where("contested")
     chosen = (
@@ -335,7 +337,7 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
             "key",
             "n",
             "before",
-            F.substring("data", F.col("at") + 1, F.col("windows") + LENGTH - 1).alias("data"),
+            F.substring("data", F.col("at") + 1, F.col("windows") + length - 1).alias("data"),
         ),
         "repeats-texts",
     )
@@ -346,9 +348,9 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
         number = max(1, -(-total // collection))
         small = texts.join(large, "a", "left_anti").withColumn("collection", F.pmod("a", F.lit(number)))
         solved = small.groupBy("collection").applyInArrow(solve, _FOUND)
-        solved = solved.union(run(texts.where("n > 1"), F.lit(0), F.octet_length("data") - LENGTH))
+        solved = solved.union(run(texts.where("n > 1"), F.lit(0), F.octet_length("data") - length))
         if not large.isEmpty():
-            solved = solved.union(settle(texts.join(large, "a", "left_semi").select(*_ITEMS.names), sizes[1:], collection, largest))
+            solved = solved.union(settle(texts.join(large, "a", "left_semi").select(*_ITEMS.names), sizes[1:], collection, largest, length))
         solved = solved.select(F.col("a").alias("c"), F.col("b").alias("e"), F.col("first").alias("low"), F.col("last").alias("high"))
         back = contested.join(solved, ["c", "e"]).withColumn("at", F.explode("firsts"))
         found.append(run(back, F.col("at") + F.col("low"), F.col("at") + F.col("high")))
@@ -358,10 +360,12 @@ def settle(items: DataFrame, sizes: tuple[int, ...] = BLOCKS, collection: int =
     return keep(every_run, "repeats-runs")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """d1, d2 and spans: the places [start, end) that repeated strings cover in each document that has any."""
+    if length < GRAM + BLOCKS[0]:
+        raise ValueError(f"a repeated string has {GRAM + BLOCKS[0]} bytes at least, for its hashes and blocks")
     keyed = docs.select(*document_keys(), F.coalesce("text", F.lit("")).alias("text"))
-    every = keep(keyed.mapInArrow(_find_stretches, _STRETCHES), "repeats-stretches")
+    every = keep(keyed.mapInArrow(lambda batches: _find_stretches(batches, length), _STRETCHES), "repeats-stretches")
     kinds = every.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
         ((F.min("own") < F.max("own")) | F.max("moves")).alias("contested"),
@@ -380,13 +384,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     once = keyed
     if not keyed.groupBy("d1", "d2").count().where("count > 1").isEmpty():
         once = keyed.dropDuplicates(["d1", "d2"])
-    items = keep(once.join(chosen, ["d1", "d2"]).select("text", "wanted").mapInArrow(_cut_out, _ITEMS), "repeats-items")
-    runs = settle(items).select(F.col("a").alias("key"), F.col("b").alias("own"), F.col("first").alias("low"), "last")
+    wanted = once.join(chosen, ["d1", "d2"]).select("text", "wanted")
+    items = keep(wanted.mapInArrow(lambda batches: _cut_out(batches, length), _ITEMS), "repeats-items")
+    runs = settle(items, length=length).select(F.col("a").alias("key"), F.col("b").alias("own"), F.col("first").alias("low"), "last")
     equal = shared.where("not contested").select(
-        "d1", "d2", F.col("first").alias("start"), (F.col("first") + F.col("windows") - 1 + LENGTH).alias("end")
+        "d1", "d2", F.col("first").alias("start"), (F.col("first") + F.col("windows") - 1 + length).alias("end")
     )
     inside = contested.join(runs, ["key", "own"]).select(
-        "d1", "d2", (F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("last") + LENGTH).alias("end")
+        "d1", "d2", (F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("last") + length).alias("end")
     )
     return equal.union(inside).groupBy("d1", "d2").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
@@ -402,16 +407,34 @@ def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _whole_words(data: bytes, start: int, end: int) -> int:
+    """The words of data[start:end] that no end of it cuts."""
+    count = len(data[start:end].split())
+    cut = [data[at - 1 : at + 1] for at in (start, end) if 0 < at < len(data)]
+    return count - sum(not pair[:1].isspace() and not pair[1:].isspace() for pair in cut)
+
+
+def _long_runs(data: bytes, spans: list[dict], length: int, least_words: int) -> list[dict]:
+    """The runs of repeated windows that have ``least_words`` whole words or ``LENGTH`` bytes."""
+    runs: list[dict] = []
+    for s in spans:
+        if runs and s["start"] <= runs[-1]["end"] - length + 1:  # its first window is the next one
+            runs[-1]["end"] = max(runs[-1]["end"], s["end"])
+        else:
+            runs.append(dict(s))
+    return [s for s in runs if s["end"] - s["start"] >= LENGTH or _whole_words(data, s["start"], s["end"]) >= least_words]
+
+
 def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     """What is left of the bytes without the spans."""
     edges = [0, *[x for s in spans for x in s], len(data)]
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_spans(docs: DataFrame, carried: Column) -> DataFrame:
+def _with_spans(docs: DataFrame, carried: Column, length: int = LENGTH) -> DataFrame:
     """carried, text and spans of each document."""
     rows = docs.select(*document_keys(), carried.alias("carried"), "text")
-    return rows.join(repeated_spans(docs), ["d1", "d2"], "left").select("carried", "text", "spans")
+    return rows.join(repeated_spans(docs, length), ["d1", "d2"], "left").select("carried", "text", "spans")
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
@@ -433,18 +456,22 @@ def removal_digests(docs: DataFrame) -> DataFrame:
     return _with_spans(docs, F.col("doc_id")).mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with repeated strings removed from ``text``; all columns and rows stay."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, least_words: int = 0) -> DataFrame:
+    """The documents with repeated strings removed from ``text``; all columns and rows stay.
+
+    With ``least_words`` a run of repeated windows goes only if it has so many whole words, or ``LENGTH`` bytes.
+    """
     others = [c for c in docs.columns if c != "text"]
-    spanned = _with_spans(docs, F.struct(*[F.col(f"`{c}`") for c in others]))
+    spanned = _with_spans(docs, F.struct(*[F.col(f"`{c}`") for c in others]), length)
     schema = T.StructType(spanned.schema.fields[:2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-                joined = _merged(spans.as_py())
-                texts.append(_kept(text.as_py().encode(), joined).decode("utf-8", "ignore") if joined else text.as_py())
+                data, found = (text.as_py() or "").encode(), spans.as_py()
+                joined = _merged(_long_runs(data, found, length, least_words) if found and least_words else found)
+                texts.append(_kept(data, joined).decode("utf-8", "ignore") if joined else text.as_py())
             yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(texts, pa.string())], names=schema.names)
 
     kept = spanned.mapInArrow(run, schema)
