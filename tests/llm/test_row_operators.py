@@ -112,6 +112,23 @@ def test_quality_small_and_large_groups(query, in_sql):
     assert ordered(query("op9_quality_rules", SF)) == ordered(in_sql("op9_quality_rules", SF))
 
 
+@pytest.mark.parametrize("share", [10, 30, 45, 60])
+def test_a_source_with_much_junk_loses_it(spark, share):
+    """Other sources are clean or symbol-rich throughout; those stay whole."""
+    import corpus_pipeline
+
+    rng = random.Random(share)
+    clean = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(60))
+    junk = lambda: " ".join(rng.choice(["#$%&", "***|", "<>#", "word"]) + rng.choice("xyz") * 3 for _ in range(60))
+    code = lambda: clean().replace("a", "#", rng.randrange(10, 20))
+    rows = [(i, junk() if i < 2 * share else clean(), "en", "hot") for i in range(200)]
+    rows += [(200 + i, clean(), "en", "web") for i in range(200)]
+    rows += [(400 + i, code(), "en", "code") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_quality(spark, docs, "").select("doc_id").collect()}
+    assert kept == set(range(2 * share, 500))
+
+
 def test_sketch_buckets(spark):
     from pyspark.sql import functions as F
 
