@@ -27,10 +27,21 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: a lost executor costs at most a read of that table, and a
     value such as a row number stays what it was.
     """
+    return keep_at(frame, name)[0]
+
+
+def keep_at(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """What ``keep`` does; returns the written table and its folder, for a table that is discarded later."""
     spark = frame.sparkSession
     path = workspace(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def words(text: Column) -> Column:

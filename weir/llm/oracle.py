@@ -80,4 +80,94 @@ SELECT conv_id, perspective, turn, position,
 FROM placed
 """
 
-ORACLE: dict[str, str] = {"op2_chat_formatting": CHAT, "op9_quality_rules": QUALITY}
+MERKLE = r"""
+WITH RECURSIVE spelled AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS tree,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+         coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS more,
+         coalesce(strlen(text) || ':' || text, '-') AS t,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+           lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+  FROM documents),
+hashed AS (
+  SELECT r, doc_id, tree, sha256(head || n || t) AS leaf, CASE WHEN crc % 7 = 0 THEN sha256(head || more || t) END AS changed FROM spelled),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM hashed),
+nodes(tree, level, i, h) AS (
+  SELECT tree, 0, i, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes) WHERE n > 1 GROUP BY tree, level, i // 2),
+subroots AS (
+  SELECT tree, level, h, row_number() OVER (ORDER BY tree) - 1 AS i
+  FROM (SELECT * FROM nodes QUALIFY level = max(level) OVER (PARTITION BY tree))),
+tops(level, i, h) AS (
+  SELECT 0, i, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, i // 2),
+root AS (SELECT level, h FROM tops QUALIFY level = max(level) OVER ()),
+paths(r, tree, level, i, h, beside) AS (
+  SELECT r, tree, 0, i, coalesce(changed, leaf), '' FROM leaves
+  UNION ALL
+  SELECT p.r, p.tree, p.level + 1, p.i // 2,
+         sha256(CASE WHEN s.h IS NULL THEN p.h WHEN p.i % 2 = 1 THEN s.h || p.h ELSE p.h || s.h END), p.beside || coalesce(s.h, '')
+  FROM paths p JOIN subroots d ON p.tree = d.tree
+  LEFT JOIN nodes s ON s.tree = p.tree AND s.level = p.level AND s.i = xor(p.i, 1)
+  WHERE p.level < d.level),
+climbs(r, level, i, h, beside) AS (
+  SELECT p.r, 0, d.i, p.h, p.beside FROM paths p JOIN subroots d ON p.tree = d.tree AND p.level = d.level
+  UNION ALL
+  SELECT c.r, c.level + 1, c.i // 2,
+         sha256(CASE WHEN s.h IS NULL THEN c.h WHEN c.i % 2 = 1 THEN s.h || c.h ELSE c.h || s.h END), c.beside || coalesce(s.h, '')
+  FROM climbs c JOIN root ON true LEFT JOIN tops s ON s.level = c.level AND s.i = xor(c.i, 1)
+  WHERE c.level < root.level)
+SELECT l.doc_id, l.leaf, d.h AS subroot, root.h AS root, sha256(c.beside) AS proof_sha256, c.h AS folded_root, c.h = root.h AS verified
+FROM leaves l JOIN subroots d ON l.tree = d.tree JOIN root ON true JOIN climbs c ON c.r = l.r AND c.level = root.level
+"""
+
+
+def _clusters(rounds: int = 3) -> str:
+    """Every round spelled out: the nearest centroid of each vector, then the floor of the means."""
+
+    def nearest(round_: int) -> str:
+        return f"""near{round_} AS (
+  SELECT r, vec_id, v, min(struct_pack(d := d, k := k)) AS best FROM (
+    SELECT r, vec_id, kept.v, k, list_sum(list_transform(list_zip(kept.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM kept JOIN c{round_} c ON true)
+  GROUP BY r, vec_id, v)"""
+
+    def means(round_: int) -> str:
+        return f"""part{round_} AS (SELECT best.k AS k, unnest(v) AS x, unnest(range(64)) AS at FROM near{round_ - 1}),
+mean{round_} AS (
+  SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY at) AS v
+  FROM (SELECT k, at, sum(x)::HUGEINT AS s, count(*) AS n FROM part{round_} GROUP BY k, at) GROUP BY k),
+c{round_} AS (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{round_ - 1} c LEFT JOIN mean{round_} m ON m.k = c.k)"""
+
+    steps = [nearest(0)]
+    for round_ in range(1, rounds + 1):
+        steps += [means(round_), nearest(round_)]
+    return (
+        """WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v, r) - 1 AS k, v FROM kept QUALIFY k < 16),
+"""
+        + ",\n".join(steps)
+        + f"""
+SELECT vec_id, best.k::INTEGER AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.k))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN c{rounds} c ON c.k = best.k
+"""
+    )
+
+
+ORACLE: dict[str, str] = {
+    "op2_chat_formatting": CHAT,
+    "op9_quality_rules": QUALITY,
+    "op12_merkle_manifest": MERKLE,
+    "op13_centroid_clustering": _clusters(),
+}

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, chat, fingerprints, mixing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity
+from weir.llm import (
+    bpe,
+    centroids,
+    chat,
+    fingerprints,
+    merkle,
+    mixing,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from weir.llm.common import keep, read_table
 
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
@@ -17,6 +31,7 @@ SHARDS = 16
 #: Tokenizer files; small, and sent to the executors with the code that uses them.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +95,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit_sample(docs, labels))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's piece ids, begin and end included, and of the text they decode to."""
+    return pieces.encode_digests(read_table(spark, sf_dir, "documents"), pieces.read_model(PIECE_BPE))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's digest, roots and proof, and whether its tampered self still proves the root."""
+    return merkle.manifest(read_table(spark, sf_dir, "documents")).verify()
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster and distance, the inertias and the digest of its centroid."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -100,6 +130,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_simhash_near_dedup,
         op9_quality_rules,
         op10_toxicity,
+        op11_sentencepiece,
+        op12_merkle_manifest,
+        op13_centroid_clustering,
         pipeline,
     )
     return {query.__name__: query for query in found}
