@@ -140,10 +140,10 @@ def _clusters(rounds: int = 3) -> str:
   GROUP BY r, vec_id, v)"""
 
     def means(round_: int) -> str:
-        return f"""part{round_} AS (SELECT best.k AS k, unnest(v) AS x, unnest(range(64)) AS at FROM near{round_ - 1}),
+        return f"""part{round_} AS (SELECT best.k AS k, unnest(v) AS x, unnest(range(64)) AS j FROM near{round_ - 1}),
 mean{round_} AS (
-  SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY at) AS v
-  FROM (SELECT k, at, sum(x)::HUGEINT AS s, count(*) AS n FROM part{round_} GROUP BY k, at) GROUP BY k),
+  SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v
+  FROM (SELECT k, j, sum(x)::HUGEINT AS s, count(*) AS n FROM part{round_} GROUP BY k, j) GROUP BY k),
 c{round_} AS (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{round_ - 1} c LEFT JOIN mean{round_} m ON m.k = c.k)"""
 
     steps = [nearest(0)]

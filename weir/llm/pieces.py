@@ -41,6 +41,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 KNOWN_PARTS, KNOWN_PAIRS, LONGEST_KNOWN = 150_000, 300_000, 48
 #: Bytes of text in a batch, or one text that is larger; parts of a text that are looked up at once.
 BATCH_BYTES, PARTS_AT_ONCE = 4 << 20, 1 << 16
+#: Texts from this length on are cut into parts as these are needed.
+LONG_TEXT = 1 << 20
 #: Characters of a long part whose pieces are searched at once; rows of ids that are decoded at once.
 SEARCHED, DECODED_ROWS = 1 << 14, 256
 
@@ -117,7 +119,11 @@ class Model:
         #: Characters of pieces; one that is no piece itself still takes part in merges.
         self.letters = {c for t in ids for c in t}
         self.longest = max(map(len, ids), default=1)
-        self._pairs: dict[tuple[str, str], bool] = {}
+        #: What ``decode`` writes for each id.
+        self.spelled = [self._spell(i) for i in range(len(self.texts))]
+        self._pairs: dict[str, dict[str, bool]] = {}
+        self._pair_count = 0
+        self._prefixes: dict[str, tuple[str, ...]] = {}
         self._finder = self._automaton()
         self._cut = self._cutter()
         self._spans_space = any(SPACE in t.lstrip(SPACE) for t in ids)
@@ -138,20 +144,21 @@ class Model:
 
     def fits(self, a: str, b: str) -> bool:
         """Whether tokens ``a`` and ``b`` may follow each other: their texts merged again give them back."""
-        key = a, b
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) > KNOWN_PAIRS:
-                self._pairs.clear()
-            found = self._pairs[key] = self.merged(a + b) == [a, b]
+        if self._pair_count >= KNOWN_PAIRS:
+            self._pairs.clear()
+            self._pair_count = 0
+        self._pair_count += 1
+        found = self._pairs.setdefault(a, {})[b] = self.merged(a + b) == [a, b]
         return found
 
     def _automaton(self) -> ahocorasick.Automaton:
         """Finds pieces backwards, so that those which start at one place come together, the longest first."""
         finder = ahocorasick.Automaton()
-        for piece in self.ids.keys() | self.letters:
-            if len(piece) == 1 or self.merged(piece) == [piece]:
-                finder.add_word(piece[::-1], piece)
+        whole = {p for p in self.ids.keys() | self.letters if len(p) == 1 or self.merged(p) == [p]}
+        for piece in whole:
+            finder.add_word(piece[::-1], piece)
+            # What else starts where a piece starts, when none longer does, are its own beginnings.
+            self._prefixes[piece] = tuple(p for n in range(len(piece), 0, -1) if (p := piece[:n]) in whole)
         finder.make_automaton()
         return finder
 
@@ -159,31 +166,30 @@ class Model:
         """Parts of a text that no piece spans: spaces with what follows them, if no piece has a space further on."""
         return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
-    def starting(self, text: str) -> list[list[str]]:
-        """For each place of a text, the pieces that start there, the longest first."""
-        found: list[list[str]] = [[] for _ in text]
-        last = len(text) - 1
-        for end, piece in self._finder.iter(text[::-1]):
-            found[last - end].append(piece)
-        return found
+    def longest_at(self, text: str) -> dict[int, str]:
+        """The longest piece that starts at each place of a text, by the place's distance from the last one."""
+        # The automaton gives the longest of a place first, so here it is written last.
+        return dict(reversed(list(self._finder.iter(text[::-1]))))
 
     def _backtrack(self, text: str) -> list[str]:
         """The tokens of a part whose characters all occur in pieces."""
-        starts = self.starting(text) if len(text) <= SEARCHED else _Stretches(self, text)
-        fits, pairs = self.fits, self._pairs
-        failed = bytearray((len(text) >> 3) + 1)  # a bit for each place that no encoding reaches
+        size = len(text)
+        last_place = size - 1
+        longest = self.longest_at(text) if size <= SEARCHED else _Stretches(self, text)
+        fits, pairs, prefixes = self.fits, self._pairs, self._prefixes
+        failed: bytearray | None = None  # a bit for each place that no encoding reaches
         tokens: list[str] = []
         tried = array("B")  # how many of the pieces that start at a token's place came before it
-        at, skip, last = 0, 0, ""
-        while at < len(text):
-            choices = starts[at]
+        at, skip, last, known = 0, 0, "", {}
+        while at < size:
+            choices = prefixes[longest[last_place - at]]
             for number in range(skip, len(choices)):
                 piece = choices[number]
                 end = at + len(piece)
-                if failed[end >> 3] >> (end & 7) & 1:
+                if failed is not None and failed[end >> 3] >> (end & 7) & 1:
                     continue
                 if last:
-                    good = pairs.get((last, piece))
+                    good = known.get(piece)
                     if good is None:
                         good = fits(last, piece)
                     if not good:
@@ -191,14 +197,18 @@ class Model:
                 tokens.append(piece)
                 tried.append(number)
                 at, skip, last = end, 0, piece
+                known = pairs.get(last, {})
                 break
             else:
                 if not tokens:
                     raise ValueError(f"no encoding of {text[:40]!r}")
+                if failed is None:
+                    failed = bytearray((size >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 at -= len(tokens.pop())
                 skip = tried.pop() + 1
                 last = tokens[-1] if tokens else ""
+                known = pairs.get(last, {})
         return tokens
 
     def tokens(self, part: str) -> list[str]:
@@ -234,6 +244,8 @@ class Model:
         spelled = self.prefix + text.replace(" ", SPACE)
         if self._spans_space:
             return iter((spelled,))
+        if len(text) < LONG_TEXT:
+            return iter(self._cut.findall(spelled))
         return (m.group() for m in self._cut.finditer(spelled))
 
     def encode(self, text: str | None, begin: bool = True, end: bool = True) -> list[int]:
@@ -243,18 +255,17 @@ class Model:
             ids += self.part_ids(part)
         return ids + [self.end] * end
 
+    def _spell(self, i: int) -> bytes:
+        kind = self.kinds[i]
+        if kind == BYTE:
+            return bytes([self.byte_of[i]])
+        if kind == UNKNOWN:
+            return " \u2047 ".encode()
+        return self.texts[i].replace(SPACE, " ").encode() if kind == NORMAL else b""
+
     def decoded_bytes(self, ids: Iterable[int]) -> bytes:
         """What ids stand for, the space before the first piece included."""
-        out = []
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                out.append(bytes([self.byte_of[i]]))
-            elif kind == NORMAL:
-                out.append(self.texts[i].replace(SPACE, " ").encode())
-            elif kind == UNKNOWN:
-                out.append(" ⁇ ".encode())
-        return b"".join(out)
+        return b"".join(map(self.spelled.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: begin and end say nothing, and the space that encoding put first goes."""
@@ -266,19 +277,21 @@ class Model:
 
 
 class _Stretches:
-    """The pieces that start at each place of a long part, searched as the walk gets there; the last two stretches stay."""
+    """``longest_at`` of a long part, searched stretch by stretch as the walk gets there; neighbouring stretches stay."""
 
     def __init__(self, model: Model, text: str) -> None:
-        self.model, self.text, self.held = model, text, {}
+        self.model, self.text, self.last, self.held = model, text, len(text) - 1, {}
 
-    def __getitem__(self, place: int) -> list[str]:
-        number, at = divmod(place, SEARCHED)
+    def __getitem__(self, back: int) -> str:
+        number, at = divmod(self.last - back, SEARCHED)
         if number not in self.held:
             start = number * SEARCHED
             # Pieces that start in the stretch may reach beyond it.
-            found = self.model.starting(self.text[start : start + SEARCHED + self.model.longest - 1])
+            window = self.text[start : start + SEARCHED + self.model.longest - 1]
+            found = len(window) - 1, self.model.longest_at(window)
             self.held = {n: x for n, x in self.held.items() if abs(n - number) <= 1} | {number: found}
-        return self.held[number][at]
+        end, longest = self.held[number]
+        return longest[end - at]
 
 
 def _readable(spelled: bytes) -> str:
@@ -293,29 +306,35 @@ def _readable(spelled: bytes) -> str:
 
 
 class _Known:
-    """What a task remembers of parts: their number of ids, the ids and what these decode to, as bytes."""
+    """What a task remembers of parts: their number of ids, the ids and what these decode to, as bytes.
+
+    When it is full, the parts seen since it was last full stay until it is full again.
+    """
 
     def __init__(self, model: Model) -> None:
-        self.model, self.held = model, {}
+        self.model, self.held, self.older = model, {}, {}
 
     def __call__(self, part: str) -> tuple[int, bytes, bytes]:
         found = self.held.get(part)
+        if found is not None:
+            return found
+        found = self.older.get(part)
         if found is None:
             ids = self.model.part_ids(part)
             found = len(ids), array("I", ids).tobytes(), self.model.decoded_bytes(ids)
-            if len(part) <= LONGEST_KNOWN:
-                if len(self.held) >= KNOWN_PARTS:
-                    self.held.clear()
-                self.held[part] = found
+        if len(part) <= LONGEST_KNOWN:
+            if len(self.held) >= KNOWN_PARTS:
+                self.held, self.older = {}, self.held
+            self.held[part] = found
         return found
 
 
 def _blocks(known: _Known, text: str | None) -> Iterator[tuple[int, bytes, bytes]]:
     """Number of ids, ids and decoded bytes of a text, a block of parts at a time."""
     parts, first = known.model.parts(text), True
-    held, learn = known.held, known
     while block := list(islice(parts, PARTS_AT_ONCE)):
-        found = [held.get(part) or learn(part) for part in block]
+        held = known.held
+        found = [held.get(part) or known(part) for part in block]
         decoded = b"".join([f[2] for f in found])
         if first and known.model.prefix and decoded.startswith(b" "):
             decoded = decoded[1:]  # the space that encoding put first
