@@ -22,7 +22,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import islice, pairwise
 
 import ahocorasick
 import pyarrow as pa
@@ -38,7 +38,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 #: Parts of texts and pairs of tokens that a task remembers; longer parts are encoded anew each time.
-KNOWN_PARTS, KNOWN_PAIRS, LONGEST_KNOWN = 150_000, 300_000, 48
+KNOWN_PARTS, KNOWN_PAIRS, LONGEST_KNOWN = 300_000, 500_000, 48
 #: Bytes of text in a batch, or one text that is larger; parts of a text that are looked up at once.
 BATCH_BYTES, PARTS_AT_ONCE = 4 << 20, 1 << 16
 #: Texts from this length on are cut into parts as these are needed.
@@ -123,6 +123,9 @@ class Model:
         self.spelled = [self._spell(i) for i in range(len(self.texts))]
         self._pairs: dict[str, dict[str, bool]] = {}
         self._pair_count = 0
+        #: The first that fits among the pieces that start where a longest one does, after each token.
+        self._firsts: dict[str, dict[str, int]] = {}
+        self._first_count = 0
         self._prefixes: dict[str, tuple[str, ...]] = {}
         self._finder = self._automaton()
         self._cut = self._cutter()
@@ -131,15 +134,16 @@ class Model:
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by merging, as the tests of tokens and pairs need it."""
         parts, rank = list(text), self.rank
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = rank.get(parts[i] + parts[i + 1])
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
-                break
+        none = len(rank)
+        joins = [rank.get(a + b, none) for a, b in pairwise(parts)]
+        while joins and (best := min(joins)) < none:
+            at = joins.index(best)  # the leftmost
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del joins[at]
+            if at:
+                joins[at - 1] = rank.get(parts[at - 1] + parts[at], none)
+            if at < len(joins):
+                joins[at] = rank.get(parts[at] + parts[at + 1], none)
         return parts
 
     def fits(self, a: str, b: str) -> bool:
@@ -171,34 +175,54 @@ class Model:
         # The automaton gives the longest of a place first, so here it is written last.
         return dict(reversed(list(self._finder.iter(text[::-1]))))
 
+    def _first_fit(self, last: str, longest: str) -> int:
+        """Which of the pieces that start where ``longest`` does is the first that may follow ``last``."""
+        choices, known = self._prefixes[longest], self._pairs.get(last, {})
+        for number, piece in enumerate(choices):
+            good = known.get(piece)
+            if good if good is not None else self.fits(last, piece):
+                break
+        else:
+            number = len(choices)
+        if self._first_count >= KNOWN_PAIRS:
+            self._firsts.clear()
+            self._first_count = 0
+        self._first_count += 1
+        self._firsts.setdefault(last, {})[longest] = number
+        return number
+
     def _backtrack(self, text: str) -> list[str]:
         """The tokens of a part whose characters all occur in pieces."""
         size = len(text)
         last_place = size - 1
         longest = self.longest_at(text) if size <= SEARCHED else _Stretches(self, text)
-        fits, pairs, prefixes = self.fits, self._pairs, self._prefixes
+        prefixes, firsts = self._prefixes, self._firsts
         failed: bytearray | None = None  # a bit for each place that no encoding reaches
         tokens: list[str] = []
         tried = array("B")  # how many of the pieces that start at a token's place came before it
-        at, skip, last, known = 0, 0, "", {}
+        at, skip, last = 0, 0, ""
+        known: dict[str, int] = {}
         while at < size:
-            choices = prefixes[longest[last_place - at]]
-            for number in range(skip, len(choices)):
+            start = longest[last_place - at]
+            choices = prefixes[start]
+            number, sure = skip, -1
+            if last and not skip:
+                number = known.get(start, -1)
+                if number < 0:
+                    number = self._first_fit(last, start)
+                sure = number
+            while number < len(choices):
                 piece = choices[number]
                 end = at + len(piece)
-                if failed is not None and failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                if last:
-                    good = known.get(piece)
-                    if good is None:
-                        good = fits(last, piece)
-                    if not good:
-                        continue
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    # The first that fits is known; those after it are looked at one by one.
+                    if number == sure or not last or self._may_follow(last, piece):
+                        break
+                number += 1
+            if number < len(choices):
                 tokens.append(piece)
                 tried.append(number)
                 at, skip, last = end, 0, piece
-                known = pairs.get(last, {})
-                break
             else:
                 if not tokens:
                     raise ValueError(f"no encoding of {text[:40]!r}")
@@ -208,9 +232,14 @@ class Model:
                 at -= len(tokens.pop())
                 skip = tried.pop() + 1
                 last = tokens[-1] if tokens else ""
-                known = pairs.get(last, {})
+            known = firsts.get(last) or {}
         return tokens
 
+    def _may_follow(self, last: str, piece: str) -> bool:
+        """``fits``, looked up first."""
+        found = self._pairs.get(last, {}).get(piece)
+        return self.fits(last, piece) if found is None else found
+
     def tokens(self, part: str) -> list[str]:
         """The tokens of a part; characters that no piece has stand alone."""
         if self.letters.issuperset(part):
@@ -306,7 +335,7 @@ def _readable(spelled: bytes) -> str:
 
 
 class _Known:
-    """What a task remembers of parts: their number of ids, the ids and what these decode to, as bytes.
+    """What a task remembers of parts: their ids and what these decode to, as bytes.
 
     When it is full, the parts seen since it was last full stay until it is full again.
     """
@@ -314,14 +343,14 @@ class _Known:
     def __init__(self, model: Model) -> None:
         self.model, self.held, self.older = model, {}, {}
 
-    def __call__(self, part: str) -> tuple[int, bytes, bytes]:
+    def __call__(self, part: str) -> tuple[bytes, bytes]:
         found = self.held.get(part)
         if found is not None:
             return found
         found = self.older.get(part)
         if found is None:
             ids = self.model.part_ids(part)
-            found = len(ids), array("I", ids).tobytes(), self.model.decoded_bytes(ids)
+            found = array("I", ids).tobytes(), self.model.decoded_bytes(ids)
         if len(part) <= LONGEST_KNOWN:
             if len(self.held) >= KNOWN_PARTS:
                 self.held, self.older = {}, self.held
@@ -329,16 +358,16 @@ class _Known:
         return found
 
 
-def _blocks(known: _Known, text: str | None) -> Iterator[tuple[int, bytes, bytes]]:
-    """Number of ids, ids and decoded bytes of a text, a block of parts at a time."""
+def _blocks(known: _Known, text: str | None) -> Iterator[tuple[bytes, bytes]]:
+    """Ids and decoded bytes of a text, a block of parts at a time."""
     parts, first = known.model.parts(text), True
     while block := list(islice(parts, PARTS_AT_ONCE)):
         held = known.held
         found = [held.get(part) or known(part) for part in block]
-        decoded = b"".join([f[2] for f in found])
+        decoded = b"".join([f[1] for f in found])
         if first and known.model.prefix and decoded.startswith(b" "):
             decoded = decoded[1:]  # the space that encoding put first
-        yield sum([f[0] for f in found]), b"".join([f[1] for f in found]), decoded
+        yield b"".join([f[0] for f in found]), decoded
         first = False
 
 
@@ -355,8 +384,8 @@ def encode_digests(docs: DataFrame, content: bytes) -> DataFrame:
             counts, ids, texts = [], [], []
             for text in batch.column("text"):
                 count, id_digest, text_digest = 2, hashlib.sha256(begin), hashlib.sha256()
-                for n, block, decoded in _blocks(known, text.as_py()):
-                    count += n
+                for block, decoded in _blocks(known, text.as_py()):
+                    count += len(block) // 4
                     id_digest.update(block)
                     text_digest.update(decoded)
                 id_digest.update(end)
@@ -378,7 +407,7 @@ def encode(docs: DataFrame, content: bytes, out: str = "piece_ids") -> DataFrame
             rows = []
             for text in batch.column("text"):
                 ids = array("I", [known.model.begin])
-                for _, block, _ in _blocks(known, text.as_py()):
+                for block, _ in _blocks(known, text.as_py()):
                     ids.frombytes(block)
                 ids.append(known.model.end)
                 rows.append(ids)
