@@ -357,8 +357,63 @@ def test_op10_on_held_out_documents(spark):
         F.avg(F.when(F.col("label") == 0, F.col("expected_severity"))).alias("clean"),
         F.avg(F.when(F.col("label") == 1, F.col("expected_severity"))).alias("bad"),
     ).first()
-    # About one label in twelve says toxic of junk that has no telling word.
-    assert row["false"] < 0.01 and row["found"] > 0.85 and row["bad"] > 10 * row["clean"]
+    assert row["false"] < 0.005 and row["found"] >= 0.93 and row["bad"] > 10 * row["clean"]
+
+
+def test_severity_does_not_grow_with_length(spark):
+    """The same words again are as severe; more clean words around telling ones are less so."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit_sample(docs, spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
+    text = "the idiot said this and that about the pathetic trash of all the others in the house"
+    texts = [text, " ".join([text] * 40), text + " and so it was on all the other days" * 90]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    once, often, thinned = [r["expected_severity"] for r in toxicity.score(frame, model).orderBy("doc_id").collect()]
+    assert once == pytest.approx(often) and once > thinned + 0.5
+    labelled = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic = 1").select("doc_id").distinct()
+    length = F.length("text")
+    assert toxicity.score(docs, model).join(docs, "doc_id").join(labelled, "doc_id").agg(F.corr("expected_severity", length)).first()[0] < 0
+
+
+def plain_sample(documents: list[dict], labels: list[dict]) -> toxicity.Sample:
+    """The sample by counting every feature in every text, in one process."""
+    label = {}
+    for x in labels:
+        if x["doc_id"] is not None and x["toxic"] is not None:
+            label[x["doc_id"]] = max(label.get(x["doc_id"], 0), x["toxic"])
+    texts = {}
+    for d in documents:
+        if d["doc_id"] in label:
+            texts[d["doc_id"]] = min(texts.get(d["doc_id"], d["text"] or ""), d["text"] or "")
+    words = {i: re.findall(r"[^\W\d_]+", t.lower()) for i, t in sorted(texts.items())}
+    having = {i: {f for w in ws for f in toxicity.word_features(w)} for i, ws in words.items()}
+    n, bad = len(words), sum(label[i] for i in words)
+    chosen = {}
+    for f in sorted(set().union(*having.values())):
+        b, a = sum(f in having[i] for i in words), sum(f in having[i] for i in words if label[i])
+        spread = b * (n - b) * bad * (n - bad)
+        chi2 = n * (a * n - b * bad) ** 2 / spread if spread else 0
+        if b >= min(3, n) and chi2 >= min(30, n / 4):
+            chosen[f] = a * n > b * bad
+    places, amounts, shares = [], [], []
+    for ws in words.values():
+        found = [(k, 100 * sum(f in toxicity.word_features(w) for w in ws) / len(ws)) for k, f in enumerate(chosen) if ws]
+        places.append([k for k, x in found if x]), amounts.append([x for _, x in found if x])
+        shares.append(sum(any(chosen.get(f) for f in toxicity.word_features(w)) for w in ws) / max(1, len(ws)))
+    return toxicity.Sample(list(chosen), places, amounts, np.array(shares), np.array([bool(label[i]) for i in words]))
+
+
+def test_op10_is_the_plain_version(spark, query):
+    folder = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    model = toxicity.fit(plain_sample(documents, labels))
+    expected = {}
+    for d in documents:
+        words = re.findall(r"[^\W\d_]+", (d["text"] or "").lower())
+        score = sum(model.weights.get(f, 0) for w in words for f in toxicity.word_features(w)) * 100 / max(1, len(words))
+        expected[d["doc_id"]] = sum(1 / (1 + np.exp(min(50, max(-50, t - score)))) for t in model.thresholds)
+    rows = query("op10_toxicity", folder)
+    assert model.weights and {r["doc_id"]: r["expected_severity"] for r in rows} == pytest.approx(expected, rel=1e-6, abs=1e-9)
 
 
 def test_op10_defined_cases(query, tricky, empty):
@@ -375,7 +430,7 @@ def test_ordinal_fit_orders_grades():
     # Feature k is there once for each tenth by which the score exceeds -3.
     counts = np.maximum(0, np.round((score + 3) * 10)).astype(int)
     rows = np.repeat(np.arange(600), counts)
-    weights, thresholds = toxicity._fit_ordinal(rows, np.zeros(len(rows), int), 1, grades)
+    weights, thresholds = toxicity._fit_ordinal(rows, np.zeros(len(rows), int), np.ones(len(rows)), 1, grades)
     assert weights[0] > 0 and list(thresholds) == sorted(thresholds)
     model = toxicity.Model({"f": float(weights[0])}, thresholds)
     expected = model.chances(counts * weights[0]).sum(axis=1)

@@ -47,7 +47,7 @@ def first_centroids(vectors: DataFrame, k: int = CENTROIDS) -> np.ndarray:
     """The ``k`` vectors with the smallest hashes of their ids, in that order."""
     spelled = F.concat(F.lit("1:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     chosen = vectors.select(F.sha2(spelled, 256).alias("hash"), "v").orderBy("hash", "v").limit(k).collect()  # k rows
-    return np.array([row["v"] for row in chosen], np.int64).reshape(len(chosen), -1)
+    return np.array([row["v"] for row in chosen], np.int64).reshape(len(chosen), -1 if chosen else 0)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

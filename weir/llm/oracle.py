@@ -93,7 +93,7 @@ WITH RECURSIVE spelled AS (
            lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
   FROM documents),
 hashed AS (
-  SELECT r, doc_id, tree, sha256(head || n || t) AS leaf, CASE WHEN crc % 7 = 0 THEN sha256(head || more || t) END AS changed FROM spelled),
+  SELECT r, doc_id, tree, sha256(head || n || t) AS leaf, CASE WHEN doc_id IS NOT NULL AND crc % 7 = 0 THEN sha256(head || more || t) END AS changed FROM spelled),
 leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM hashed),
 nodes(tree, level, i, h) AS (
   SELECT tree, 0, i, leaf FROM leaves
