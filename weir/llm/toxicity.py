@@ -258,7 +258,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 counts = word_counts(text.as_py())
                 if len(known) > KNOWN_WORDS:
                     known.clear()
-                for word in counts.keys() - known.keys():
+                for word in set(counts).difference(known):
                     known[word] = model.word_weight(word)
                 scores[row] = text_score(counts, known.__getitem__)
             if len(model.thresholds):
