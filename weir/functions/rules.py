@@ -94,6 +94,20 @@ def boolean_text(field: str) -> Rule:
     )
 
 
+def near_listed(field: str, listed: str, parsed: Callable[[Column], Column], share: str) -> Rule:
+    """The price in ``field`` differs from the looked-up one in ``listed`` by at most a share of that.
+
+    A price that does not parse is another rule's matter, and one without a listed price is not judged.
+    """
+
+    def fails(value: Column) -> Column:
+        price = parsed(F.col(listed))
+        apart = F.abs(parsed(value) - price) > price * F.lit(share).cast("decimal(6,4)")
+        return ~T.is_missing(F.col(listed)) & F.coalesce(apart, F.lit(False))
+
+    return _on("near", field, fails, lambda value: T.complaint(f"Unlisted {field}", value))
+
+
 def computable(field: str, parsed: Callable[[Column], Column]) -> Rule:
     """The field parses to a number, so the derived fields of its row can be computed."""
     return _on(

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from weir.functions import money
 from weir.functions.money import DECIMAL, MoneyPolicy
-from weir.functions.text import is_true_text
+from weir.functions.text import is_missing, is_true_text
+from weir.operators.intervals import as_of, day_number, disjoint, interval_join
 from weir.operators.lookup import LOOKUP_VALUE, Lookup, probe
 
 QUANTITY, PRICE, RATE, LOYAL, TAXABLE = "_quantity", "_price", "_rate", "_loyal", "_taxable"
+USD_RATE, DISCOUNT_RATE = "_usd_rate", "_discount_rate"
 
 # Fixed value: the share of the subtotal that loyalty members get off.
 LOYALTY_DISCOUNT_RATE = "0.10"
@@ -113,3 +115,41 @@ def enrich_sales_per_item(df: DataFrame, rates: Lookup, policy: MoneyPolicy = DE
 def enrich_coffee(df: DataFrame, rates: Lookup, policy: MoneyPolicy = DECIMAL) -> DataFrame:
     """Add subtotal, loyalty_discount, tax_amount and total to coffee orders."""
     return enrich(df, rates, "store_id", ORDER_STEPS, policy)
+
+
+def in_usd(df: DataFrame, rates: DataFrame, policy: MoneyPolicy = DECIMAL) -> DataFrame:
+    """Add total_usd: the total at the latest rate of its currency on or before the sale's day.
+
+    ``rates`` has currency_code, rate_date, exchange_rate_to_usd and version. A sale before the first rate of its
+    currency, without a day, or at a rate that does not parse, has no total_usd. An exact rate has up to 8 digits before
+    the point and 6 after it, so that no digit of the product is lost before it is rounded.
+    """
+    rate = policy.price(F.col("exchange_rate_to_usd"))
+    rate = rate.try_cast("decimal(14,6)") if policy.exact else rate
+    dated = rates.select(
+        "currency_code", day_number(F.col("rate_date")).alias("since"), rate.alias(USD_RATE),
+        "version", is_missing(F.col("exchange_rate_to_usd")).alias("_absent"),
+    ).where(F.col(USD_RATE).isNotNull() & ~F.col("_absent"))
+    rated = as_of(df, dated, "currency_code", day_number(F.col("datetime")), "since", [USD_RATE], "version")
+    return derive(rated, [Derived("total_usd", lambda _: F.col("total") * F.col(USD_RATE))], policy).drop(USD_RATE)
+
+
+def discounted(df: DataFrame, codes: DataFrame, policy: MoneyPolicy = DECIMAL) -> DataFrame:
+    """Add discount_pct and discount: what the sale's code takes off its subtotal on the sale's day.
+
+    ``codes`` has discount_code, valid_from, valid_to and discount_pct. A code holds on both its first and its last day;
+    where its windows overlap the highest percentage counts. Other sales have no percentage and a discount of 0.
+    """
+    windows = codes.select(
+        "discount_code",
+        day_number(F.col("valid_from")).alias("first"),
+        day_number(F.col("valid_to")).alias("last"),
+        policy.rate(F.col("discount_pct").try_cast("decimal(10,4)")).alias(DISCOUNT_RATE),
+        F.col("discount_pct").try_cast("double").alias("discount_pct"),
+    ).where(F.col("discount_pct").isNotNull())
+    values = [DISCOUNT_RATE, "discount_pct"]
+    apart = disjoint(windows, "discount_code", ("first", "last"), values, [F.col("discount_pct")])
+    found = interval_join(df, apart, "discount_code", day_number(F.col("datetime")), ("first", "last"), values)
+    off = F.col("subtotal") * F.col(DISCOUNT_RATE)
+    step = Derived("discount", lambda policy: F.when(F.col(DISCOUNT_RATE).isNull(), policy.constant("0.0")).otherwise(off))
+    return derive(found, [step], policy).drop(DISCOUNT_RATE)

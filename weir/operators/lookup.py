@@ -7,7 +7,7 @@ share of all rows is worked on by several tasks; adaptive execution splits furth
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -23,7 +23,7 @@ MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTED_ROWS = 64_000_000
 MAX_SALTS = 256
 
-_KEY = "_lookup_key"
+_KEY, _ROW = "_lookup_key", "_lookup_row"
 LOOKUP_VALUE = "_lookup_value"
 
 
@@ -51,6 +51,13 @@ class Lookup:
         pairs = key_values(table, key, value, order).select(F.col(key).alias(_KEY), F.col(value).alias(LOOKUP_VALUE))
         return cls(pairs, table.select(key, value), **limits)
 
+    @classmethod
+    def rows(cls, table: DataFrame, key: str, columns: Sequence[str], order: str | None = None, **limits: int) -> Lookup:
+        """Return the key to row map of a reference table: several values of a key, from one probe."""
+        require_fields(table, [key, *columns], "reference table")
+        whole = F.struct(*columns).alias(_ROW)
+        return cls.values(table.select(key, whole, *([order] if order else [])), key, _ROW, order, **limits)
+
     def stored(self, path: str) -> Lookup:
         """Write the reduced table once and read it from there.
 
@@ -140,6 +147,12 @@ def probe(
     return salted.join(side, matched, how).drop(_KEY, "_share", "_salt")
 
 
+def with_columns_of(df: DataFrame, lookup: Lookup, on: str, names: Mapping[str, str]) -> DataFrame:
+    """Add columns of the key's row (see ``Lookup.rows``) under new names, NULL where the key is unknown."""
+    found = probe(df, lookup, on)
+    return found.withColumns({out: F.col(LOOKUP_VALUE)[name] for name, out in names.items()}).drop(LOOKUP_VALUE)
+
+
 def flag_known(df: DataFrame, lookup: Lookup, on: str) -> DataFrame:
     """Add the flag that the rule ``known(on)`` reads: true for a known key, NULL otherwise."""
     return probe(df, lookup, on).withColumnRenamed(LOOKUP_VALUE, KNOWN_FLAG + on)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from weir.functions.text import is_missing
 from weir.operators.contract import require_fields
 from weir.operators.running import OFFSET, PARTITION
 
@@ -58,11 +59,14 @@ def first_messages(df: DataFrame, n: int) -> DataFrame:
 def first_of_each(df: DataFrame, key: str, order: Sequence[str] = (OFFSET,)) -> DataFrame:
     """Return the first row of each key: what a replayed topic holds without its repeats.
 
-    The rows are reduced map side, so a key that is repeated often costs a row for each task.
+    The rows are reduced map side, so a key that is repeated often costs a row for each task. A row whose key is
+    missing is no repeat of another: it stays, and is not grouped at all.
     """
     require_fields(df, [key, *order])
+    absent = is_missing(F.col(key))
     first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_first")
-    return df.groupBy(F.col(key).alias("_of")).agg(first).select("_first.*")
+    keyed = df.where(~absent).groupBy(F.col(key).alias("_of")).agg(first).select("_first.*")
+    return keyed.unionByName(df.where(absent))
 
 
 def keyed_order(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:

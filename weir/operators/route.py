@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -46,6 +47,9 @@ class Landing:
     quarantine: bool = True
     policy: MoneyPolicy = DECIMAL
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
+    #: Columns that batches carry beside those of the contract's tables. Batches that were landed without them stay as they
+    #: are: a read fills the columns with NULL there.
+    extra: tuple[str, ...] = ()
 
     def write(self, checked: DataFrame, batch_id: int) -> dict[str, int]:
         """Land one batch and return the numbers of accepted and rejected messages."""
@@ -66,6 +70,18 @@ class Landing:
         """Read the accepted table."""
         return accepted_shape(self._read(ACCEPTED), self.contract)
 
+    def enriched(self, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Read the accepted table with its extra columns.
+
+        What a batch did not land is derived as it is read; amounts that were landed are kept as they were.
+        """
+        stored = {name: f"_landed_{name}" for name in self.extra}
+        landed = self._read(ACCEPTED).withColumnsRenamed(stored)
+        derived = derive(landed)
+        filled = {name: F.coalesce(F.col(was), F.col(name)) for name, was in stored.items()}
+        names = list(dict.fromkeys((*self.contract.accepted_fields, *self.extra)))
+        return derived.withColumns(filled).select(*names)
+
     def rejected(self) -> DataFrame:
         """Read the rejected table."""
         return rejected_shape(self._read(REJECTED), self.contract)
@@ -82,7 +98,7 @@ class Landing:
         """The columns of both tables, each once."""
         kinds = {field.name: field.dataType for field in self.contract.envelope_schema.fields}
         kinds |= {name: self.policy.money_type for name in self.contract.derived}
-        names = dict.fromkeys((*self.contract.accepted_fields, *self.contract.rejected_fields))
+        names = dict.fromkeys((*self.contract.accepted_fields, *self.contract.rejected_fields, *self.extra))
         return [StructField(name, kinds.get(name, StringType())) for name in names]
 
     def _schema(self) -> StructType:

@@ -5,10 +5,10 @@ buckets of fixed width instead, and the running value of a row is the value with
 combined with the totals of all earlier buckets:
 
 1. rows are shuffled by bucket and scanned within it (a window of at most ``width`` rows);
-2. each bucket is reduced to one row of totals, from the same shuffled rows;
+2. each bucket is reduced to one row of totals, by a second read of the measured columns only;
 3. the totals are scanned the same way, in groups of ``width`` buckets, and then across groups;
 4. the carried totals are joined back on the bucket, which the scanned rows are already
-   partitioned and sorted by, so the large side is read and shuffled once in all.
+   partitioned and sorted by, so the large side is shuffled once in all.
 
 No group exceeds ``width`` rows, however many rows one key has, because an offset is unique
 within its partition. Sums of decimals make the result equal to the plain window's.
@@ -68,8 +68,8 @@ def running(
     It needs keys; a run over one global order can use a constant key.
     """
     require_fields(df, [*keys, partition, offset])
-    # No slot column is NULL: a missing key is a key like any other, plain equality lets the joins
-    # reuse the partitioning of the windows, and both readers of the totals share one shuffle.
+    # No slot column is NULL: a missing key is a key like any other, and plain equality lets the joins
+    # reuse the partitioning of the windows.
     slotted = df.withColumns(
         {
             _PART: F.coalesce(F.col(partition).cast("long"), F.lit(-1)),
@@ -78,18 +78,12 @@ def running(
         }
     )
     slots = [_PART, _BUCKET, _KEY]
-    dealt = slotted.repartition(*slots)
     so_far = Window.partitionBy(*slots).orderBy(offset).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = dealt.withColumns({f"_in_{n}": m.of_rows().over(so_far) for n, m in measures.items()})
-
-    # Both readers must ask for the same columns to share one shuffle, and with it one read of the source; the
-    # greatest row of a bucket, which is never NULL, needs them all.
-    totals = (
-        dealt.groupBy(*slots)
-        .agg(*(m.of_rows().alias(n) for n, m in measures.items()), F.max(F.struct(*df.columns)).alias("_greatest"))
-        .where(F.col("_greatest").isNotNull())
-        .drop("_greatest")
-    )
+    scanned = slotted.withColumns({f"_in_{n}": m.of_rows().over(so_far) for n, m in measures.items()})
+
+    # The totals read only the columns of the measures and are combined before they are shuffled: a second
+    # narrow read costs less than carrying whole rows through an aggregate.
+    totals = slotted.groupBy(*slots).agg(*(m.of_rows().alias(n) for n, m in measures.items()))
     carry = _carry(totals, measures, width, _state(initial, keys, measures))
 
     joined = scanned.join(carry, slots, "left")

@@ -23,15 +23,16 @@ from weir.operators.lookup import (
     miss_report,
     probe,
     unknown_rows,
+    with_columns_of,
 )
-from weir.operators.route import ACCEPTED, REJECTED, ROUTE, Landing, branch_counts, split
+from weir.operators.route import ACCEPTED, REJECTED, ROUTE, Landing, branch_counts
 from weir.plans import tables
 from weir.plans.coffee import COFFEE
-from weir.plans.flows import consume, produce, storage_summary
+from weir.plans.flows import ask, computable_rules, consume, produce, storage_summary, with_computable
 from weir.plans.sales import CURRENCY_CODES, DEVICE_TYPES, PAYMENT_METHODS, PRODUCT_FIELDS, REFERRAL_SOURCES, SALES
 from weir.session import workspace
 from weir.sources import records, topics
-from weir.streaming import runs
+from weir.streaming import events, keyed, runs
 
 # Fixed value: the prefix that the bounded queries take, which is their feature.
 MAX_MESSAGES = 1000
@@ -54,14 +55,10 @@ class Given:
         return tables.table(self.spark, self.sf_dir, name)
 
     def stream(self, name: str, order: str) -> DataFrame:
-        """The whole table as a stream of several batches: files that arrive one after the other, in order."""
+        """The whole table as a stream of several batches: groups of files that arrive one after the other, in order."""
         table, path = self.table(name), self.folder(name)
-        cuts = sorted(set(table.approxQuantile(order, [k / STREAM_FILES for k in range(1, STREAM_FILES)], 0.01)))
-        for low, high in zip([None, *cuts], [*cuts, None]):
-            part = table if low is None else table.where(F.col(order) > low)
-            part = part if high is None else part.where(F.col(order) <= high)
-            part.coalesce(1).write.mode("append").parquet(path)
-        return runs.stream_files(self.spark, path, table.schema, max_files=1)
+        files = runs.write_in_turn(table, order, path, STREAM_FILES)
+        return runs.stream_files(self.spark, path, table.schema, max_files=files)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -129,18 +126,24 @@ class Given:
         return consume(messages, SALES, self.fixed_region_rates, enrich.enrich_sales)
 
     def reported_sales(self) -> tuple[DataFrame, DataFrame]:
-        """Both branches of a run whose topic holds the valid messages, as the closing report reads them."""
-        return split(self.consume_sales(validate.valid_rows(self.checked_sales()).drop(validate.ERRORS, validate.IS_VALID)), SALES)
+        """Both branches of a run whose topic holds the valid messages, as the closing report reads them.
+
+        One check has the rules of the producer and of the consumer; only what passes is priced.
+        """
+        checked = validate.validate(self.sales, with_computable(SALES), self.sales_references)
+        accepted = enrich.enrich_sales(validate.valid_rows(checked), self.region_rates)
+        rejected = validate.with_error_text(validate.invalid_rows(checked))
+        return project.accepted_shape(accepted, SALES), project.rejected_shape(rejected, SALES)
 
     def reported_lines(self) -> tuple[DataFrame, DataFrame]:
-        checked = self.checked_lines()
-        sent = validate.valid_rows(checked).drop(validate.ERRORS, validate.IS_VALID)
-        return accepted_and_rejected(self.consume_coffee(sent), checked)
+        checked = validate.validate(self.lines, with_computable(COFFEE), self.coffee_references)
+        accepted = enrich.enrich_coffee(validate.valid_rows(checked), self.store_rates)
+        rejected = validate.with_error_text(validate.invalid_rows(checked))
+        return project.accepted_shape(accepted, COFFEE), project.rejected_shape(rejected, COFFEE)
 
     def reported_orders(self) -> DataFrame:
-        checked = validate.validate(self.orders, COFFEE, self.coffee_references)
-        sent = validate.valid_rows(checked).drop(validate.ERRORS, validate.IS_VALID)
-        return validate.valid_rows(self.consume_coffee(sent))
+        checked = validate.validate(self.orders, with_computable(COFFEE), self.coffee_references)
+        return enrich.enrich_coffee(validate.valid_rows(checked), self.store_rates)
 
     def consume_coffee(self, messages: DataFrame) -> DataFrame:
         return consume(messages, COFFEE, self.store_rates, enrich.enrich_coffee)
@@ -168,12 +171,6 @@ class Given:
         return tables.order_messages(self.stream("orders", "o_orderkey"))
 
 
-def accepted_and_rejected(consumed: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The accepted table of a run, and all its rejects: those of the producer and those of the consumer."""
-    accepted, late = split(consumed, COFFEE)
-    return accepted, split(checked, COFFEE)[1].unionByName(late)
-
-
 Query = Callable[[Given], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -858,6 +855,14 @@ def stream_running_rows(g: Given) -> DataFrame:
     return runs.running_stats_rows(g.spark, f"{path}/rows")
 
 
+@query
+def stream_running_rows_by_key(g: Given) -> DataFrame:
+    path = g.folder("keyed")
+    accepted = validate.valid_rows(g.consume_orders_stream())
+    keyed.run_by_key(accepted, ["store_id"], f"{path}/rows", f"{path}/checkpoint")
+    return g.spark.read.parquet(f"{path}/rows")
+
+
 @query
 def stream_cumulative_by_key(g: Given) -> DataFrame:
     path = g.folder("cumulative")
@@ -929,3 +934,90 @@ def ext_run_summary(g: Given) -> DataFrame:
 def ext_event_windows(g: Given) -> DataFrame:
     sent = validate.valid_rows(g.checked_sales()).drop(validate.ERRORS, validate.IS_VALID)
     return aggregate.by_day(validate.valid_rows(g.consume_sales(sent)))
+
+
+@query
+def ext_discount_window(g: Given) -> DataFrame:
+    priced = enrich.discounted(g.accepted_sales(), tables.discount_codes(g.spark, g.sf_dir))
+    return priced.select("order_id", "discount_code", "datetime", "discount_pct", "subtotal", "discount")
+
+
+@query
+def ext_to_usd(g: Given) -> DataFrame:
+    priced = enrich.in_usd(g.accepted_sales(), tables.exchange_rates(g.spark, g.sf_dir))
+    return priced.select("order_id", "currency_code", "datetime", "total", "total_usd")
+
+
+#: Accepted sales beside their region and product, as a user of the landed tables asks for them.
+SALES_BY_DIMENSION = """
+SELECT a.order_id, r.region_name, r.country_name, p.product_name, p.category, a.total
+FROM {accepted} a JOIN {regions} r ON r.region_id = a.region_id LEFT JOIN {products} p ON p.product_id = a.product_id
+"""
+
+
+@query
+def ext_dim_sql_join(g: Given) -> DataFrame:
+    regions = tables.regions(g.spark, g.sf_dir)
+    return ask(g.spark, SALES_BY_DIMENSION, accepted=g.accepted_sales(), regions=regions, products=g.products)
+
+
+@query
+def ext_price_check(g: Given) -> DataFrame:
+    listed = Lookup.rows(g.products, "product_id", ["price_usd", "product_name"])
+    named = with_columns_of(g.sales, listed, "product_id", {"price_usd": "price_usd", "product_name": "product_name"})
+    near = rules.near_listed("unit_price", "price_usd", money.DECIMAL.price, "0.5")
+    checked = validate.check(named, SALES.required, [*computable_rules(DECIMAL), near])
+    shown = validate.with_error_text(checked)
+    return shown.select("order_id", "product_name", "unit_price", "price_usd", validate.IS_VALID, ERROR_TEXT)
+
+
+@query
+def ext_enriched_table(g: Given) -> DataFrame:
+    """Sales of even partitions were landed before the derived columns were, the others after."""
+    path = g.folder("enriched")
+    before, after = Landing(g.spark, path, SALES), Landing(g.spark, path, SALES, extra=SALES.derived)
+    after.reset()
+    consumed = g.consume_sales(g.sales)
+    early = F.col(PARTITION) % 2 == 0
+    before.write(consumed.where(early), 0)
+    after.write(consumed.where(~early), 0)
+    landed = after.enriched(lambda df: enrich.enrich_sales(df, g.region_rates))
+    return landed.select("order_id", "region_id", *SALES.derived)
+
+
+# Longer than the given tables last, so that no sale is late.
+WATERMARK = "60 days"
+
+
+@query
+def ext_event_windows_stream(g: Given) -> DataFrame:
+    path = g.folder("windows")
+    accepted = validate.valid_rows(g.consume_sales_stream())
+    amounts = {"sale_count": F.count("*"), "revenue": aggregate.revenue()}
+    daily = events.windowed(events.in_event_time(accepted, "datetime", WATERMARK), "1 day", amounts)
+    events.run_changed(daily, f"{path}/rows", f"{path}/checkpoint")
+    found = events.read_changed(g.spark, f"{path}/rows", ["start"])
+    return found.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "sale_count", "revenue")
+
+
+@query
+def ext_event_sessions(g: Given) -> DataFrame:
+    """Customers' runs of sales, those that the watermark has closed by the end of the table."""
+    path = g.folder("sessions")
+    accepted = validate.valid_rows(g.consume_sales_stream())
+    timed = events.in_event_time(accepted, "datetime", "2 days")
+    events.run_closed(events.sessions(timed, "12 hours", {"sale_count": F.count("*")}, ["customer_id"]), f"{path}/rows", f"{path}/checkpoint")
+    found = g.spark.read.parquet(f"{path}/rows")
+    return found.select("customer_id", tables.iso_text(F.col("start")).alias("start"), tables.iso_text(F.col("end")).alias("end"), "sale_count")
+
+
+@query
+def ext_dedup_replay_stream(g: Given) -> DataFrame:
+    """A topic that is replayed whole: the table arrives twice, and the second run goes on from the first one's state."""
+    path, table = g.folder("replayed"), g.table("events")
+    for _ in range(2):
+        files = runs.write_in_turn(table, "event_id", f"{path}/topic", 2)
+        messages = tables.sales_messages(runs.stream_files(g.spark, f"{path}/topic", table.schema, max_files=files))
+        once = events.without_repeats(events.in_event_time(messages, "datetime", WATERMARK), "order_id")
+        events.run_closed(once.select("order_id", "region_id", PARTITION, OFFSET), f"{path}/rows", f"{path}/checkpoint")
+    return g.spark.read.parquet(f"{path}/rows")

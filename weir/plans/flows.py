@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from weir.functions.money import DECIMAL, MoneyPolicy, quantity
 from weir.functions.rules import Rule, computable
@@ -38,6 +39,19 @@ def consume(
     return enricher(checked, rates, policy)
 
 
+def with_computable(contract: Contract, policy: MoneyPolicy = DECIMAL) -> Contract:
+    """The contract with the consumer's rules: one check that stands for a producer's and a consumer's after it."""
+    return replace(contract, rules=(*contract.rules, *computable_rules(policy)))
+
+
+def ask(spark: SparkSession, question: str, **named: DataFrame) -> DataFrame:
+    """Answer a question in SQL over tables named in braces, such as ``SELECT * FROM {accepted}``.
+
+    The tables are plans, not copies, so the whole question is one plan.
+    """
+    return spark.sql(question, **named)
+
+
 def storage_summary(accepted: DataFrame, rejected: DataFrame, contract: Contract) -> dict[str, DataFrame]:
     """Return the closing report over the landed tables: one small frame per question."""
     report = {

@@ -482,6 +482,11 @@ ORACLE: dict[str, str] = {
             w=KEYED.format("_kafka_partition")
         )
     ),
+    "stream_running_rows_by_key": orders(
+        "SELECT store_id, _kafka_offset, CAST(total AS DOUBLE) AS total, n AS running_count, CAST(s AS DOUBLE) AS running_total, "
+        "CAST(lo AS DOUBLE) AS running_min, CAST(hi AS DOUBLE) AS running_max FROM (SELECT *, COUNT(*) {w} AS n, SUM(total) {w} AS s, "
+        "MIN(total) {w} AS lo, MAX(total) {w} AS hi FROM acc)".format(w="OVER (PARTITION BY store_id ORDER BY _kafka_offset)")
+    ),
     "stream_cumulative_by_key": orders(
         "SELECT store_id, CAST(SUM(total) AS DOUBLE) AS revenue FROM acc GROUP BY store_id"
     ),
@@ -509,4 +514,52 @@ ORACLE: dict[str, str] = {
         "SELECT strftime(date_trunc('day', TRY_CAST(datetime AS TIMESTAMP)), '%Y-%m-%d') AS day, COUNT(*) AS sale_count, "
         "CAST(SUM(total) AS DOUBLE) AS revenue FROM acc GROUP BY 1"
     ),
+    "ext_discount_window": sales(
+        "SELECT a.order_id, a.discount_code, a.datetime, CAST(w.pct AS DOUBLE) AS discount_pct, CAST(a.subtotal AS DOUBLE) AS "
+        "subtotal, CAST(COALESCE(ROUND(a.subtotal * CAST(w.pct * 0.01 AS DECIMAL(6,4)), 2), 0) AS DOUBLE) AS discount "
+        "FROM acc a LEFT JOIN (SELECT order_id, MAX(pct) AS pct FROM acc JOIN (SELECT CASE WHEN n_nationkey % 5 < 3 THEN "
+        "'SPRING25' ELSE 'CODE-' || CAST(n_nationkey AS VARCHAR) END AS code, DATE '2024-01-01' + CAST(n_nationkey * 7 % 28 AS INTEGER) "
+        "AS f, DATE '2024-01-01' + CAST(CASE WHEN n_nationkey = 4 THEN n_nationkey * 7 % 28 - 2 ELSE n_nationkey * 7 % 28 + n_regionkey "
+        "END AS INTEGER) AS t, CAST(n_nationkey % 4 * 5 + 5 AS DECIMAL(6,0)) AS pct FROM nation) c ON code = discount_code "
+        "AND TRY_CAST(left(datetime, 10) AS DATE) BETWEEN f AND t GROUP BY order_id) w ON w.order_id = a.order_id"
+    ),
+    "ext_to_usd": sales(
+        "SELECT order_id, currency_code, datetime, CAST(total AS DOUBLE) AS total, CAST(ROUND(total * x.rate, 2) AS DOUBLE) AS total_usd "
+        "FROM acc LEFT JOIN (SELECT *, lead(d) OVER (PARTITION BY cur ORDER BY d) AS after FROM ("
+        "SELECT CASE s_suppkey % 3 WHEN 0 THEN 'CAD' WHEN 1 THEN 'MXN' ELSE 'USD' END AS cur, "
+        "DATE '2024-01-01' + CAST(s_suppkey * 5 % 29 + 1 AS INTEGER) AS d, "
+        "arg_max(CAST(0.5 + s_acctbal / 10000 AS DECIMAL(12,6)), s_suppkey) AS rate FROM supplier GROUP BY 1, 2)) x "
+        "ON cur = currency_code AND TRY_CAST(left(datetime, 10) AS DATE) >= d "
+        "AND (after IS NULL OR TRY_CAST(left(datetime, 10) AS DATE) < after)"
+    ),
+    "ext_dim_sql_join": sales(
+        "SELECT order_id, r_name AS region_name, r_name AS country_name, p_name AS product_name, CASE WHEN p_size = 13 THEN '' "
+        "ELSE p_type END AS category, CAST(total AS DOUBLE) AS total FROM acc JOIN region ON region_id = 'R-' || CAST(r_regionkey AS "
+        "VARCHAR) LEFT JOIN pro ON pro.product_id = acc.product_id"
+    ),
+    "ext_price_check": sales(
+        "SELECT order_id, product_name, unit_price, price_usd, validation_errors = '' AS is_valid, validation_errors FROM ("
+        "SELECT l.order_id, p_name AS product_name, unit_price, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price_usd, "
+        f"CASE WHEN missing <> '' THEN missing ELSE concat_ws('; ', {NO_QUANTITY}, {NO_PRICE}, CASE WHEN "
+        "abs(TRY_CAST(unit_price AS DECIMAL(18,6)) - CAST(p_retailprice AS DECIMAL(12,2))) > CAST(p_retailprice AS DECIMAL(12,2)) * 0.5 "
+        "THEN 'Unlisted unit_price: ''' || unit_price || '''' END) END AS validation_errors "
+        "FROM light l LEFT JOIN pro ON pro.product_id = l.product_id)"
+    ),
+    "ext_enriched_table": sales(f"SELECT order_id, region_id, {SALE_AMOUNTS} FROM acc"),
+    "ext_event_windows_stream": sales(
+        "SELECT strftime(date_trunc('day', TRY_CAST(datetime AS TIMESTAMP)), '%Y-%m-%d') AS day, COUNT(*) AS sale_count, "
+        "CAST(SUM(total) AS DOUBLE) AS revenue FROM acc WHERE TRY_CAST(datetime AS TIMESTAMP) IS NOT NULL GROUP BY 1"
+    ),
+    "ext_event_sessions": sales(
+        "SELECT customer_id, strftime(MIN(t), '%Y-%m-%dT%H:%M:%SZ') AS start, strftime(MAX(t) + INTERVAL 12 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS "
+        "\"end\", COUNT(*) AS sale_count FROM (SELECT *, SUM(new) OVER (PARTITION BY customer_id ORDER BY t) AS s FROM ("
+        "SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > INTERVAL 12 HOUR THEN 1 ELSE 0 END AS new FROM ("
+        "SELECT customer_id, TRY_CAST(datetime AS TIMESTAMP) AS t FROM acc) WHERE t IS NOT NULL WINDOW w AS (PARTITION BY customer_id "
+        "ORDER BY t))) GROUP BY customer_id, s HAVING MAX(t) + INTERVAL 12 HOUR <= "
+        "(SELECT MAX(TRY_CAST(datetime AS TIMESTAMP)) FROM acc) - INTERVAL 2 DAY"
+    ),
+    "ext_dedup_replay_stream": sales(
+        "SELECT order_id, region_id, _kafka_partition, _kafka_offset FROM msg UNION ALL SELECT order_id, region_id, _kafka_partition, "
+        "_kafka_offset FROM msg WHERE TRY_CAST(datetime AS TIMESTAMP) IS NULL"
+    ),
 }

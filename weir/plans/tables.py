@@ -163,6 +163,35 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _day(number: Column) -> Column:
+    """The date that many days after the first day of the sales."""
+    return F.date_add(F.lit("2024-01-01").cast("date"), number.cast("int")).cast("string")
+
+
+def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated rates of the sales' currencies: the table ``supplier``. Days have gaps, and some have several rates."""
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        _pick(key % 3, "CAD", "MXN", "USD").alias("currency_code"),
+        _day(key * 5 % 29 + 1).alias("rate_date"),
+        F.expr("cast(cast(0.5 + s_acctbal / 10000 as decimal(12,6)) as string)").alias("exchange_rate_to_usd"),
+        key.cast("long").alias("version"),
+    )
+
+
+def discount_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discount codes with the first and last day on which they hold: the table ``nation``. Windows overlap."""
+    key = F.col("n_nationkey")
+    first = key * 7 % 28
+    return table(spark, sf_dir, "nation").select(
+        F.when(key % 5 < 3, "SPRING25").otherwise(_label("CODE-", key)).alias("discount_code"),
+        _day(first).alias("valid_from"),
+        # One window ends before it starts, and some last one day.
+        _day(F.when(key == 4, first - 2).otherwise(first + F.col("n_regionkey"))).alias("valid_to"),
+        (key % 4 * 5 + 5).cast("string").alias("discount_pct"),
+    )
+
+
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stores of coffee orders: the table ``nation``. Orders name some stores it lacks."""
     key = F.col("n_nationkey")

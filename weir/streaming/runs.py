@@ -33,6 +33,24 @@ def stream_files(spark: SparkSession, path: str, schema: StructType, max_files:
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
+def write_in_turn(table: DataFrame, order: str, path: str, turns: int, rows_each: int = 1_000_000) -> int:
+    """Write a table as files that arrive in ``turns`` groups, earlier rows first; returns the files of a group.
+
+    Each group is written by as many tasks as it has files, one group after the other. All groups have the same number of
+    files, of ``rows_each`` rows or less where there are enough rows, so a stream that admits that many files takes
+    a group at a time. Rows without an order come first.
+    """
+    cuts = sorted(set(table.approxQuantile(order, [k / turns for k in range(1, turns)], 0.01)))
+    turn = sum((F.coalesce((F.col(order) > cut).cast("int"), F.lit(0)) for cut in cuts), F.lit(0))
+    sizes = {row["turn"]: row["n"] for row in table.groupBy(turn.alias("turn")).agg(F.count("*").alias("n")).collect()}
+    most, least = max(sizes.values(), default=1), min(sizes.values(), default=1)
+    # Dealt in rounds, so no file is empty while there are many more rows than files.
+    files = max(1, min(max(2, -(-most // rows_each)), least // 64))
+    for number in sorted(sizes) or [0]:
+        table.where(turn == number).repartition(files).write.mode("append").parquet(path)
+    return files
+
+
 def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
     """Hand every micro-batch that is available to ``each`` and stop when there are no more."""
     query = (
