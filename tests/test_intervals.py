@@ -142,3 +142,12 @@ def test_a_feed_is_written_by_several_tasks_and_keeps_rows_without_an_order(spar
     runs.run_batches(stream, str(tmp_path / "c"), lambda b, i: seen.append(b.agg(F.min("id"), F.max("id"), F.count("*"), F.count("id")).first()))
     assert len(seen) == 4 and sum(s[2] for s in seen) == 4000
     assert all(a[1] < b[0] for a, b in zip(seen, seen[1:])) and seen[0][2] - seen[0][3] == 10
+
+
+def test_no_digit_is_lost_before_a_converted_total_is_rounded(spark):
+    sales = spark.createDataFrame([("1", "CAD", "2024-03-01T10:00:00Z")], "order_id string, currency_code string, datetime string")
+    sales = sales.withColumn("total", F.lit("146.39").cast(DECIMAL.money_type))
+    rates = spark.createDataFrame(
+        [("CAD", "2024-03-01", "0.912050", 1)], "currency_code string, rate_date string, exchange_rate_to_usd string, version long"
+    )
+    assert str(enrich.in_usd(sales, rates).first()["total_usd"]) == "133.51"  # 133.5149995

@@ -121,11 +121,11 @@ def in_usd(df: DataFrame, rates: DataFrame, policy: MoneyPolicy = DECIMAL) -> Da
     """Add total_usd: the total at the latest rate of its currency on or before the sale's day.
 
     ``rates`` has currency_code, rate_date, exchange_rate_to_usd and version. A sale before the first rate of its
-    currency, without a day, or at a rate that does not parse, has no total_usd. An exact rate has up to 8 digits before
+    currency, without a day, or at a rate that does not parse, has no total_usd. An exact rate has up to 5 digits before
     the point and 6 after it, so that no digit of the product is lost before it is rounded.
     """
     rate = policy.price(F.col("exchange_rate_to_usd"))
-    rate = rate.try_cast("decimal(14,6)") if policy.exact else rate
+    rate = rate.try_cast("decimal(11,6)") if policy.exact else rate
     dated = rates.select(
         "currency_code", day_number(F.col("rate_date")).alias("since"), rate.alias(USD_RATE),
         "version", is_missing(F.col("exchange_rate_to_usd")).alias("_absent"),
