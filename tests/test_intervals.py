@@ -123,6 +123,30 @@ def test_batches_without_derived_columns_are_read_beside_those_with_them(spark,
     assert old.accepted().count() == 2 and set(old.accepted().columns) == set(SALES.accepted_fields)
 
 
+def test_a_run_is_summed_up_as_it_lands_and_a_retry_counts_once(spark, tmp_path):
+    from weir.operators.validate import IS_VALID
+
+    row = {f: "x" for f in SALES.fields} | {"_kafka_key": "R"}
+    good = [("1.50", 5, True), ("2.25", 3, True), ("9.00", 1, False)]
+    frames = [
+        spark.createDataFrame([row]).withColumns({
+            "total": F.lit(t).cast("decimal(26,2)"), "_kafka_partition": F.lit(0), "_kafka_offset": F.lit(o).cast("long"),
+            "errors": F.array().cast("array<string>"), IS_VALID: F.lit(v),
+        })
+        for t, o, v in good
+    ]
+    landing = Landing(spark, str(tmp_path / "rows"), SALES, summarize=True)
+    landing.write(frames[0], 0)
+    for _ in range(2):
+        assert landing.write(frames[1].union(frames[2]), 1) == {"accepted": 1, "rejected": 1}
+    landing.write(frames[2], 2)  # nothing accepted
+    Landing(spark, str(tmp_path / "rows"), SALES, summarize=True).write(frames[0], 0)  # another run
+    rows = {r["run"]: r for r in landing.summary().collect()}
+    own = rows[landing.run]
+    assert len(rows) == 2 and (own["batch_count"], own["accepted_count"], own["rejected_count"]) == (3, 2, 2)
+    assert (float(own["revenue"]), own["first_offset"], own["last_offset"]) == (3.75, 3, 5)
+
+
 def test_ids_that_are_missing_are_no_repeats(spark):
     from weir.operators.ordering import first_of_each
 

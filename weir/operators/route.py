@@ -17,6 +17,15 @@ from weir.operators.validate import IS_VALID, invalid_rows, valid_rows, with_err
 
 ROUTE, BATCH, RUN = "route", "batch_id", "run"
 ACCEPTED, REJECTED = "accepted", "rejected"
+SUMMARY = StructType(
+    [
+        StructField(ACCEPTED, LongType()),
+        StructField(REJECTED, LongType()),
+        StructField("revenue", DECIMAL.money_type),
+        StructField("first_offset", LongType()),
+        StructField("last_offset", LongType()),
+    ]
+)
 
 
 def split(checked: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
@@ -50,21 +59,53 @@ class Landing:
     #: Columns that batches carry beside those of the contract's tables. Batches that were landed without them stay as they
     #: are: a read fills the columns with NULL there.
     extra: tuple[str, ...] = ()
+    #: Keep a row for each batch of what was observed while it was written; a batch that is written again replaces its row.
+    summarize: bool = False
 
     def write(self, checked: DataFrame, batch_id: int) -> dict[str, int]:
         """Land one batch and return the numbers of accepted and rejected messages."""
         counts = Observation()
-        observed = with_error_text(checked).observe(
-            counts,
-            F.count_if(F.col(IS_VALID)).alias(ACCEPTED),
-            F.count_if(~F.col(IS_VALID)).alias(REJECTED),
-        )
+        measures = [F.count_if(F.col(IS_VALID)).alias(ACCEPTED), F.count_if(~F.col(IS_VALID)).alias(REJECTED)]
+        if self.summarize:
+            measures += self._measures()
+        observed = with_error_text(checked).observe(counts, *measures)
         kept = observed if self.quarantine else valid_rows(observed)
         route = F.when(F.col(IS_VALID), ACCEPTED).otherwise(REJECTED).alias(ROUTE)
         shaped = kept.select(*(self._stored(kept, field) for field in self._fields()), route)
         writer = shaped.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(ROUTE).parquet(f"{self.path}/{RUN}={self.run}/{BATCH}={batch_id}")
-        return counts.get
+        found = counts.get
+        if self.summarize:
+            row = self.spark.createDataFrame([tuple(found[name] for name in SUMMARY.names)], SUMMARY).coalesce(1)
+            row.write.mode("overwrite").parquet(f"{self._summaries}/{RUN}={self.run}/{BATCH}={batch_id}")
+        return {name: found[name] for name in (ACCEPTED, REJECTED)}
+
+    def summary(self) -> DataFrame:
+        """Read one row for each run that was summarized: what its batches observed, each batch once."""
+        kept = StructType([*SUMMARY.fields, StructField(RUN, StringType()), StructField(BATCH, LongType())])
+        batches = self.spark.read.schema(kept).option("basePath", self._summaries).parquet(self._summaries)
+        return batches.groupBy(RUN).agg(
+            F.count("*").alias("batch_count"),
+            F.sum(ACCEPTED).alias("accepted_count"),
+            F.sum(REJECTED).alias("rejected_count"),
+            F.sum("revenue").cast(DECIMAL.money_type).alias("revenue"),
+            F.min("first_offset").alias("first_offset"),
+            F.max("last_offset").alias("last_offset"),
+        )
+
+    @property
+    def _summaries(self) -> str:
+        return f"{self.path.rstrip('/')}-summary"
+
+    def _measures(self) -> list[Column]:
+        """What a summary holds beside the counts, observed in the pass that writes the batch."""
+        accepted = F.col(IS_VALID)
+        offset = F.when(accepted, F.col("_kafka_offset").cast("long"))
+        return [
+            F.sum(F.when(accepted, F.col("total").cast(DECIMAL.money_type))).cast(DECIMAL.money_type).alias("revenue"),
+            F.min(offset).alias("first_offset"),
+            F.max(offset).alias("last_offset"),
+        ]
 
     def accepted(self) -> DataFrame:
         """Read the accepted table."""
