@@ -126,6 +126,7 @@ def test_a_source_with_much_junk_loses_it(spark, share):
     rows += [(400 + i, code(), "en", "code") for i in range(100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     kept = {r["doc_id"] for r in corpus_pipeline.keep_quality(spark, docs, "").select("doc_id").collect()}
+    assert {r["doc_id"] for r in quality.judge(docs).where("kept").collect()} == kept  # the query's rule is the pipeline's
     assert kept == set(range(2 * share, 500))
 
 

@@ -33,19 +33,40 @@ long AS (
 floored AS (SELECT lang, source, measure, CASE WHEN v < 64 THEN v ELSE (v >> s) << s END AS v FROM long),
 spread(measure, least_spread) AS (VALUES ('symbol_rate', 25), ('dup_line_rate', 10), ('repeat_rate', 25), ('word_length', 50)),
 by_group AS (
-  SELECT lang, source, measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM floored GROUP BY ALL),
-by_lang AS (SELECT lang, measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM floored GROUP BY ALL),
-by_all AS (SELECT measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM floored GROUP BY ALL),
-quartiles AS (
-  SELECT g.lang, g.source, a.measure,
-         CASE WHEN b.n >= 100 THEN b.q1 WHEN l.n >= 100 THEN l.q1 ELSE a.q1 END AS q1,
-         CASE WHEN b.n >= 100 THEN b.q3 WHEN l.n >= 100 THEN l.q3 ELSE a.q3 END AS q3
+  SELECT *, greatest(q1, q2 - s) - 6 * s AS low, least(q3, q2 + s) + 6 * s AS high
+  FROM (
+    SELECT q.*, greatest(2 * least(q2 - q1, q3 - q2), least_spread) AS s
+    FROM (
+      SELECT lang, source, measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2, quantile_disc(v, 0.75) AS q3
+      FROM floored GROUP BY ALL) q
+    JOIN spread ON spread.measure = q.measure)),
+by_lang AS (
+  SELECT *, greatest(q1, q2 - s) - 6 * s AS low, least(q3, q2 + s) + 6 * s AS high
+  FROM (
+    SELECT q.*, greatest(2 * least(q2 - q1, q3 - q2), least_spread) AS s
+    FROM (
+      SELECT lang, measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2, quantile_disc(v, 0.75) AS q3
+      FROM floored GROUP BY ALL) q
+    JOIN spread ON spread.measure = q.measure)),
+by_all AS (
+  SELECT *, greatest(q1, q2 - s) - 6 * s AS low, least(q3, q2 + s) + 6 * s AS high
+  FROM (
+    SELECT q.*, greatest(2 * least(q2 - q1, q3 - q2), least_spread) AS s
+    FROM (
+      SELECT measure, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2, quantile_disc(v, 0.75) AS q3
+      FROM floored GROUP BY ALL) q
+    JOIN spread ON spread.measure = q.measure)),
+chosen AS (
+  SELECT g.lang, g.source, a.measure, l.n AS lang_n, l.high AS lang_high, a.high AS all_high,
+         CASE WHEN b.n >= 100 THEN b.low WHEN l.n >= 100 THEN l.low ELSE a.low END AS low,
+         CASE WHEN b.n >= 100 THEN b.high WHEN l.n >= 100 THEN l.high ELSE a.high END AS high
   FROM (SELECT DISTINCT lang, source FROM documents) g CROSS JOIN by_all a
   LEFT JOIN by_lang l ON l.lang IS NOT DISTINCT FROM g.lang AND l.measure = a.measure
   LEFT JOIN by_group b ON b.lang IS NOT DISTINCT FROM g.lang AND b.source IS NOT DISTINCT FROM g.source AND b.measure = a.measure),
 fences AS (
-  SELECT lang, source, q.measure, q1 - 6 * greatest(q3 - q1, least_spread) AS low, q3 + 6 * greatest(q3 - q1, least_spread) AS high
-  FROM quartiles q JOIN spread ON spread.measure = q.measure),
+  SELECT lang, source, measure, low,
+         CASE WHEN measure = 'word_length' THEN high ELSE least(high, CASE WHEN lang_n >= 100 THEN 4 * lang_high END, 4 * all_high) END AS high
+  FROM chosen),
 wide AS (
   SELECT lang, source, max(high) FILTER (measure = 'symbol_rate') AS symbols, max(high) FILTER (measure = 'dup_line_rate') AS dups,
          max(high) FILTER (measure = 'repeat_rate') AS repeated, max(high) FILTER (measure = 'word_length') AS longest,

@@ -26,7 +26,7 @@ WINDOW_WORDS = 5
 SMALL_GROUP = 100
 #: A fence lies this many interquartile ranges outside the quartiles.
 FENCE = 6
-#: With ``robust``, a group's upper fence for a rate is at most so many times its language's and that of all documents.
+#: A group's upper fence for a rate is at most so many times its language's and that of all documents.
 LOOSEST = 4
 #: Up to this many groups the table of thresholds is broadcast; its rows have a fixed size.
 BROADCAST_GROUPS = 50_000
@@ -129,13 +129,13 @@ def bucket_value(number: Column) -> Column:
     return F.when(number < 64, number).otherwise(F.call_function("shiftleft", number - 32 * shift, shift))
 
 
-def thresholds(measured: DataFrame, robust: bool = False) -> DataFrame:
+def thresholds(measured: DataFrame) -> DataFrame:
     """Fences for each (lang, source): one row a group, with ``<measure>_low`` and ``<measure>_high``.
 
     ``measured`` has lang, source, the base counts and ``base_failed``; documents that failed the base rules
     don't shape the fences, but their groups get fences too.
 
-    With ``robust`` a group's own junk does not widen its fences: the spread is twice the smaller distance of a quartile
+    A group's own junk does not widen its fences: the spread is twice the smaller distance of a quartile
     from the median, quartiles count as at most one spread from it, and the levels of the sketch bound the rates' fences.
     """
     named = rates(F.col("n_words"))
@@ -158,15 +158,12 @@ def thresholds(measured: DataFrame, robust: bool = False) -> DataFrame:
             F.max("all").alias("size"),
             F.min(F.when(4 * F.col("upto") >= F.col("all"), value)).alias("q1"),
             F.min(F.when(4 * F.col("upto") >= 3 * F.col("all"), value)).alias("q3"),
-            *([F.min(F.when(2 * F.col("upto") >= F.col("all"), value)).alias("q2")] if robust else []),
+            F.min(F.when(2 * F.col("upto") >= F.col("all"), value)).alias("q2"),
         )
         least = F.create_map(*[F.lit(x) for name, (spread, _) in MEASURES.items() for x in (name, spread)])
-        q1, q3 = F.col("q1"), F.col("q3")
-        spread = F.greatest(q3 - q1, least[F.col("measure")])
-        if robust:
-            q2 = F.col("q2")
-            spread = F.greatest(2 * F.least(q2 - q1, q3 - q2), least[F.col("measure")])
-            q1, q3 = F.greatest(q1, q2 - spread), F.least(q3, q2 + spread)
+        q1, q2, q3 = F.col("q1"), F.col("q2"), F.col("q3")
+        spread = F.greatest(2 * F.least(q2 - q1, q3 - q2), least[F.col("measure")])
+        q1, q3 = F.greatest(q1, q2 - spread), F.least(q3, q2 + spread)
         return quartiles.groupBy(*[F.col(k).alias(f"{level}_{k}") for k in keys]).agg(
             F.max("size").alias(f"{level}_size"),
             *[
@@ -194,7 +191,7 @@ def thresholds(measured: DataFrame, robust: bool = False) -> DataFrame:
     )
     def bounded(name: str, side: str) -> Column:
         what = f"{name}_{side}"
-        if not robust or side == "low" or MEASURES[name][1]:
+        if side == "low" or MEASURES[name][1]:
             return chosen(what)
         of_lang = F.when(F.col("lang_size") >= SMALL_GROUP, LOOSEST * F.col(f"lang_{what}"))
         return F.least(chosen(what), of_lang, LOOSEST * F.lit(overall[f"all_{what}"]).cast("long"))
@@ -206,9 +203,9 @@ def thresholds(measured: DataFrame, robust: bool = False) -> DataFrame:
     )
 
 
-def verdicts(measured: DataFrame, robust: bool = False) -> DataFrame:
+def verdicts(measured: DataFrame) -> DataFrame:
     """Add ``failed_rule`` and ``kept`` by joining each document with the fences of its group."""
-    fences = keep(thresholds(measured, robust), "quality-fences")
+    fences = keep(thresholds(measured), "quality-fences")
     if fences.count() <= BROADCAST_GROUPS:
         fences = F.broadcast(fences)
     joined = measured.join(
@@ -235,11 +232,11 @@ def judge(docs: DataFrame) -> DataFrame:
     return verdicts(keep(measured.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(carried)}), "quality"))
 
 
-def filter_quality(docs: DataFrame, robust: bool = False) -> DataFrame:
-    """The documents that the rules keep, with all their columns; ``robust`` is that of ``thresholds``."""
+def filter_quality(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
     names = docs.columns
     carried = [F.struct(*[F.col(f"`{c}`") for c in names]), F.col("lang"), F.col("source")]
     measured = measure(docs, carried).withColumnsRenamed({"_c0": "doc", "_c1": "lang", "_c2": "source"})
     # Written before any filter: a filter would be pushed below the counts and repeat their expressions.
-    kept = verdicts(keep(measured, "quality"), robust).where("kept")
+    kept = verdicts(keep(measured, "quality")).where("kept")
     return kept.select(*[F.col("doc")[c].alias(c) for c in names])
