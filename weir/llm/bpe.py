@@ -70,6 +70,9 @@ class Vocabulary:
         self.letters = dict(enumerate(byte_letters()))
         split = loaded["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.word = regex.compile(split)
+        self.definition, self.split = definition, split
+        self._familiar: set[str] = set()
+        self._library: tuple | None = None
         self.special = regex.compile("|".join(map(regex.escape, self.added)) or r"(?!)")
         # rank of a merge by its two tokens, and the merge that made a token
         self.ranks: dict[tuple[int, int], int] = {}
@@ -97,6 +100,8 @@ class Vocabulary:
 
     def _plain(self, text: str) -> Iterator[str]:
         if not text.isascii():
+            if self._young(text):
+                return self._by_library(text)
             # Lower case goes by characters, without regard to where in a word a sigma stands.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
@@ -104,6 +109,34 @@ class Vocabulary:
             return iter(self.word.findall(text))
         return (m.group() for m in self.word.finditer(text))
 
+    def _young(self, text: str) -> bool:
+        """Whether a text has a character that is not assigned in this Python's Unicode tables."""
+        new = set(text).difference(self._familiar)
+        if any(unicodedata.category(letter) == "Cn" for letter in new):
+            return True
+        self._familiar |= new
+        return False
+
+    def _by_library(self, text: str) -> Iterator[str]:
+        """The words of a text with young characters.
+
+        Python, its ``regex`` module and the tokenizers library each have tables of another Unicode version, which agree
+        on what is assigned in the oldest, Python's. So a stretch between spaces that has a young character is
+        normalized and split by the library itself; a space ends every word and composes with nothing.
+        """
+        if self._library is None:
+            from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+            normalizer = Tokenizer.from_str(self.definition).normalizer
+            self._library = normalizer, pre_tokenizers.Split(Regex(self.split), "removed", invert=True)
+        normalizer, splitter = self._library
+        for stretch in text.split(" "):
+            if self._young(stretch):
+                for word, _ in splitter.pre_tokenize_str(normalizer.normalize_str(stretch)):
+                    yield word
+            else:
+                yield from self._plain(stretch)
+
     def symbols(self, word: str) -> str:
         """A letter for each byte of a word."""
         if word.isascii() and word.isprintable():

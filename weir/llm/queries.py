@@ -28,6 +28,8 @@ from weir.llm.common import keep, read_table
 #: SimHash near-duplicates: words in a shingle and the largest number of differing bits.
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
 SHARDS = 16
+#: Context limits that are answered whether or not a document has that length.
+CONTEXT_LIMITS = [1 << n for n in range(7, 18)]
 #: Tokenizer files; small, and sent to the executors with the code that uses them.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,10 +67,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The histogram of encoded lengths with what holds at each length as the context limit."""
+    """The histogram of encoded lengths with what holds at each length, and at usual limits, as the context limit."""
     texts = read_table(spark, sf_dir, "documents").select("text")
     lengths = token_counts.token_lengths(texts, token_counts.read_ranks(BYTE_BPE), public_tokenizers.PATTERN)
-    return token_counts.context_table(keep(token_counts.histogram(lengths), "token-histogram"))
+    return token_counts.context_table(keep(token_counts.histogram(lengths), "token-histogram"), CONTEXT_LIMITS)
 
 
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:

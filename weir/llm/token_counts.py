@@ -2,16 +2,18 @@
 
 Each document is encoded once; what is shuffled is a row for each length and task. Suffix sums over the
 histogram then answer, for every context limit, how many documents and tokens lie beyond it, how many tokens
-remain when longer documents are cut at it, and at which quantile of the documents it lies.
+remain when longer documents are cut at it, and at which quantile of the documents it lies. A limit that no document
+has as its length joins the histogram as a length of no documents; ``quantile_lengths`` asks the other way round.
 
 Defined cases: a NULL or empty text has length 0; repeated rows count as often as they occur; an empty table
-gives an empty histogram; columns other than ``text`` are ignored or passed on.
+gives an empty histogram, zeros at the limits asked for, no quantile, and NULL as the length at a share; a text of any
+length is encoded as a whole; columns other than ``text`` are ignored or passed on.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,12 +53,16 @@ def histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
     return lengths.groupBy(F.col(column).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def context_table(counts: DataFrame, block: int = LENGTH_BLOCK) -> DataFrame:
-    """For each length of the histogram, taken as the context limit:
+def context_table(counts: DataFrame, limits: Sequence[int] = (), block: int = LENGTH_BLOCK) -> DataFrame:
+    """For each length of the histogram and each of ``limits``, taken as the context limit:
 
     docs_over and tokens_over (documents beyond the limit), docs_within and tokens_within, cut_total (tokens left
     when every document is cut at the limit) and quantile (share of the documents within it).
     """
+    if limits:
+        asked = F.explode(F.array(*(F.lit(n).cast("long") for n in sorted(set(limits)))))
+        rows = counts.sparkSession.range(1).select(asked.alias("n_tokens"), F.lit(0).cast("long").alias("n_docs"))
+        counts = counts.unionByName(rows).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
     blocked = counts.select(
         "n_tokens",
         "n_docs",
@@ -77,5 +83,15 @@ def context_table(counts: DataFrame, block: int = LENGTH_BLOCK) -> DataFrame:
         (docs - F.col("docs_over")).alias("docs_within"),
         (total - F.col("tokens_over")).alias("tokens_within"),
         (total - F.col("tokens_over") + F.col("n_tokens") * F.col("docs_over")).alias("cut_total"),
-        ((docs - F.col("docs_over")) / docs).alias("quantile"),
+        F.when(docs > 0, (docs - F.col("docs_over")) / F.nullif(docs, F.lit(0))).alias("quantile"),
     )
+
+
+def quantile_lengths(table: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """share and n_tokens: the least length that holds at least that share of the documents.
+
+    ``table`` is a ``context_table``, read once for all shares; a share of 0 gives the shortest document.
+    """
+    lengths = table.where(F.col("n_docs") > 0)
+    least = [F.struct(F.lit(float(s)).alias("share"), F.min(F.when(F.col("quantile") >= F.lit(float(s)), F.col("n_tokens"))).alias("n_tokens")) for s in shares]
+    return lengths.agg(F.array(*least).alias("asked")).select(F.inline("asked"))
