@@ -178,6 +178,23 @@ def test_passages_of_over_50_words_go(spark):
     assert {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()} == expected
 
 
+def test_short_words_make_short_passages(spark):
+    """51 words of one letter have 101 bytes; runs without a repeated passage of 51 words stay, whatever joins in them."""
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    tiny = " ".join(rng.choice("abcdefgh") for _ in range(51))
+    brief = words_of(rng, 70, 2)[:200].rsplit(" ", 1)[0]
+    chain = words_of(rng, 64, 4).split(" ")  # its first and last 45 words are elsewhere, but no 51 of them
+    parts = {0: tiny, 1: tiny, 2: brief, 3: brief, 4: " ".join(chain), 5: " ".join(chain[:45]), 6: " ".join(chain[19:])}
+    rows = [(i, f"{words_of(rng, 40, 5)} {chr(65 + i)} {part} {chr(65 + i)} {words_of(rng, 40, 5)}") for i, part in parts.items()]
+    rows += [rows[6], rows[6]]  # rows that repeat as a whole lose all
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.cut_repeats(spark, docs, "").collect())
+    expected = [(i, text.replace(f" {parts[i]} ", "") if i < 4 else text) for i, text in rows[:6]] + [(6, "")] * 3
+    assert found == expected
+
+
 def test_shorter_strings(spark, tricky):
     """The removal is exact for other lengths too."""
     docs = spark.read.parquet(f"{tricky}/documents.parquet")

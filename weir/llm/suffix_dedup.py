@@ -30,6 +30,7 @@ was cut in the midst of a character keeps only whole characters; one that loses
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,8 @@ LARGEST_GROUP = 8_000
 WINDOWS_AT_ONCE = 1 << 15
 PLACE_BITS = np.uint64(16)
 
+#: A word, as bytes.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
@@ -226,7 +229,7 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _table(columns: dict[str, list], schema: T.StructType) -> pa.RecordBatch:
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
     arrays = [pa.array(columns[f.name], kinds[f.dataType.simpleString()]) for f in schema.fields]
     return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
@@ -237,6 +240,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _L, _I, _B = T.LongType(), T.IntegerType(), T.BinaryType()
 _STRETCHES = _struct(d1=_L, d2=_L, key=_L, own=_L, first=_I, windows=_I, moves=T.BooleanType())
+_PASSAGES = _struct(d1=_L, d2=_L, start=_I, end=_I, passages=T.ArrayType(_L))
 _ITEMS = _struct(a=_L, b=_L, key=_L, n=_L, data=_B)
 _BLOCKS = _struct(c=_L, e=_L, a=_L, b=_L, key=_L, n=_L, windows=_I, before=_I, firsts=T.ArrayType(_I))
 _FOUND = _struct(a=_L, b=_L, first=_I, last=_I)
@@ -407,22 +411,58 @@ def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _whole_words(data: bytes, start: int, end: int) -> int:
-    """The words of data[start:end] that no end of it cuts."""
-    count = len(data[start:end].split())
-    cut = [data[at - 1 : at + 1] for at in (start, end) if 0 < at < len(data)]
-    return count - sum(not pair[:1].isspace() and not pair[1:].isspace() for pair in cut)
+def _whole_words(data: bytes, start: int, end: int) -> list[tuple[int, int]]:
+    """The places of the words of data[start:end] that no end of it cuts."""
+    cut_first = start > 0 and not data[start - 1 : start].isspace()
+    cut_last = end < len(data) and not data[end : end + 1].isspace()
+    places = [m.span() for m in _WORD.finditer(data, start, end)]
+    return [(a, b) for a, b in places if not (cut_first and a == start) and not (cut_last and b == end)]
 
 
-def _long_runs(data: bytes, spans: list[dict], length: int, least_words: int) -> list[dict]:
-    """The runs of repeated windows that have ``least_words`` whole words or ``LENGTH`` bytes."""
+def _long_runs(data: bytes, spans: list[dict], length: int, least_words: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(start, end, passages) of the runs of repeated windows that have ``least_words`` whole words or ``LENGTH`` bytes.
+
+    The passages are the hashes of each ``least_words`` words in a row, with what is between.
+    """
     runs: list[dict] = []
     for s in spans:
         if runs and s["start"] <= runs[-1]["end"] - length + 1:  # its first window is the next one
             runs[-1]["end"] = max(runs[-1]["end"], s["end"])
         else:
             runs.append(dict(s))
-    return [s for s in runs if s["end"] - s["start"] >= LENGTH or _whole_words(data, s["start"], s["end"]) >= least_words]
+    for start, end in ((s["start"], s["end"]) for s in runs):
+        words = _whole_words(data, start, end)
+        passages = [_signed(data[a[0] : b[1]]) for a, b in zip(words, words[least_words - 1 :], strict=False)]
+        if passages or end - start >= LENGTH:
+            yield start, end, passages
+
+
+def _passage_spans(docs: DataFrame, length: int, least_words: int) -> DataFrame:
+    """d1, d2 and spans: runs of repeated strings of ``length`` bytes that have ``LENGTH`` bytes or a repeated passage of words.
+
+    Short strings that repeat in different places can join into a run of which no passage of ``least_words`` words
+    repeats as a whole. So the passages of a run are counted by their hashes. Those that occur once come out of the
+    count with their run, which stays if it has more passages than these; a passage that occurs often is one row
+    of a task after the first combination, and is joined with nothing.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {name: [] for name in _PASSAGES.names}
+            for d1, d2, text, spans in zip(*(batch.column(c) for c in ("d1", "d2", "text", "spans")), strict=True):
+                for run in _long_runs(text.as_py().encode(), spans.as_py(), length, least_words):
+                    for values, value in zip(out.values(), (d1.as_py(), d2.as_py(), *run), strict=True):
+                        values.append(value)
+            yield _table(out, _PASSAGES)
+
+    texts = docs.select(*document_keys(), "text").join(repeated_spans(docs, length), ["d1", "d2"])
+    found = keep(texts.mapInArrow(cut, _PASSAGES).withColumn("run", F.xxhash64("d1", "d2", "start")), "repeats-passages")
+    passages = found.select("run", F.explode("passages").alias("passage"))
+    once = passages.groupBy("passage").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("run")).where("n = 1")
+    unique = once.groupBy("run").agg(F.count(F.lit(1)).alias("unique"))
+    repeats = F.coalesce("unique", F.lit(0)) < F.size("passages")
+    stays = found.join(unique, "run", "left").where(repeats | (F.col("end") - F.col("start") >= LENGTH))
+    return stays.groupBy("d1", "d2").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
 def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -431,10 +471,10 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_spans(docs: DataFrame, carried: Column, length: int = LENGTH) -> DataFrame:
+def _with_spans(docs: DataFrame, carried: Column, spans: DataFrame) -> DataFrame:
     """carried, text and spans of each document."""
     rows = docs.select(*document_keys(), carried.alias("carried"), "text")
-    return rows.join(repeated_spans(docs, length), ["d1", "d2"], "left").select("carried", "text", "spans")
+    return rows.join(spans, ["d1", "d2"], "left").select("carried", "text", "spans")
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
@@ -453,25 +493,26 @@ def removal_digests(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("carried").cast(pa.int64()), *arrays], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return _with_spans(docs, F.col("doc_id")).mapInArrow(run, schema)
+    return _with_spans(docs, F.col("doc_id"), repeated_spans(docs)).mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, least_words: int = 0) -> DataFrame:
     """The documents with repeated strings removed from ``text``; all columns and rows stay.
 
-    With ``least_words`` a run of repeated windows goes only if it has so many whole words, or ``LENGTH`` bytes.
+    With ``least_words`` a run of repeated strings goes only if it has a passage of so many whole words that repeats
+    itself, or ``LENGTH`` bytes.
     """
     others = [c for c in docs.columns if c != "text"]
-    spanned = _with_spans(docs, F.struct(*[F.col(f"`{c}`") for c in others]), length)
+    spans = _passage_spans(docs, length, least_words) if least_words else repeated_spans(docs, length)
+    spanned = _with_spans(docs, F.struct(*[F.col(f"`{c}`") for c in others]), spans)
     schema = T.StructType(spanned.schema.fields[:2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-                data, found = (text.as_py() or "").encode(), spans.as_py()
-                joined = _merged(_long_runs(data, found, length, least_words) if found and least_words else found)
-                texts.append(_kept(data, joined).decode("utf-8", "ignore") if joined else text.as_py())
+            for text, found in zip(batch.column("text"), batch.column("spans"), strict=True):
+                joined = _merged(found.as_py())
+                texts.append(_kept(text.as_py().encode(), joined).decode("utf-8", "ignore") if joined else text.as_py())
             yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(texts, pa.string())], names=schema.names)
 
     kept = spanned.mapInArrow(run, schema)
