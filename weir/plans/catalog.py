@@ -36,6 +36,8 @@ from weir.streaming import events, keyed, runs
 
 # Fixed value: the prefix that the bounded queries take, which is their feature.
 MAX_MESSAGES = 1000
+# Partitions of a topic that is published to.
+TOPIC_PARTITIONS = 3
 # Batches of the streams.
 STREAM_FILES = 4
 
@@ -287,6 +289,12 @@ def keyed_partition_order(g: Given) -> DataFrame:
     return laid_out.select("region_id", PARTITION, OFFSET, "order_id")
 
 
+@query
+def keyed_publish_order(g: Given) -> DataFrame:
+    placed = topics.place(validate.valid_rows(g.checked_sales()), "region_id", TOPIC_PARTITIONS)
+    return placed.select("region_id", topics.BROKER_PARTITION, topics.BROKER_OFFSET, "order_id")
+
+
 @query
 def csv_append_sink(g: Given) -> DataFrame:
     path = g.folder("consumed")

@@ -26,6 +26,13 @@ def _missing(fields: tuple[str, ...], alias: str = "m") -> str:
     return f"concat_ws('; ', {', '.join(cases)})"
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, by its bits."""
+    codes = f"list_transform(string_split({text}, ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    byte = "list_reduce(list_prepend(xor(c, d), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, d: {byte}))"
+
+
 def _invalid(field: str, condition: str) -> str:
     return f"CASE WHEN {condition} THEN 'Invalid {field}: ''' || {field} || '''' END"
 
@@ -314,6 +321,11 @@ ORACLE: dict[str, str] = {
     "keyed_partition_order": sales(
         "SELECT region_id, _kafka_partition, _kafka_offset, order_id FROM chk WHERE validation_errors = ''"
     ),
+    "keyed_publish_order": sales(
+        "SELECT region_id, broker_partition, CAST(row_number() OVER (PARTITION BY broker_partition ORDER BY _kafka_partition, _kafka_offset) "
+        "- 1 AS BIGINT) AS broker_offset, order_id "
+        f"FROM (SELECT *, CAST({_crc32('region_id')} % 3 AS INTEGER) AS broker_partition FROM chk WHERE validation_errors = '')"
+    ),
     "csv_append_sink": sales(
         f"SELECT {_columns(SALES_REQUIRED)}, {_text_amounts('subtotal', 'tax_amount', 'total')}, _kafka_key, "
         f"{_text_amounts('_kafka_partition', '_kafka_offset')} FROM acc"

@@ -6,16 +6,17 @@ the same columns can stand in for a topic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StringType, StructField, StructType
 
 from weir.functions.text import or_empty
 from weir.operators.contract import Contract, require_fields
-from weir.operators.running import OFFSET, PARTITION
+from weir.operators.running import OFFSET, PARTITION, Measure, running
 
 UNDECODED = "undecoded_value"
+BROKER_PARTITION, BROKER_OFFSET = "broker_partition", "broker_offset"
 _BROKEN = "_broken"
 
 
@@ -24,11 +25,40 @@ class EmptyTopic(ValueError):
 
 
 def encode(df: DataFrame, contract: Contract) -> DataFrame:
-    """Return the messages to publish: the key and all message fields as JSON, both as text."""
+    """Return the messages to publish: the key and all message fields as JSON, both as text.
+
+    Messages that were placed also carry their partition, under the name that the connector obeys.
+    """
     require_fields(df, [contract.key], contract.name)
     present = [name for name in contract.fields if name in df.columns]
     value = F.to_json(F.struct(*(or_empty(F.col(name)).alias(name) for name in present)))
-    return df.select(or_empty(F.col(contract.key)).alias("key"), value.alias("value"))
+    placed = [F.col(BROKER_PARTITION).alias("partition")] if BROKER_PARTITION in df.columns else []
+    return df.select(or_empty(F.col(contract.key)).alias("key"), value.alias("value"), *placed)
+
+
+def broker_partition(key: Column, partitions: int, without_key: Column) -> Column:
+    """The partition in which a client of the broker puts a key: the CRC-32 of its bytes, modulo the partitions.
+
+    A client deals messages without a key at random; here the CRC-32 of ``without_key`` decides, so that a retry agrees.
+    """
+    text = or_empty(key)
+    return F.pmod(F.crc32(F.when(text == "", without_key.cast("string")).otherwise(text)), F.lit(partitions)).cast("int")
+
+
+def place(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Add the broker's partition of each message and its offset there, in the order (partition, offset) of the source.
+
+    Offsets are gapless from 0, so each key's messages keep their order in the one partition that the key has. They
+    come from two-level running counts and the rows are laid out by ranges of their place: a partition that holds most
+    of the messages spans several tasks. A frame that is empty stays so; source places must be unique.
+    """
+    require_fields(df, [key, PARTITION, OFFSET])
+    source = F.concat_ws(":", F.col(PARTITION).cast("string"), F.col(OFFSET).cast("string"))
+    dealt = df.withColumn(BROKER_PARTITION, broker_partition(F.col(key), partitions, source))
+    counted = running(dealt, {BROKER_OFFSET: Measure("count", F.lit(True))}, [BROKER_PARTITION])
+    placed = counted.withColumn(BROKER_OFFSET, F.col(BROKER_OFFSET) - 1)
+    ends = [BROKER_PARTITION, BROKER_OFFSET]
+    return placed.repartitionByRange(*ends).sortWithinPartitions(*ends)
 
 
 def decode(records: DataFrame, contract: Contract) -> DataFrame:
