@@ -71,14 +71,26 @@ def test_young_characters_encode_as_in_the_library(vocabulary, library):
 
 
 def test_blocks_of_words_join(spark, monkeypatch):
-    monkeypatch.setattr(bpe, "FLUSH_WORDS", 3)
-    monkeypatch.setattr(bpe, "KNOWN_WORDS", 5)
-    known = bpe._Known(bpe.Vocabulary(bpe.read_definition(WORD_BPE)), list)
-    texts = ["one two three four five six seven", None, "", "a b c", "d"]
+    for name, value in {"FLUSH_PARTS": 3, "KNOWN_PARTS": 5, "KNOWN_WORDS": 2, "LONG_PART": 4}.items():
+        monkeypatch.setattr(bpe, name, value)
+    known = bpe._Known(bpe.Vocabulary(bpe.read_definition(WORD_BPE)), digits=False, names=True)
+    texts = ["one two three four five six seven", None, "", "a b c", "d", " it's\n\n(so-called)  x\t<|endoftext|>y ", "\t \n", "Ünü <|endoftext|>"]
     out = [[] for _ in texts]
     for number, _, found in bpe._in_blocks(texts, known):
-        out[number] += [i for ids in found for i in ids]
-    assert out == [plain_ids(known.vocabulary, t or "") for t in texts]
+        out[number] += [i for ids, _, _ in found for i in ids]
+    library = Tokenizer.from_file(WORD_BPE)
+    assert out == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_long_texts_encode_as_in_the_library(spark, library):
+    """Texts beyond ``LONG_TEXT`` and ``FLUSH_PARTS``, with and without spaces."""
+    texts = ["Déjà vu, " * 150_000, "x1-" * 400_000, "word\n" * 600_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in bpe.encode_digests(docs, bpe.read_definition(WORD_BPE)).collect()}
+    for number, text in enumerate(texts):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert rows[number]["n_tokens"] == len(ids)
+        assert rows[number]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
 def test_op7(query, tricky, empty, library):

@@ -1,15 +1,17 @@
 """BPE encoding and decoding by a trie of distinct words.
 
-The text is normalized and split into words; the distinct words of many documents are put in order, which is
-their trie of symbols in preorder, and one depth-first walk gives each node its last token, that is, the token that
-ends the encoding of the prefix that the node stands for. That token is the only suffix token that forms a lawful pair with the
-last token before it, so each prefix that words share is encoded once. A word's tokens are read by
-walking back from its node: last token, the node before that token, and so on.
+The text is normalized and cut at spaces and line breaks, which end every word; only what is new among the parts of many
+documents is split into words. Their distinct words are put in order, which is their trie of symbols in preorder, and one
+depth-first walk gives each node its last token, that is, the token that ends the encoding of the prefix that the node
+stands for. That token is the only suffix token that forms a lawful pair with the last token before it, so each prefix
+that words share is encoded once. A word's tokens are read by walking back from its node: last token, the node before
+that token, and so on.
 
 A pair of tokens is lawful if merging their symbols in order of rank leaves the border between them alone.
 
-Documents are independent, so Spark deals them and nothing is shuffled. Memory is bounded: words gather up to
-``FLUSH_WORDS``, then they are encoded and the documents' digests move on, also in the midst of a long text.
+Documents are independent, so Spark deals them and nothing is shuffled. Memory is bounded: parts gather up to
+``FLUSH_PARTS``, then they are encoded and the documents' digests move on, also in the midst of a long text. A part of
+over ``LONG_PART`` characters counts as its words.
 
 Defined cases: a NULL text is empty, an empty text has no tokens; the strings of added tokens in a text are
 those tokens; repeated rows give repeated results; an empty table gives an empty result; columns other
@@ -21,7 +23,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -31,9 +34,13 @@ from pyspark.sql import types as T
 
 from weir.llm.common import small_batches
 
-#: Words that are gathered before they are encoded, and words whose encodings a task remembers.
-FLUSH_WORDS = 500_000
+#: Parts that are gathered before they are encoded, and parts and words whose encodings are remembered. Beyond that
+#: only those that occur among the gathered ones are.
+FLUSH_PARTS = 500_000
+KNOWN_PARTS = 400_000
 KNOWN_WORDS = 300_000
+#: Parts of more characters are not remembered as a whole.
+LONG_PART = 64
 #: Pairs of tokens whose lawfulness a task remembers.
 KNOWN_PAIRS = 500_000
 #: Bytes of text, or documents, whose tokens are in memory at a time.
@@ -42,6 +49,7 @@ DECODED_ROWS = 500
 #: Texts from this many characters on are split lazily.
 LONG_TEXT = 1 << 20
 END = "</w>"
+_PART = regex.compile(r"[^ \n]+")
 
 
 def read_definition(path: str) -> str:
@@ -85,20 +93,24 @@ class Vocabulary:
         self._lawful: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
         self._endings: tuple | None = None
+        self._encoded: dict[str, list[int]] = {}
 
-    def words(self, text: str) -> Iterator[str | int]:
-        """The words of a text, or ids for the strings of added tokens."""
+    def parts(self, text: str) -> Iterator[str | tuple[str | int]]:
+        """What stands between the spaces and line breaks of the normalized text.
+
+        What is long there, or has characters that Python does not know, comes as its words, each as a tuple, and the
+        strings of added tokens as their ids.
+        """
         at = 0
         if not any(name in text for name in self.added):
-            yield from self._plain(text)
-            return
+            return self._plain(text)
+        pieces: list[Iterator] = []
         for found in self.special.finditer(text):
-            yield from self._plain(text[at : found.start()])
-            yield self.added[found.group()]
+            pieces += self._plain(text[at : found.start()]), iter([(self.added[found.group()],)])
             at = found.end()
-        yield from self._plain(text[at:])
+        return chain(*pieces, self._plain(text[at:]))
 
-    def _plain(self, text: str) -> Iterator[str]:
+    def _plain(self, text: str) -> Iterator[str | tuple[str]]:
         if not text.isascii():
             if self._young(text):
                 return self._by_library(text)
@@ -106,8 +118,27 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         if len(text) < LONG_TEXT:
-            return iter(self.word.findall(text))
-        return (m.group() for m in self.word.finditer(text))
+            parts = text.replace("\n", " ").split(" ")
+            return iter(parts) if max(map(len, parts)) <= LONG_PART else self._short(parts)
+        return self._short(m.group() for m in _PART.finditer(text))
+
+    def _short(self, parts: Iterable[str]) -> Iterator[str | tuple[str]]:
+        for part in parts:
+            if len(part) <= LONG_PART:
+                yield part
+            else:
+                for found in self.word.finditer(part):
+                    yield (found.group(),)
+
+    def part_words(self, part: str | tuple[str | int]) -> Sequence[str | int]:
+        """The words of a part; letters alone are one."""
+        if isinstance(part, tuple):
+            return part
+        return (part,) if part.isalpha() else self.word.findall(part)
+
+    def words(self, text: str) -> Iterator[str | int]:
+        """The words of a text, or ids for the strings of added tokens."""
+        return chain.from_iterable(map(self.part_words, self.parts(text)))
 
     def _young(self, text: str) -> bool:
         """Whether a text has a character that is not assigned in this Python's Unicode tables."""
@@ -117,7 +148,7 @@ class Vocabulary:
         self._familiar |= new
         return False
 
-    def _by_library(self, text: str) -> Iterator[str]:
+    def _by_library(self, text: str) -> Iterator[str | tuple[str]]:
         """The words of a text with young characters.
 
         Python, its ``regex`` module and the tokenizers library each have tables of another Unicode version, which agree
@@ -133,7 +164,7 @@ class Vocabulary:
         for stretch in text.split(" "):
             if self._young(stretch):
                 for word, _ in splitter.pre_tokenize_str(normalizer.normalize_str(stretch)):
-                    yield word
+                    yield (word,)
             else:
                 yield from self._plain(stretch)
 
@@ -238,81 +269,110 @@ class Vocabulary:
         (steps, shorter, ends), known = self.endings(), self._lawful
         out: dict[str, list[int]] = {}
         path = ""
-        tokens, lengths, states = [-1], [0], [0]  # of each prefix of the path, that of no letters first
+        # the last token of each prefix of the path with its length, that of no letters first, and the prefix's state
+        lasts, states = [(-1, 0)], [0]
         for letters, word in sorted([(self.symbols(word), word) for word in words]):
             leaf = len(letters) - 1
-            shared, most = 0, min(len(tokens) - 1, leaf)
+            shared, most = 0, min(len(lasts) - 1, leaf)
             while shared < most and letters[shared] == path[shared]:
                 shared += 1
-            del tokens[shared + 1 :], lengths[shared + 1 :], states[shared + 1 :]
-            for depth in range(shared, leaf + 1):
-                letter = letters[depth] if depth < leaf else letters[depth] + END
-                state = states[depth]
+            del lasts[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
+            for depth, letter in enumerate([*letters[shared:leaf], letters[leaf] + END], shared + 1):
                 after = steps[state].get(letter)
                 if after is None:
                     back = shorter[state]
                     while back and letter not in steps[back]:
                         back = shorter[back]
                     after = steps[state][letter] = steps[back].get(letter, 0)
+                state = after
                 # The lawful one among the tokens that end here is the last token.
-                for token, length in ends[after]:
+                for ending in ends[state]:
+                    token, length = ending
                     if length > depth:
                         break
-                    last = tokens[depth + 1 - length]
+                    last = lasts[depth - length][0]
                     fits = known.get(last << 32 | token)
                     if fits or (fits is None and self.lawful(last, token)):
                         break
                 else:
-                    raise ValueError(f"no token ends {letters[: depth + 1]!r}")
-                tokens.append(token)
-                lengths.append(length)
-                states.append(after)
+                    raise ValueError(f"no token ends {letters[:depth]!r}")
+                lasts.append(ending)
+                states.append(state)
             found, depth = [], leaf + 1
             while depth:
-                found.append(tokens[depth])
-                depth -= lengths[depth]
+                token, length = lasts[depth]
+                found.append(token)
+                depth -= length
             out[word] = found[::-1]
-            del tokens[leaf + 1 :], lengths[leaf + 1 :], states[leaf + 1 :]  # the leaf is no prefix of other words
+            del lasts[leaf + 1 :], states[leaf + 1 :]  # the leaf is no prefix of other words
             path = letters
         return out
 
+    def encodings(self, words: set[str]) -> dict[str, list[int]]:
+        """The token ids of these words at least; known ones are not encoded again."""
+        new = words.difference(self._encoded)
+        if len(self._encoded) + len(new) > KNOWN_WORDS:
+            self._encoded = {word: self._encoded[word] for word in words.difference(new)}
+        self._encoded |= self.encode_words(new)
+        return self._encoded
+
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens' names, parted by spaces; unknown ids are left out."""
-        return " ".join(self.names[i] for i in ids if i in self.names)
+        return " ".join([self.names[i] for i in ids if i in self.names])
+
+
+@lru_cache(maxsize=1)
+def shared_vocabulary(definition: str) -> Vocabulary:
+    """One vocabulary for the tasks that a Python worker runs one after the other, with what it remembers."""
+    return Vocabulary(definition)
+
+
+@lru_cache(maxsize=1)
+def _shared_known(definition: str, digits: bool, names: bool) -> _Known:
+    return _Known(shared_vocabulary(definition), digits, names)
 
 
 class _Known:
-    """What a task remembers of words: ``spell`` of their token ids."""
+    """What is remembered of parts, for the tasks of a Python worker: (token ids or their number, the ids as text or "",
+    what they decode to or ""), or None where a part has no word."""
+
+    def __init__(self, vocabulary: Vocabulary, digits: bool, names: bool) -> None:
+        self.vocabulary, self.digits, self.names = vocabulary, digits, names
+        self.held: dict[str | tuple[str | int], tuple | None] = {}
 
-    def __init__(self, vocabulary: Vocabulary, spell: Callable[[list[int]], object]) -> None:
-        self.vocabulary, self.spell, self.held = vocabulary, spell, {}
-        self.fixed = {i: spell([i]) for i in vocabulary.added.values()}
+    def spell(self, ids: list[int]) -> tuple:
+        decoded = self.vocabulary.decode(ids) if self.names else ""
+        return (len(ids), " ".join(map(str, ids)), decoded) if self.digits else (ids, "", decoded)
 
-    def learn(self, words: set) -> None:
-        new = words.difference(self.held)
-        if len(self.held) + len(new) > KNOWN_WORDS:
-            self.held, new = {}, words
-        encoded = self.vocabulary.encode_words(w for w in new if isinstance(w, str))
-        self.held |= {word: self.spell(ids) for word, ids in encoded.items()}
-        self.held |= self.fixed
+    def learn(self, parts: set[str | tuple[str | int]]) -> None:
+        new = parts.difference(self.held)
+        if len(self.held) + len(new) > KNOWN_PARTS:
+            self.held = {part: self.held[part] for part in parts.difference(new)}
+        split = {part: self.vocabulary.part_words(part) for part in new}
+        encoded = self.vocabulary.encodings({w for words in split.values() for w in words if isinstance(w, str)})
+        for part, words in split.items():
+            ids = [i for w in words for i in (encoded[w] if isinstance(w, str) else (w,))]
+            self.held[part] = self.spell(ids) if ids else None
 
 
 def _in_blocks(texts: Iterable[str | None], known: _Known) -> Iterator[tuple[int, bool, list]]:
-    """(number of the text, whether it ends, what is known of its next words) for all texts in turn."""
+    """(number of the text, whether it ends, what is known of its next parts) for all texts in turn."""
     waiting: list[tuple[int, bool, list]] = []
     size = 0
 
     def flush() -> Iterator[tuple[int, bool, list]]:
-        known.learn({w for _, _, found in waiting for w in found})
+        known.learn(set().union(*(found for _, _, found in waiting)))
+        held = known.held
         for number, ends, found in waiting:
-            yield number, ends, [known.held[w] for w in found]
+            yield number, ends, [k for part in found if (k := held[part])]
 
     for number, text in enumerate(texts):
-        left = known.vocabulary.words(text or "")
+        left = known.vocabulary.parts(text or "")
         while True:
-            found = list(islice(left, FLUSH_WORDS - size))
+            found = list(islice(left, FLUSH_PARTS - size))
             size += len(found)
-            ends = size < FLUSH_WORDS
+            ends = size < FLUSH_PARTS
             waiting.append((number, ends, found))
             if not ends:
                 yield from flush()
@@ -329,8 +389,7 @@ def encode_digests(docs: DataFrame, definition: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(definition)
-        known = _Known(vocabulary, lambda ids: (len(ids), " ".join(map(str, ids)), vocabulary.decode(ids)))
+        known = _shared_known(definition, digits=True, names=True)
         for batch in small_batches(batches, "text", BATCH_BYTES):
             counts, ids, names = [], [], []
             count, id_digest, name_digest = 0, hashlib.sha256(), hashlib.sha256()
@@ -362,15 +421,14 @@ def encode(docs: DataFrame, definition: str, out: str = "token_ids", decoded: st
     schema = T.StructType([*docs.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(definition)
-        known = _Known(vocabulary, lambda ids: (ids, vocabulary.decode(ids) if decoded else ""))
+        known = _shared_known(definition, digits=False, names=decoded is not None)
         for batch in small_batches(batches, "text", BATCH_BYTES):
             encoded: list[list[int]] = [[] for _ in range(batch.num_rows)]
             names: list[list[str]] = [[] for _ in range(batch.num_rows)]
             for number, _, found in _in_blocks((x.as_py() for x in batch.column("text")), known):
-                encoded[number].extend(chain.from_iterable(ids for ids, _ in found))
+                encoded[number].extend(chain.from_iterable([f[0] for f in found]))
                 if decoded and found:
-                    names[number].append(" ".join([name for _, name in found]))
+                    names[number].append(" ".join([f[2] for f in found]))
             columns = [*batch.columns, pa.array(encoded, pa.list_(pa.int32()))]
             if decoded:
                 columns.append(pa.array([" ".join(x) for x in names], pa.string()))
@@ -384,7 +442,7 @@ def decode(encoded: DataFrame, definition: str, ids: str = "token_ids", out: str
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(definition)
+        vocabulary = shared_vocabulary(definition)
         for batch in batches:
             for at in range(0, batch.num_rows, DECODED_ROWS):
                 part = batch.slice(at, DECODED_ROWS)
