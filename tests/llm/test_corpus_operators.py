@@ -114,6 +114,19 @@ def test_op3(query, tricky, empty):
     assert query("op3_suffix_array_dedup", empty) == []
 
 
+def test_long_texts_lose_what_repeats(spark):
+    """Texts of several times ``WINDOWS_AT_ONCE``, with passages across its borders, within one text and in one of another."""
+    rng = random.Random(8)
+    at = suffix_dedup.WINDOWS_AT_ONCE
+    long = rng.randbytes(3 * at).hex()[: 3 * at]
+    passage = long[at - 350 : at + 350]
+    texts = [long, rng.randbytes(500).hex() + passage, long[2 * at - 200 : 2 * at + 199] + "|", "ab" * at + "." + rng.randbytes(300).hex()]
+    docs = [{"doc_id": i, "text": t} for i, t in enumerate(texts)]
+    frame = spark.createDataFrame([tuple(d.values()) for d in docs], "doc_id long, text string")
+    found = [r.asDict() for r in suffix_dedup.removal_digests(frame).collect()]
+    assert ordered(found) == ordered(removal_rows(docs))
+
+
 def test_construction_sorts_suffixes():
     rng = random.Random(3)
     for trial in range(40):
@@ -328,6 +341,14 @@ def test_op8(query, tricky, empty):
     assert query("op8_simhash_near_dedup", empty) == []
 
 
+def test_long_texts_have_plain_fingerprints():
+    """Texts of more than the 65,536 shingles that are counted at a time."""
+    rng = random.Random(9)
+    for words in (65_538, 65_539, 65_540, 140_000):
+        text = " ".join(rng.choice(["Aa", "b\u00e9", "ccc", "D", "e"]) + str(rng.randrange(50)) for _ in range(words))
+        assert simhash.fingerprint(text, 4) == plain_simhash(text)
+
+
 @pytest.mark.parametrize("tile", [8, 64, 4096])
 def test_tiles_lose_no_link(spark, tile):
     """Chains of prints a few bits apart among others, with small tiles and a large group of near copies."""
