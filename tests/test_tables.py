@@ -119,6 +119,24 @@ def test_a_hot_key_is_spread_over_several_groups(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_a_large_lookup_is_never_broadcast(spark, tmp_path, how):
+    # Its file is small, so by Spark's own estimate, which leaves out the salts' copies, it would be.
+    spark.range(2000).select(F.col("id").cast("string").alias("k")).write.parquet(f"{tmp_path}/t")
+    large = Lookup.keys(spark.read.parquet(f"{tmp_path}/t"), "k", max_rows=1000)
+    rows = spark.range(3000).select("id", F.col("id").cast("string").alias("k"))
+    joined = lookups.probe(rows, large, "k", how)
+    found = joined.collect()
+    assert len(found) == {"left": 3000, "left_semi": 2000, "left_anti": 1000}[how]
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_lookup_is_copied_a_bounded_number_of_times(spark):
+    # 60 times sf0.1 has 1,200,000 products: 53 copies of each were 64 million rows.
+    large = Lookup.keys(spark.range(1_200_000).select(F.col("id").cast("string").alias("k")), "k")
+    assert not large.is_small and 1 < large.salts <= 8
+
+
 def test_byte_size_also_bounds_a_broadcast(spark):
     wide = spark.createDataFrame([("a", "x" * 5000)], "k string, v string")
     assert not Lookup.values(wide, "k", "v", max_bytes=1000).is_small
