@@ -112,6 +112,17 @@ def test_memory_of_parts_is_bounded(model, library, monkeypatch):
         assert len(known.held) <= 50 and len(known.older) <= 50
 
 
+def test_tasks_of_a_worker_share_what_is_known(library):
+    content = pieces.read_model(PIECE_BPE)
+    known = pieces._shared_known(content)
+    for _ in range(2):  # the second task gets its own copy of the content
+        again = pieces._shared_known(bytes(bytearray(content)))
+        assert again is known and again.model is pieces.shared_model(content)
+        for d in tricky_documents():
+            ids = b"".join(block for block, _ in pieces._blocks(again, d["text"]))
+            assert list(memoryview(ids).cast("I")) == library.encode(d["text"] or "")
+
+
 def test_encode_and_decode_frames(spark, tricky, library):
     docs = spark.read.parquet(f"{tricky}/documents.parquet")
     content = pieces.read_model(PIECE_BPE)

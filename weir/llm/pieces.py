@@ -8,7 +8,7 @@ the text of the two again decides; if not, the next shorter one; if none may, th
 and its end is marked, in a bitfield, as a place that no encoding reaches. Each place fails once at most.
 
 Where no piece spans a certain pair of characters, such as a letter before a space, a text is cut there: its
-parts encode one by one, and a task remembers the shorter parts. A character that no piece has becomes its bytes.
+parts encode one by one, and a worker remembers the shorter parts for its tasks. A character that no piece has becomes its bytes.
 
 Defined cases: a NULL text is the empty one, whose ids are those of begin and end; an empty table gives an
 empty result; repeated rows get equal results; ids outside the vocabulary stop ``decode``; columns other than the named
@@ -22,6 +22,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import islice, pairwise
 
 import ahocorasick
@@ -37,7 +38,7 @@ SPACE = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
-#: Parts of texts and pairs of tokens that a task remembers; longer parts are encoded anew each time.
+#: Parts of texts and pairs of tokens that a worker remembers; longer parts are encoded anew each time.
 KNOWN_PARTS, KNOWN_PAIRS, LONGEST_KNOWN = 300_000, 500_000, 48
 #: Bytes of text in a batch, or one text that is larger; parts of a text that are looked up at once.
 BATCH_BYTES, PARTS_AT_ONCE = 4 << 20, 1 << 16
@@ -334,8 +335,19 @@ def _readable(spelled: bytes) -> str:
             spelled = spelled[error.start + 1 :]
 
 
+@lru_cache(maxsize=1)
+def shared_model(content: bytes) -> Model:
+    """One model for the tasks that a Python worker runs one after the other, with what it remembers of pairs."""
+    return Model(content)
+
+
+@lru_cache(maxsize=1)
+def _shared_known(content: bytes) -> _Known:
+    return _Known(shared_model(content))
+
+
 class _Known:
-    """What a task remembers of parts: their ids and what these decode to, as bytes.
+    """What a worker remembers of parts: their ids and what these decode to, as bytes.
 
     When it is full, the parts seen since it was last full stay until it is full again.
     """
@@ -378,7 +390,7 @@ def encode_digests(docs: DataFrame, content: bytes) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(Model(content))
+        known = _shared_known(content)
         begin, end = (array("I", [i]).tobytes() for i in (known.model.begin, known.model.end))
         for batch in small_batches(batches, "text", BATCH_BYTES):
             counts, ids, texts = [], [], []
@@ -402,7 +414,7 @@ def encode(docs: DataFrame, content: bytes, out: str = "piece_ids") -> DataFrame
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(Model(content))
+        known = _shared_known(content)
         for batch in small_batches(batches, "text", BATCH_BYTES):
             rows = []
             for text in batch.column("text"):
@@ -421,7 +433,7 @@ def decode(encoded: DataFrame, content: bytes, ids: str = "piece_ids", out: str
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(content)
+        model = shared_model(content)
         for batch in batches:
             for at in range(0, batch.num_rows, DECODED_ROWS):
                 part = batch.slice(at, DECODED_ROWS)
