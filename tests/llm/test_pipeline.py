@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.conftest import ordered, tricky_documents
 from tests.llm.test_corpus_operators import n_words, plain_components, plain_removal, plain_simhash, plain_targets
+from weir.llm import common
 from weir.llm.queries import WORD_BPE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -61,6 +62,21 @@ def test_repeats_are_cut(stages):
     assert ordered(rows(stages[2])) == ordered(expected)
 
 
+def test_tables_of_the_repeats_stage_go_when_nothing_reads_them(spark, stages, tricky, tmp_path, monkeypatch):
+    made = []
+
+    def folder(spark, name):
+        made.append(name)
+        return f"{tmp_path}/{len(made)}-{name}"
+
+    monkeypatch.setattr(common, "workspace", folder)
+    cut = corpus_pipeline.cut_repeats(spark, stages[1], tricky)
+    left = Counter(p.name.partition("-")[2] for p in tmp_path.iterdir())
+    assert {"repeats-stretches", "repeats-blocks", "repeats-shared", "repeats-texts", "repeats-items"} <= set(made)
+    assert set(left) <= {"repeats-keys", "repeats-runs", "repeats-large", "repeats-passages"}
+    assert Counter(r["text"] for r in rows(cut)) == Counter(r["text"] for r in rows(stages[2]))
+
+
 def test_sources_are_mixed(stages):
     sizes, taken = Counter(), Counter()
     for r in rows(stages[2]):
