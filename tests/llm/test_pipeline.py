@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -77,6 +78,36 @@ def test_tables_of_the_repeats_stage_go_when_nothing_reads_them(spark, stages, t
     assert Counter(r["text"] for r in rows(cut)) == Counter(r["text"] for r in rows(stages[2]))
 
 
+def test_quality_leaves_no_second_copy_of_the_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "workspace", lambda spark, name: f"{tmp_path}/{name}")
+    texts = [" ".join(f"w{n}x{i}" for i in range(300)) for n in range(40)]
+    docs = spark.createDataFrame([(n, t, "en", "web", len(t)) for n, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_quality(spark, docs, None)
+    assert sorted(r["text"] for r in rows(kept)) == sorted(texts)
+    for table in tmp_path.iterdir():
+        assert "text" not in str(spark.read.parquet(str(table)).schema)
+
+
+def test_one_verdict_where_nulls_trade_places(spark):
+    """Rows that differ only in which column is NULL are judged each by its own."""
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = [(1, text, None, "en", 1), (1, text, "en", None, 1), (None, text, None, None, 1), (1, None, text, "en", 1), (1, None, "en", text, 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_quality(spark, frame, None)
+    assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, docs[:3]))
+
+
+def test_shuffles_go_when_their_table_is_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "workspace", lambda spark, name: f"{tmp_path}/{name}")
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = set(map(int, str(tracker.shuffleStatuses().keys().mkString(" ")).split()))
+    written = common.keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    after = set(map(int, str(tracker.shuffleStatuses().keys().mkString(" ")).split()))
+    assert after <= before
+    assert written.count() == 7
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+
+
 def test_sources_are_mixed(stages):
     sizes, taken = Counter(), Counter()
     for r in rows(stages[2]):
