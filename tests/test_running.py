@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weir.operators import ordering
 from weir.operators.running import OFFSET, PARTITION, Measure, running, running_route_counts, running_stats, stats_measures
+from weir.plans.catalog import all_queries
 
 
 @pytest.fixture(scope="module")
@@ -127,6 +128,49 @@ def test_a_key_stays_in_order_across_neighbouring_partitions(spark, events):
     assert len({r["p"] for r in placed if r["store"] == "hot"}) > 1
 
 
+@pytest.mark.parametrize("partitions", [None, 1, 6])
+def test_a_whole_key_is_in_one_partition_in_order(spark, partitions):
+    key = "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('s', id % 5) END AS store"
+    rows = spark.range(0, 3000, numPartitions=5).selectExpr(key, f"CAST(id % 4 AS int) AS {PARTITION}", f"3000 - id AS {OFFSET}")
+    twice = rows.union(rows.where(f"{OFFSET} % 50 = 0"))
+    placed = laid_out_in(spark, ordering.keyed_order(twice, "store", [PARTITION, OFFSET], partitions, whole=True))
+    in_order(placed)
+    assert sorted(map(str, (r[1:] for r in placed))) == sorted(map(str, map(tuple, twice.collect())))
+    assert partitions == 1 or len({r[0] for r in placed}) > 1
+
+
+def test_no_rows_to_lay_out(spark):
+    empty = spark.createDataFrame([], f"store string, {OFFSET} long")
+    assert ordering.keyed_order(empty, "store", [OFFSET], whole=True).collect() == []
+
+
+def test_the_sales_of_a_region_are_in_one_partition(spark):
+    laid_out = all_queries()["keyed_partition_order"](spark, "/root/testdata/sf0.001")
+    placed = laid_out_in(spark, laid_out.select("region_id", PARTITION, OFFSET))
+    in_order(placed)
+    assert len({r[0] for r in placed}) > 1
+
+
+def laid_out_in(spark, df):
+    """The rows as they lie, each with its partition first."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return list(map(tuple, df.select(F.spark_partition_id(), "*").collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def in_order(placed):
+    """Each key has one partition, and its rows follow one another there in the order of their places."""
+    by_key = {}
+    for at, (partition, key, *place) in enumerate(placed):
+        by_key.setdefault(key, []).append((at, partition, place))
+    for found in by_key.values():
+        assert len({partition for _, partition, _ in found}) == 1
+        assert [at for at, *_ in found] == list(range(found[0][0], found[0][0] + len(found)))
+        assert [place for *_, place in found] == sorted(place for *_, place in found)
+
+
 def test_the_large_side_is_shuffled_once_and_sorted_once(spark, events):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -69,13 +69,18 @@ def first_of_each(df: DataFrame, key: str, order: Sequence[str] = (OFFSET,)) ->
     return keyed.unionByName(df.where(absent))
 
 
-def keyed_order(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+def keyed_order(
+    df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None, whole: bool = False
+) -> DataFrame:
     """Lay rows out so that each key's rows follow one another in order.
 
-    Ranges of (key, order) are used instead of a hash of the key: a key with a large share of
-    the rows spans several neighbouring partitions instead of filling one.
+    With ``whole`` all rows of a key are in one partition, which a hash of the key decides, as on a topic. One task
+    then sorts the largest key, spilling to disk where its memory ends. Otherwise ranges of (key, order) are used: a
+    key with a large share of the rows spans several neighbouring partitions instead of filling one.
     """
     require_fields(df, [key, *order])
     columns = [key, *order]
-    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
-    return ranged.sortWithinPartitions(*columns)
+    by = [key] if whole else columns
+    deal = df.repartition if whole else df.repartitionByRange
+    dealt = deal(partitions, *by) if partitions else deal(*by)
+    return dealt.sortWithinPartitions(*columns)

@@ -285,7 +285,8 @@ def publish_keyed(g: Given) -> DataFrame:
 
 @query
 def keyed_partition_order(g: Given) -> DataFrame:
-    laid_out = ordering.keyed_order(validate.valid_rows(g.checked_sales()), "region_id", [PARTITION, OFFSET])
+    valid = validate.valid_rows(g.checked_sales())
+    laid_out = ordering.keyed_order(valid, "region_id", [PARTITION, OFFSET], whole=True)
     return laid_out.select("region_id", PARTITION, OFFSET, "order_id")
 
 
